@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colloquy.functions import chance
+from colloquy.functions.fixed import END_OF_THINKING_ID
 from colloquy.operators.answers import config_sweep
 from colloquy.operators.preferences import with_rejected
 from colloquy.operators.render import render_conversation
@@ -27,7 +28,10 @@ def lines(*parts: Column | str) -> Column:
 
 def chat_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns with thinking blocks, switches, tool calls and results, tools and odd roles."""
-    turns = read_turns(spark, sf_dir)
+    return mark_chat(read_turns(spark, sf_dir))
+
+
+def mark_chat(turns: DataFrame) -> DataFrame:
     conv, turn, role, content = C("conv_id"), C("turn"), C("role"), C("content")
     user, assistant = role == "user", role == "assistant"
     thinks = assistant & (turn % 4).isin(1, 2)
@@ -90,8 +94,12 @@ def chat_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def exit_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns with exit words and blank turns."""
+    return mark_exits(read_turns(spark, sf_dir))
+
+
+def mark_exits(turns: DataFrame) -> DataFrame:
     conv, turn, user = C("conv_id"), C("turn"), C("role") == "user"
-    return read_turns(spark, sf_dir).withColumn(
+    return turns.withColumn(
         "content",
         F.when(user & (turn == 4) & (conv % 4 == 1), F.lit("  QUIT\u3000"))
         .when(user & (turn == 2) & (conv % 4 == 2), F.lit("退出"))
@@ -230,3 +238,30 @@ def runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return config_sweep(prompts).withColumn(
         "elapsed_s", F.lit(0.1) + chance.unit("run", C("config"), C("conv_id"), C("turn"))
     )
+
+
+def token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word lengths as token ids, with end-of-thinking marks at some places of some turns."""
+    marked = (C("turn") % 4).isin(1, 2)
+
+    def one(word: Column, k: Column) -> Column:
+        mark = marked & (k % 11 == C("conv_id") % 11)
+        return F.when(mark, END_OF_THINKING_ID).otherwise(F.length(word))
+
+    words = F.split("content", " ")
+    return read_turns(spark, sf_dir).select("conv_id", "turn", F.transform(words, one).alias("ids"))
+
+
+def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items as test cases: every fifth one is plain generation with settings."""
+    item = C("item_id")
+    params = F.create_map(
+        F.lit("max_length"), (item + 200).cast("double"), F.lit("temperature"), F.lit(0.8)
+    )
+    plain = item % 5 == 4
+    return read_table(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("item "), item.cast("string")).alias("name"),
+        C("text").alias("input"),
+        F.when(plain, "generate").otherwise("chat").alias("type"),
+        F.when(plain, params).alias("params"),
+    )
