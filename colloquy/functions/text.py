@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -32,8 +33,15 @@ def is_empty_turn(text: Column) -> Column:
 
 
 def is_exit(text: Column) -> Column:
-    """The whole turn is an exit word, in any case."""
-    return F.coalesce(F.lower(strip(text)).isin(EXIT_WORDS), F.lit(False))
+    """The whole turn is an exit word, in any case.
+
+    No letter outside ASCII has one of the words' letters as its lower case.
+    """
+    word = strip(text)
+    lower = F.translate(word, string.ascii_uppercase, string.ascii_lowercase)
+    return F.coalesce(
+        (F.length(word) <= max(map(len, EXIT_WORDS))) & lower.isin(EXIT_WORDS), F.lit(False)
+    )
 
 
 def chat_prompt(user: Column, system: Column | str = DEFAULT_SYSTEM_PROMPT) -> Column:

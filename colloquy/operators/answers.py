@@ -75,8 +75,11 @@ def batch_generate(
     names = [n for n in ("max_length", "temperature", "top_p", "do_sample") if n in prompts.columns]
 
     def make_predict():
+        import json
         import time
 
+        import numpy as np
+
         generate = make_generator()
 
         def attempt(prompt, setting):
@@ -85,22 +88,29 @@ def batch_generate(
             except Exception as problem:
                 return None, f"{type(problem).__name__}: {problem}"
 
-        def predict(*columns):
-            asked = list(columns[0])
-            settings = [dict(zip(names, values)) for values in zip(*columns[1:])] or [{}] * len(asked)
+        def predict(prompts, settings):
+            asked, given = list(prompts), [json.loads(s) for s in settings]
             began = time.perf_counter()
             try:
-                results = [(output, None) for output in generate(asked, settings)]
+                results = [(output, None) for output in generate(asked, given)]
             except Exception:
-                results = [attempt(p, s) for p, s in zip(asked, settings)]
+                results = [attempt(p, s) for p, s in zip(asked, given)]
             each = (time.perf_counter() - began) / max(len(asked), 1)
-            return [{"output": o, "error": e, "elapsed_s": each} for o, e in results]
+            return {
+                "output": np.array([output for output, _ in results], dtype=object),
+                "error": np.array([error for _, error in results], dtype=object),
+                "elapsed_s": np.full(len(asked), each),
+            }
 
         return predict
 
     answer = predict_batch_udf(make_predict, return_type=ANSWER, batch_size=batch_rows)
-    inputs = [F.col("prompt"), *[F.col(n) for n in names]]
-    return prompts.withColumn("_answer", answer(*inputs)).select("*", "_answer.*").drop("_answer")
+    settings = F.to_json(F.struct(*names)) if names else F.lit("{}")
+    return (
+        prompts.withColumn("_answer", answer(F.col("prompt"), settings))
+        .select("*", "_answer.*")
+        .drop("_answer")
+    )
 
 
 def clean_output(answered: DataFrame) -> DataFrame:

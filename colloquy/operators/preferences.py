@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import scores
@@ -147,33 +147,61 @@ def group_advantage(
     )
 
 
+_SPAN = 512.0
+
+
 def distill_loss(logits: DataFrame, alpha: float = 0.7, temperature: float = 1.0) -> DataFrame:
     """Loss of each position from ``(pos, item, teacher, student, is_gold)``.
 
     ``alpha * T^2 * KL(teacher || student)`` at temperature T plus ``(1 -
-    alpha)`` times the cross-entropy of the gold item. The maxima keep the
-    exponentials in range; the rest is one sum per position.
+    alpha)`` times the cross-entropy of the gold item.
+
+    The sums of exponentials are kept per (position, exponent range): within a
+    range of 512 nothing overflows, so no maximum has to be known beforehand and
+    the rows are summed before their shuffle. A position then has a handful of
+    partial sums, which are brought to its highest range and added.
     """
-    teacher, student, t = F.col("teacher"), F.col("student"), temperature
-    weight = F.exp((teacher - F.col("_teacher_top")) / t)
+    t = temperature
+    terms = {
+        "a": F.col("teacher") / t,
+        "b": F.col("student") / t,
+        "c": F.col("student").cast("double"),
+    }
+    ranges = {f"{n}_range": F.round(x / _SPAN) for n, x in terms.items()}
+
+    def mass(name: str) -> Column:
+        return F.exp(F.col(name) - F.col(f"{name}_range") * _SPAN)
+
+    gap = (F.col("teacher") - F.col("student")) / t
+    partial = (
+        logits.withColumns({**terms, **ranges})
+        .groupBy("pos", *ranges)
+        .agg(
+            *[F.sum(mass(n)).alias(f"{n}_mass") for n in terms],
+            F.sum(mass("a") * gap).alias("a_gap"),
+            F.max(F.when(F.col("is_gold"), F.col("student"))).alias("gold"),
+        )
+    )
+    position = Window.partitionBy("pos")
+    tops = {f"{n}_top": F.max(f"{n}_range").over(position) for n in terms}
+
+    def scaled(name: str, value: str) -> Column:
+        return F.col(value) * F.exp((F.col(f"{name}_range") - F.col(f"{name}_top")) * _SPAN)
+
     sums = (
-        OrderedGroups.of(logits, ["pos"], "item")
-        .with_columns(_teacher_top=total(F.max, teacher), _student_top=total(F.max, student))
-        .df.groupBy("pos")
+        partial.withColumns(tops)
+        .groupBy("pos")
         .agg(
-            F.max("_teacher_top").alias("t_top"),
-            F.max("_student_top").alias("s_top"),
-            F.sum(weight).alias("t_mass"),
-            F.sum(weight * (teacher - student) / t).alias("t_gap"),
-            F.sum(F.exp((student - F.col("_student_top")) / t)).alias("s_mass"),
-            F.sum(F.exp(student - F.col("_student_top"))).alias("s_mass_1"),
-            F.max(F.when(F.col("is_gold"), student)).alias("s_gold"),
+            *[
+                (F.first(f"{n}_top") * _SPAN + F.log(F.sum(scaled(n, f"{n}_mass")))).alias(n)
+                for n in terms
+            ],
+            (F.sum(scaled("a", "a_gap")) / F.sum(scaled("a", "a_mass"))).alias("gap"),
+            F.max("gold").alias("gold"),
         )
     )
-    log_teacher = F.col("t_top") / t + F.log("t_mass")
-    log_student = F.col("s_top") / t + F.log("s_mass")
-    kl = F.col("t_gap") / F.col("t_mass") - log_teacher + log_student
-    cross_entropy = F.col("s_top") + F.log("s_mass_1") - F.col("s_gold")
+    kl = F.col("gap") - F.col("a") + F.col("b")
+    cross_entropy = F.col("c") - F.col("gold")
     return sums.select("pos", kl.alias("kl"), cross_entropy.alias("cross_entropy")).withColumn(
         "loss", alpha * t * t * F.col("kl") + (1 - alpha) * F.col("cross_entropy")
     )

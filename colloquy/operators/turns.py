@@ -110,16 +110,16 @@ def thinking_mode(turns: DataFrame, enable_thinking: bool = True) -> DataFrame:
 
 def qa_pairs(turns: DataFrame) -> DataFrame:
     """Each user turn with the assistant turn right after it: ``(conv_id, turn, prompt, answer)``."""
-    reply = F.struct(F.col("role"), F.col("content"))
+    # Two values, so that a user of the places alone does not pull the texts along.
     return (
         conversations(turns.select("conv_id", "turn", "role", "content"))
-        .with_columns(_next=following(reply))
+        .with_columns(_next=following(F.struct("role")), _reply=following(F.struct("content")))
         .df.where((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
         .select(
             "conv_id",
             "turn",
             F.col("content").alias("prompt"),
-            F.col("_next.content").alias("answer"),
+            F.col("_reply.content").alias("answer"),
         )
     )
 

@@ -47,6 +47,7 @@ class Step:
     block: Callable[[Column], Column]  # one value per block, given the order key
     carry: Callable[[Column, WindowSpec], Column]  # over the block values of a group
     merge: Callable[[Column, Column, Column], Column]  # (local, carry, in a cut group)
+    ordered: bool = True
 
 
 def total(agg: Callable, value: Column, combine: Callable | None = None) -> Step:
@@ -57,6 +58,7 @@ def total(agg: Callable, value: Column, combine: Callable | None = None) -> Step
         block=lambda order: agg(value),
         carry=lambda v, ordered: combine(v).over(_whole(ordered)),
         merge=lambda local, carry, hot: F.when(hot, carry).otherwise(local),
+        ordered=False,
     )
 
 
@@ -65,7 +67,6 @@ def total_count() -> Step:
 
 
 def _whole(window: WindowSpec) -> WindowSpec:
-    # The same order as the running windows, so that Spark plans one sort and one Window for all.
     return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
@@ -199,7 +200,10 @@ class OrderedGroups:
         return OrderedGroups(change(self._df), self.keys, self.order, self.cut)
 
     def with_columns(self, **steps: Step) -> OrderedGroups:
-        ordered = Window.partitionBy(*self.partition).orderBy(self.order)
+        # Totals next to ordered steps share their window, so that Spark plans one sort for
+        # all; totals alone need no order and keep whatever the rows are sorted by.
+        window = Window.partitionBy(*self.partition)
+        ordered = window.orderBy(self.order) if any(s.ordered for s in steps.values()) else window
         local = self._df.withColumns({n: s.local(ordered) for n, s in steps.items()})
         if not self.cut:
             return OrderedGroups(local, self.keys, self.order, cut=False)
