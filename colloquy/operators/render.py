@@ -28,7 +28,7 @@ from colloquy.plans.ordered_groups import (
     total,
 )
 
-CELL_CHARS = 64 * 1024 * 1024
+CELL_CHARS = 16 * 1024 * 1024
 HISTORY_CHARS = 32 * TOKENIZER_LIMIT
 _OPTIONAL = ("reasoning_content", "tool_calls", "tools", "enable_thinking")
 
@@ -173,7 +173,7 @@ def render_conversation(
     cell = F.floor(F.col("_start") / cell_chars)
     return (
         groups.rows.withColumn("_cell", cell)
-        .groupBy(*groups.partition, "_cell")
+        .groupBy("conv_id", "_cell")
         .agg(
             F.min("_start").cast("bigint").alias("prompt_start"),
             F.expr("listagg(segment, '') WITHIN GROUP (ORDER BY turn)").alias("prompt"),

@@ -14,8 +14,8 @@ Sizes. A group is cut when it has more than ``hot_rows`` rows, so a table of N
 rows has at most N / hot_rows such groups. A block aims at hot_rows / 2 rows
 and a group gets at most 4096 blocks, so both broadcast tables (cut points and
 block values) have at most about 2 N / hot_rows entries. The cut points only
-decide which task does what, never the result; they are written to the
-checkpoint folder so that every reader, and every retry, sees the same ones.
+decide which task does what, never the result. Both tables are written to the
+checkpoint folder, so that every reader, and every retry, sees the same ones.
 
 The order key is one number or time column, unique within its group.
 """
@@ -143,6 +143,16 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.join(F.broadcast(renamed), match, "left").drop(*[f"_small_{k}" for k in keys])
 
 
+def settled(small: DataFrame) -> DataFrame:
+    """A small table, computed once into the checkpoint folder.
+
+    Steps that follow read it there; else each would compute all steps before it
+    twice, and a chain of them would grow as a power of two.
+    """
+    ensure_checkpoint_dir(small.sparkSession)
+    return small.checkpoint()
+
+
 class OrderedGroups:
     """A DataFrame seen as ordered groups; add window values with ``with_columns``."""
 
@@ -217,7 +227,7 @@ class OrderedGroups:
             *self.partition,
             *[s.carry(F.col(n), ordered).alias(f"_carry_{n}") for n, s in steps.items()],
         )
-        merged = attach(local, carried, self.partition).withColumns(
+        merged = attach(local, settled(carried), self.partition).withColumns(
             {n: s.merge(F.col(n), F.col(f"_carry_{n}"), F.col(_HOT)) for n, s in steps.items()}
         )
         return OrderedGroups(
@@ -249,8 +259,7 @@ def _cut_points(
             ).alias("_cuts"),
         )
     )
-    ensure_checkpoint_dir(df.sparkSession)
-    return cuts.checkpoint()
+    return settled(cuts)
 
 
 def _block_of(order: Column) -> Column:

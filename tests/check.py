@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 import time
 from pathlib import Path
@@ -58,11 +59,14 @@ def difference(got, want) -> str | None:
 
 if __name__ == "__main__":
     from __spark_entry__ import oracle_sql, queries
+    from colloquy.plans.ordered_groups import HOT_ROWS_SETTING
     from colloquy.session import local_session
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:] or list(queries())
     spark, con, sqls = local_session(8), duck(sf_dir), oracle_sql()
+    if "HOT_ROWS" in os.environ:  # cut every group above this many rows
+        spark.conf.set(HOT_ROWS_SETTING, os.environ["HOT_ROWS"])
     print("without SQL:", sorted(set(queries()) - set(sqls)), "without query:", sorted(set(sqls) - set(queries())))
     for name in names:
         began = time.time()
