@@ -62,7 +62,8 @@ def dispatch_prompt(kind: Column, text: Column, system: Column | str = DEFAULT_S
 
 
 def _any_of(tokens: list[str]) -> str:
-    return "|".join(re.escape(t) for t in tokens)
+    """One of the tokens. All begin with the same character: the search looks for that alone."""
+    return tokens[0][0] + "(?:" + "|".join(re.escape(t[1:]) for t in tokens) + ")"
 
 
 def strip_special_tokens(text: Column) -> Column:

@@ -29,7 +29,7 @@ from colloquy.plans.ordered_groups import (
 )
 
 CELL_CHARS = 16 * 1024 * 1024
-HISTORY_CHARS = 32 * TOKENIZER_LIMIT
+HISTORY_CHARS = 8 * TOKENIZER_LIMIT
 _OPTIONAL = ("reasoning_content", "tool_calls", "tools", "enable_thinking")
 
 

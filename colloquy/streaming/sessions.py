@@ -17,7 +17,7 @@ from colloquy.functions.fixed import TOKENIZER_LIMIT
 from colloquy.operators.turns import drop_empty_turns
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-HISTORY_CHARS = 32 * TOKENIZER_LIMIT
+HISTORY_CHARS = 8 * TOKENIZER_LIMIT
 
 
 def use_rocksdb(spark: SparkSession) -> None:

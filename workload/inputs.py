@@ -22,74 +22,51 @@ from colloquy.sources.tables import read_table, read_turns
 C = F.col
 
 
-def lines(*parts: Column | str) -> Column:
-    return F.concat_ws("\n", *[F.lit(p) if isinstance(p, str) else p for p in parts])
-
-
 def chat_marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Turns with thinking blocks, switches, tool calls and results, tools and odd roles."""
     return mark_chat(read_turns(spark, sf_dir))
 
 
+THINKS = "role = 'assistant' AND turn % 4 IN (1, 2)"
+CALLS = f"{THINKS} AND conv_id % 5 = 0"
+MARKED = f"""
+  CASE
+    WHEN role = 'assistant' AND conv_id % 11 = 5 AND turn >= 3 THEN NULL
+    WHEN {THINKS} THEN concat('<think>\\nplan ', turn, '\\n</think>\\n\\n', content)
+    WHEN role = 'assistant' AND conv_id % 4 = 0 THEN concat('a<think>x</think>mid</think>\\n', content)
+    WHEN role = 'user' AND turn >= 2 AND conv_id % 7 = 3
+      THEN concat('<tool_response>\\n', content, '\\n</tool_response>')
+    WHEN role = 'user' AND turn >= 2 AND conv_id % 3 = 1 THEN concat(content, ' /no_think')
+    WHEN role = 'user' AND conv_id % 3 = 2 THEN concat(content, ' /think')
+    ELSE content
+  END"""
+TOOL_CALLS = f"""
+  CASE WHEN {CALLS} THEN transform(
+    IF(conv_id % 10 = 0, array('lookup', 'again'), array('lookup')),
+    name -> named_struct('name', name, 'arguments', concat('{{"k": ', conv_id, '}}'))) END"""
+
+
+def _message(offset: int, role: str, content: str, aside: str = "NULL", calls: str = "NULL") -> str:
+    return f"""named_struct('turn', turn * 10 + {offset}, 'role', {role}, 'content', {content},
+      'reasoning_content', CAST({aside} AS STRING),
+      'tool_calls', CAST({calls} AS ARRAY<STRUCT<name: STRING, arguments: STRING>>))"""
+
+
 def mark_chat(turns: DataFrame) -> DataFrame:
-    conv, turn, role, content = C("conv_id"), C("turn"), C("role"), C("content")
-    user, assistant = role == "user", role == "assistant"
-    thinks = assistant & (turn % 4).isin(1, 2)
-    calls = thinks & (conv % 5 == 0)
-    marked = (
-        F.when(assistant & (conv % 11 == 5) & (turn >= 3), F.lit(None).cast("string"))
-        .when(
-            thinks,
-            F.concat(
-                lines("<think>", F.concat(F.lit("plan "), turn.cast("string")), "</think>", "", ""),
-                content,
-            ),
-        )
-        .when(assistant & (conv % 4 == 0), lines("a<think>x</think>mid</think>", content))
-        .when(
-            user & (turn >= 2) & (conv % 7 == 3), lines("<tool_response>", content, "</tool_response>")
-        )
-        .when(user & (turn >= 2) & (conv % 3 == 1), F.concat(content, F.lit(" /no_think")))
-        .when(user & (conv % 3 == 2), F.concat(content, F.lit(" /think")))
-        .otherwise(content)
-    )
-    arguments = F.concat(F.lit('{"k": '), conv.cast("string"), F.lit("}"))
-    call = F.struct(F.lit("lookup").alias("name"), arguments.alias("arguments"))
-    second = F.struct(F.lit("again").alias("name"), arguments.alias("arguments"))
-    tool_calls = F.when(
-        calls, F.when(conv % 10 == 0, F.array(call, second)).otherwise(F.array(call))
-    )
-    aside = F.when(
-        assistant & (conv % 13 == 6), F.concat(F.lit("kept apart "), turn.cast("string"))
-    )
-    no_calls = F.lit(None).cast("array<struct<name: string, arguments: string>>")
-
-    def message(offset: int, role: Column | str, content: Column | str, aside, tool_calls) -> Column:
-        return F.struct(
-            (turn * 10 + offset).alias("turn"),
-            (F.lit(role) if isinstance(role, str) else role).alias("role"),
-            (F.lit(content) if isinstance(content, str) else content).alias("content"),
-            aside.alias("reasoning_content"),
-            tool_calls.alias("tool_calls"),
-        )
-
-    nothing = F.lit(None).cast("string")
-    done = lines("<think>", "use it", "</think>", "", "done")
-    messages = F.array(
-        message(0, role, marked, aside, tool_calls),
-        F.when(calls, message(1, "tool", "result one", nothing, no_calls)),
-        F.when(calls, message(2, "tool", "result two", nothing, no_calls)),
-        F.when(calls, message(3, "assistant", done, nothing, no_calls)),
-        F.when(user & (conv % 9 == 4), message(4, "note", "aside", nothing, no_calls)),
-        F.when(
-            user & (turn == 1) & (conv % 8 == 3),
-            message(5, "system", "be brief /no_think", nothing, no_calls),
-        ),
-    )
-    tools = F.array(F.lit('{"name": "lookup"}'), F.lit('{"name": "again"}'))
-    return turns.select(
-        "conv_id", F.inline(F.filter(messages, lambda m: m.isNotNull()))
-    ).withColumn("tools", F.when(conv % 6 == 1, tools))
+    aside = "CASE WHEN role = 'assistant' AND conv_id % 13 = 6 THEN concat('kept apart ', turn) END"
+    done = "'<think>\\nuse it\\n</think>\\n\\ndone'"
+    messages = f"""inline(filter(array(
+      {_message(0, "role", MARKED, aside, TOOL_CALLS)},
+      IF({CALLS}, {_message(1, "'tool'", "'result one'")}, NULL),
+      IF({CALLS}, {_message(2, "'tool'", "'result two'")}, NULL),
+      IF({CALLS}, {_message(3, "'assistant'", done)}, NULL),
+      IF(role = 'user' AND conv_id % 9 = 4, {_message(4, "'note'", "'aside'")}, NULL),
+      IF(role = 'user' AND turn = 1 AND conv_id % 8 = 3,
+        {_message(5, "'system'", "'be brief /no_think'")}, NULL)
+    ), m -> m IS NOT NULL))"""
+    tools = """CASE WHEN conv_id % 6 = 1
+      THEN array('{"name": "lookup"}', '{"name": "again"}') END AS tools"""
+    return turns.selectExpr("conv_id", messages).selectExpr("*", tools)
 
 
 def exit_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
