@@ -85,7 +85,7 @@ def _top_k(groups: OrderedGroups, k: int) -> OrderedGroups:
     def by_score(df: DataFrame) -> DataFrame:
         keep = F.when(groups.hot, F.col("score") >= F.col("_kth")).otherwise(F.col("_rank") <= k)
         return (
-            attach(df.withColumn("_rank", F.rank().over(best_first)), settled(kth), ["group_id"])
+            attach(df.withColumn("_rank", F.rank().over(best_first)), settled(kth, "kth"), ["group_id"])
             .where(keep)
             .drop("_rank", "_kth")
         )
@@ -120,7 +120,7 @@ def _top_p(groups: OrderedGroups, p: float) -> OrderedGroups:
     )
     tied = F.coalesce((F.col("score") == F.col("_cut_score")).cast("bigint"), F.lit(0))
     enough = (
-        groups.replace(lambda df: attach(df, settled(last_level), ["group_id"]).withColumn("_before", before))
+        groups.replace(lambda df: attach(df, settled(last_level, "levels"), ["group_id"]).withColumn("_before", before))
         .with_columns(_ties_before=running_sum(tied))
     )
     in_cut_group = (F.col("score") > F.col("_cut_score")) | (

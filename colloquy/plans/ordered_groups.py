@@ -12,10 +12,11 @@ group first (a scan of the key columns only, combined before its shuffle):
 
 Sizes. A group is cut when it has more than ``hot_rows`` rows, so a table of N
 rows has at most N / hot_rows such groups. A block aims at hot_rows / 2 rows
-and a group gets at most 4096 blocks, so both broadcast tables (cut points and
-block values) have at most about 2 N / hot_rows entries. The cut points only
-decide which task does what, never the result. Both tables are written to the
-checkpoint folder, so that every reader, and every retry, sees the same ones.
+and a group gets at most 4096 blocks, so the tables of cut points and of block
+values have at most about 2 N / hot_rows entries. The cut points only decide
+which task does what, never the result. Both tables are written to the shared
+folder: every reader, and every retry, sees the same ones, and their size is
+known when they are joined.
 
 The order key is one number or time column, unique within its group.
 """
@@ -28,7 +29,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from colloquy.plans.shared import ensure_checkpoint_dir
+from colloquy.plans.shared import scratch_path
 
 HOT_ROWS_SETTING = "spark.colloquy.hotGroupRows"
 HOT_ROWS_DEFAULT = 200_000
@@ -136,21 +137,27 @@ def hot_threshold(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
 
 
-def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Left join to a table whose size the caller has bounded; null keys match null keys."""
-    renamed = small.withColumnsRenamed({k: f"_small_{k}" for k in keys})
-    match = [df[k].eqNullSafe(renamed[f"_small_{k}"]) for k in keys]
-    return df.join(F.broadcast(renamed), match, "left").drop(*[f"_small_{k}" for k in keys])
+def settled(small: DataFrame, name: str) -> DataFrame:
+    """A small table, written once to the shared folder and read from there.
+
+    Later steps would otherwise compute all steps before them twice, and a chain
+    of them would grow as a power of two. As a file its size is known, by which
+    Spark decides how to join it.
+    """
+    path = scratch_path(small.sparkSession, name)
+    small.write.parquet(path)
+    return small.sparkSession.read.schema(small.schema).parquet(path)
 
 
-def settled(small: DataFrame) -> DataFrame:
-    """A small table, computed once into the checkpoint folder.
+def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join to a settled table; null keys match null keys.
 
-    Steps that follow read it there; else each would compute all steps before it
-    twice, and a chain of them would grow as a power of two.
+    No hint: below ``spark.sql.autoBroadcastJoinThreshold`` Spark broadcasts the
+    file, above it shuffles both sides and adaptive execution splits hot keys.
     """
-    ensure_checkpoint_dir(small.sparkSession)
-    return small.checkpoint()
+    renamed = small.withColumnsRenamed({k: f"_small_{k}" for k in keys})
+    match = [df[k].eqNullSafe(renamed[f"_small_{k}"]) for k in keys]
+    return df.join(renamed, match, "left").drop(*[f"_small_{k}" for k in keys])
 
 
 class OrderedGroups:
@@ -227,7 +234,7 @@ class OrderedGroups:
             *self.partition,
             *[s.carry(F.col(n), ordered).alias(f"_carry_{n}") for n, s in steps.items()],
         )
-        merged = attach(local, settled(carried), self.partition).withColumns(
+        merged = attach(local, settled(carried, "blocks"), self.partition).withColumns(
             {n: s.merge(F.col(n), F.col(f"_carry_{n}"), F.col(_HOT)) for n, s in steps.items()}
         )
         return OrderedGroups(
@@ -239,7 +246,7 @@ def _cut_points(
     df: DataFrame, hot: DataFrame, keys: list[str], order: str, block_rows: int
 ) -> DataFrame:
     """One row per large group with the order keys at which its blocks begin."""
-    rows = attach(df.select(*keys, order), hot, keys).where(F.col("_rows").isNotNull())
+    rows = attach(df.select(*keys, order), settled(hot, "hot"), keys).where(F.col("_rows").isNotNull())
     shares = ", ".join(f"{i / _MAX_BLOCKS}D" for i in range(1, _MAX_BLOCKS))
     points = F.expr(f"percentile_approx(`{order}`, array({shares}), {_MAX_BLOCKS * 16})")
     stride = F.greatest(F.lit(1), F.floor(_MAX_BLOCKS * F.lit(block_rows) / F.col("_rows")))
@@ -259,7 +266,7 @@ def _cut_points(
             ).alias("_cuts"),
         )
     )
-    return settled(cuts)
+    return settled(cuts, "cuts")
 
 
 def _block_of(order: Column) -> Column:

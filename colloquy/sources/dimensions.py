@@ -44,6 +44,44 @@ def special_tokens(spark: SparkSession) -> DataFrame:
     return spark.range(1).select(F.inline(F.array(*rows)))
 
 
+TOKEN = "struct<content: string, lstrip: boolean, normalized: boolean, rstrip: boolean, single_word: boolean, special: boolean>"
+
+
+def read_added_tokens(spark: SparkSession, path: str) -> DataFrame:
+    """The added tokens of a tokenizer's JSON configuration, one row each.
+
+    ``(id, token, lstrip, normalized, rstrip, single_word, special)`` from the
+    map ``added_tokens_decoder``, whose keys are the ids.
+    """
+    return (
+        spark.read.schema(f"added_tokens_decoder map<string, {TOKEN}>")
+        .option("multiLine", True)
+        .json(path)
+        .select(F.explode("added_tokens_decoder").alias("id", "t"))
+        .select(
+            F.col("id").cast("int"),
+            F.col("t.content").alias("token"),
+            "t.lstrip",
+            "t.normalized",
+            "t.rstrip",
+            "t.single_word",
+            "t.special",
+        )
+    )
+
+
+def read_generation_config(spark: SparkSession, path: str) -> DataFrame:
+    """Sampling settings and end tokens of a model's JSON generation configuration."""
+    return (
+        spark.read.schema(
+            "do_sample boolean, temperature double, top_p double, top_k int, "
+            "bos_token_id int, pad_token_id int, eos_token_id array<int>"
+        )
+        .option("multiLine", True)
+        .json(path)
+    )
+
+
 def sampling_presets(spark: SparkSession) -> DataFrame:
     """One row per mode: ``(mode, temperature, top_p, top_k, min_p)``."""
     names = ["mode", "temperature", "top_p", "top_k", "min_p"]

@@ -17,6 +17,7 @@ from colloquy.functions.fixed import TOKENIZER_LIMIT
 from colloquy.operators.turns import drop_empty_turns
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+STATE_SPAN = 100
 HISTORY_CHARS = 8 * TOKENIZER_LIMIT
 
 
@@ -49,25 +50,28 @@ def take_until_exit(
     """Drop blank user turns, and every turn of a session from its first exit word on.
 
     A session stays closed in later batches. The state is one row per closed
-    session. Within a batch this is an aggregate (combined before its shuffle)
+    session: each batch writes its own, every hundredth batch all so far, and a
+    batch reads back to the last such one. Within a batch this is an aggregate (combined before its shuffle)
     and a join, so that a session with a large share of the turns is split by
     adaptive execution like any skewed join, which a keyed Python handler is not.
     """
 
-    def closings(batch: DataFrame) -> DataFrame:
-        leaves = (F.col("role") == "user") & text.is_exit(F.col("content"))
-        return batch.where(leaves).groupBy("conv_id").agg(F.min("turn").alias("closed"))
+    def earliest(closings: DataFrame) -> DataFrame:
+        return closings.groupBy("conv_id").agg(F.min("closed").alias("closed"))
+
+    def read_closings(spark: SparkSession, batches: range) -> DataFrame:
+        paths = [_per_batch(state, n) for n in batches]
+        return earliest(spark.read.schema("conv_id long, closed long").parquet(*paths))
 
     def process(batch: DataFrame, number: int) -> None:
+        spark, kept = batch.sparkSession, number - number % STATE_SPAN
         spoken = drop_empty_turns(batch)
-        closings(spoken).write.mode("overwrite").parquet(_per_batch(state, number))
-        closed = (
-            batch.sparkSession.read.schema("conv_id long, closed long, batch long")
-            .parquet(state)
-            .where(F.col("batch") <= number)
-            .groupBy("conv_id")
-            .agg(F.min("closed").alias("closed"))
-        )
+        leaves = (F.col("role") == "user") & text.is_exit(F.col("content"))
+        new = earliest(spoken.where(leaves).withColumnRenamed("turn", "closed"))
+        if number == kept and number > 0:
+            new = earliest(new.union(read_closings(spark, range(number - STATE_SPAN, number))))
+        new.write.mode("overwrite").parquet(_per_batch(state, number))
+        closed = read_closings(spark, range(kept, number + 1))
         (
             spoken.join(closed, "conv_id", "left")
             .where(F.col("closed").isNull() | (F.col("turn") < F.col("closed")))

@@ -115,3 +115,17 @@ def test_hard_switch_overrides(spark):
     df = spark.createDataFrame([(1, 0, "user", "x /think")], "conv_id long, turn long, role string, content string")
     assert turns.thinking_mode(df).first()["mode"] == "thinking"
     assert turns.thinking_mode(df, enable_thinking=False).first()["mode"] == "non_thinking"
+
+
+def test_configuration_files(spark, tmp_path):
+    flags = {"lstrip": False, "normalized": False, "rstrip": True, "single_word": False}
+    tokens = {"7": {"content": "<a>", "special": True, **flags}, "8": {"content": "<b>", "special": False, **flags}}
+    (tmp_path / "t.json").write_text(json.dumps({"x": 1, "added_tokens_decoder": tokens}, indent=1))
+    rows = dimensions.read_added_tokens(spark, str(tmp_path / "t.json")).orderBy("id").collect()
+    assert [(r.id, r.token, r.rstrip, r.lstrip, r.special) for r in rows] == [
+        (7, "<a>", True, False, True),
+        (8, "<b>", True, False, False),
+    ]
+    (tmp_path / "g.json").write_text(json.dumps({"temperature": 0.6, "top_k": 20, "eos_token_id": [1, 2]}, indent=1))
+    (row,) = dimensions.read_generation_config(spark, str(tmp_path / "g.json")).collect()
+    assert (row.temperature, row.top_k, row.top_p, row.eos_token_id) == (0.6, 20, None, [1, 2])

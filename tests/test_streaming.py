@@ -5,6 +5,7 @@ from conftest import SMALL
 from pyspark.sql import functions as F
 
 from colloquy.operators import turns as batch
+from colloquy.operators.render import history_examples
 from colloquy.plans.shared import scratch_path
 from colloquy.sources.tables import read_turns
 from colloquy.streaming import sessions
@@ -31,8 +32,9 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("slices", [1, 4])
-def test_exit_closes_the_session_for_later_batches(spark, slices):
+@pytest.mark.parametrize("slices, span", [(1, 100), (4, 100), (4, 2)])
+def test_exit_closes_the_session_for_later_batches(spark, monkeypatch, slices, span):
+    monkeypatch.setattr(sessions, "STATE_SPAN", span)
     marked = inputs.mark_exits(read_turns(spark, SMALL))
     base = scratch_path(spark, "exits")
     stream = stream_of(spark, marked, slices)
@@ -56,22 +58,14 @@ def test_prompts_with_history(spark, slices):
     got = {(r.conv_id, r.turn): r.prompt for r in spark.read.parquet(f"{base}/out").collect()}
 
     # The batch form: the prompt for a user turn is what an answer right after it would see.
-    from colloquy.operators.render import history_examples
-
     plain = marked.select("conv_id", "turn", "role", "content")
-    asked = plain.where(C("role") == "user").select("conv_id", "turn")
-    expected = {}
-    for conv, turn in asked.collect():
+    asked = plain.where(C("role") == "user").select("conv_id", "turn").collect()
+    assert set(got) == {(r.conv_id, r.turn) for r in asked}
+    for conv, turn in sorted(got)[::9]:
+        answer = spark.createDataFrame([(conv, turn + 1, "assistant", "x")], CHAT)
         upto = plain.where((C("conv_id") == conv) & (C("turn") <= turn))
-        expected[conv, turn] = upto
-    sample = sorted(expected)[::9]
-    for conv, turn in sample:
-        probe = expected[conv, turn].union(
-            spark.createDataFrame([(conv, turn + 1, "assistant", "x")], CHAT)
-        )
-        (row,) = history_examples(probe).where(C("turn") == turn + 1).collect()
+        (row,) = history_examples(upto.union(answer)).where(C("turn") == turn + 1).collect()
         assert got[conv, turn] == row.prompt
-    assert set(got) == set(expected)
 
 
 def test_long_sessions_keep_no_text(spark):
