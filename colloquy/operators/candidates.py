@@ -15,8 +15,8 @@ from colloquy.functions.fixed import REPETITION_PENALTY
 from colloquy.plans.ordered_groups import OrderedGroups, attach, running_sum, settled, total
 
 
-def _groups(candidates: DataFrame) -> OrderedGroups:
-    return OrderedGroups.of(candidates, ["group_id"], "item_id")
+def _groups(candidates: DataFrame, ordered: bool = False) -> OrderedGroups:
+    return OrderedGroups.of(candidates, ["group_id"], "item_id", ordered)
 
 
 def _mark_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
@@ -74,23 +74,25 @@ def _top_k(groups: OrderedGroups, k: int) -> OrderedGroups:
     # In a cut group the k-th score decides: every task sends at most k rows for it.
     in_group = Window.partitionBy("group_id").orderBy(F.desc("score"))
     kth = (
-        groups.rows.where(groups.hot)
-        .select("group_id", "score")
+        groups.hot_rows.select("group_id", "score")
         .withColumn("_n", F.row_number().over(in_group))
         .where(F.col("_n") <= k)
         .groupBy("group_id")
         .agg(F.min("score").alias("_kth"))
     )
 
+    kth = settled(kth, "kth")
+    at_least = F.col("score") >= F.col("_kth")
+
+    def by_either(df: DataFrame) -> DataFrame:
+        ranked = attach(df.withColumn("_rank", F.rank().over(best_first)), kth, ["group_id"])
+        keep = F.when(groups.hot, at_least).otherwise(F.col("_rank") <= k)
+        return ranked.where(keep).drop("_rank", "_kth")
+
     def by_score(df: DataFrame) -> DataFrame:
-        keep = F.when(groups.hot, F.col("score") >= F.col("_kth")).otherwise(F.col("_rank") <= k)
-        return (
-            attach(df.withColumn("_rank", F.rank().over(best_first)), settled(kth, "kth"), ["group_id"])
-            .where(keep)
-            .drop("_rank", "_kth")
-        )
+        return attach(df, kth, ["group_id"]).where(at_least).drop("_kth")
 
-    return groups.replace(by_score)
+    return groups.replace(by_either, by_score)
 
 
 def _top_p(groups: OrderedGroups, p: float) -> OrderedGroups:
@@ -105,8 +107,7 @@ def _top_p(groups: OrderedGroups, p: float) -> OrderedGroups:
     # In a cut group, go by distinct scores: find the score at which the mass
     # passes p, then take items of that score in order of their id.
     levels = (
-        groups.rows.where(groups.hot)
-        .groupBy("group_id", "score")
+        groups.hot_rows.groupBy("group_id", "score")
         .agg((F.count(F.lit(1)) * F.first("prob")).alias("_level_mass"))
         .withColumn("_down", -F.col("score"))
     )
@@ -118,18 +119,20 @@ def _top_p(groups: OrderedGroups, p: float) -> OrderedGroups:
         .agg(F.max(F.struct("_down", "_above")).alias("_last"))
         .select("group_id", (-F.col("_last._down")).alias("_cut_score"), F.col("_last._above"))
     )
+    last_level = settled(last_level, "levels")
     tied = F.coalesce((F.col("score") == F.col("_cut_score")).cast("bigint"), F.lit(0))
-    enough = (
-        groups.replace(lambda df: attach(df, settled(last_level, "levels"), ["group_id"]).withColumn("_before", before))
-        .with_columns(_ties_before=running_sum(tied))
-    )
+    placed = groups.replace(
+        lambda df: attach(df, last_level, ["group_id"]).withColumn("_before", before),
+        lambda df: attach(df, last_level, ["group_id"]),
+    ).with_columns(_ties_before=running_sum(tied))
     in_cut_group = (F.col("score") > F.col("_cut_score")) | (
         (F.col("score") == F.col("_cut_score"))
         & (F.col("_above") + F.col("_ties_before") * F.col("prob") < p)
     )
-    keep = F.when(groups.hot, in_cut_group).otherwise(F.col("_before") < p)
-    return enough.replace(
-        lambda df: df.where(keep).drop("_before", "_above", "_cut_score", "_ties_before")
+    either = F.when(groups.hot, in_cut_group).otherwise(F.col("_before") < p)
+    helpers = ("_before", "_above", "_cut_score", "_ties_before")
+    return placed.replace(
+        lambda df: df.where(either).drop(*helpers), lambda df: df.where(in_cut_group).drop(*helpers)
     )
 
 
@@ -151,7 +154,7 @@ def top_k(candidates: DataFrame, k: int) -> DataFrame:
 
 def top_p(candidates: DataFrame, p: float, temperature: float = 1.0) -> DataFrame:
     """Items while the mass before them is below ``p``, best first, then by ``item_id``."""
-    return _top_p(_softmax(_groups(candidates), temperature), p).df
+    return _top_p(_softmax(_groups(candidates, ordered=True), temperature), p).df
 
 
 def min_p(candidates: DataFrame, share: float, temperature: float = 1.0) -> DataFrame:
@@ -171,7 +174,7 @@ def select_candidates(
     Top-k does not depend on the temperature, so it goes first and limits what
     is shuffled; ``prob`` sums to 1 over the items left.
     """
-    kept = _top_p(_softmax(_top_k(_groups(candidates), k), temperature), p)
+    kept = _top_p(_softmax(_top_k(_groups(candidates, ordered=True), k), temperature), p)
     if share > 0:
         kept = _min_p(kept, share)
     return (

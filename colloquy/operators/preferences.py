@@ -136,7 +136,7 @@ def group_advantage(
     freedom = F.greatest(F.col("_n") - (1 if sample else 0), F.lit(1))
     spread = F.sqrt(F.col("_squares") / freedom)
     return (
-        OrderedGroups.of(answers, [group], item)
+        OrderedGroups.of(answers, [group], item, ordered=False)
         .with_columns(
             _n=total(F.count, F.col(reward), F.sum), _sum=total(F.sum, F.col(reward))
         )

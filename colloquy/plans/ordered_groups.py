@@ -44,20 +44,33 @@ _HOT = "_hot"
 class Step:
     """A window value, and how it is put together when its group is cut into blocks."""
 
-    local: Callable[[WindowSpec], Column]  # inside one block
-    block: Callable[[Column], Column]  # one value per block, given the order key
+    value: Column
+    local: Callable[[Column, WindowSpec], Column]  # of the value, inside one block
+    block: Callable[[Column, Column], Column]  # of value and order key: one for each block
     carry: Callable[[Column, WindowSpec], Column]  # over the block values of a group
     merge: Callable[[Column, Column, Column], Column]  # (local, carry, in a cut group)
     ordered: bool = True
 
 
+def _whole(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def _before(window: WindowSpec) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _frame(window: WindowSpec, inclusive: bool) -> WindowSpec:
+    return window.rowsBetween(Window.unboundedPreceding, 0) if inclusive else _before(window)
+
+
 def total(agg: Callable, value: Column, combine: Callable | None = None) -> Step:
     """An aggregate of the whole group."""
-    combine = combine or agg
     return Step(
-        local=lambda ordered: agg(value).over(_whole(ordered)),
-        block=lambda order: agg(value),
-        carry=lambda v, ordered: combine(v).over(_whole(ordered)),
+        value,
+        local=lambda v, window: agg(v).over(_whole(window)),
+        block=lambda v, order: agg(v),
+        carry=lambda v, window: (combine or agg)(v).over(_whole(window)),
         merge=lambda local, carry, hot: F.when(hot, carry).otherwise(local),
         ordered=False,
     )
@@ -67,22 +80,13 @@ def total_count() -> Step:
     return total(F.count, F.lit(1), F.sum)
 
 
-def _whole(window: WindowSpec) -> WindowSpec:
-    return window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-
-
-def _frame(window: WindowSpec, inclusive: bool) -> WindowSpec:
-    return window.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-
-
 def running_sum(value: Column, inclusive: bool = False) -> Step:
     """Sum over the rows before this one (0 at the start); ``inclusive`` adds this row."""
     return Step(
-        local=lambda ordered: F.coalesce(
-            F.sum(value).over(_frame(ordered, inclusive)), F.lit(0)
-        ),
-        block=lambda order: F.sum(value),
-        carry=lambda v, ordered: F.sum(v).over(_frame(ordered, False)),
+        value,
+        local=lambda v, window: F.coalesce(F.sum(v).over(_frame(window, inclusive)), F.lit(0)),
+        block=lambda v, order: F.sum(v),
+        carry=lambda v, window: F.sum(v).over(_before(window)),
         merge=lambda local, carry, hot: local + F.coalesce(carry, F.lit(0)),
     )
 
@@ -94,9 +98,10 @@ def position() -> Step:
 
 def running_max(value: Column, inclusive: bool = False) -> Step:
     return Step(
-        local=lambda ordered: F.max(value).over(_frame(ordered, inclusive)),
-        block=lambda order: F.max(value),
-        carry=lambda v, ordered: F.max(v).over(_frame(ordered, False)),
+        value,
+        local=lambda v, window: F.max(v).over(_frame(window, inclusive)),
+        block=lambda v, order: F.max(v),
+        carry=lambda v, window: F.max(v).over(_before(window)),
         merge=lambda local, carry, hot: F.greatest(local, carry),
     )
 
@@ -104,11 +109,10 @@ def running_max(value: Column, inclusive: bool = False) -> Step:
 def running_last(value: Column, inclusive: bool = True) -> Step:
     """The latest value that is not null."""
     return Step(
-        local=lambda ordered: F.last(value, ignorenulls=True).over(
-            _frame(ordered, inclusive)
-        ),
-        block=lambda order: F.max_by(value, F.when(value.isNotNull(), order)),
-        carry=lambda v, ordered: F.last(v, ignorenulls=True).over(_frame(ordered, False)),
+        value,
+        local=lambda v, window: F.last(v, ignorenulls=True).over(_frame(window, inclusive)),
+        block=lambda v, order: F.max_by(v, F.when(v.isNotNull(), order)),
+        carry=lambda v, window: F.last(v, ignorenulls=True).over(_before(window)),
         merge=lambda local, carry, hot: F.coalesce(local, carry),
     )
 
@@ -116,9 +120,10 @@ def running_last(value: Column, inclusive: bool = True) -> Step:
 def previous(value: Column) -> Step:
     """``value`` (a struct, so never null) of the row before; null at the start."""
     return Step(
-        local=lambda ordered: F.lag(value).over(ordered),
-        block=lambda order: F.max_by(value, order),
-        carry=lambda v, ordered: F.lag(v).over(ordered),
+        value,
+        local=lambda v, window: F.lag(v).over(window),
+        block=F.max_by,
+        carry=lambda v, window: F.lag(v).over(window),
         merge=lambda local, carry, hot: F.coalesce(local, carry),
     )
 
@@ -126,9 +131,10 @@ def previous(value: Column) -> Step:
 def following(value: Column) -> Step:
     """``value`` (a struct, so never null) of the row after; null at the end."""
     return Step(
-        local=lambda ordered: F.lead(value).over(ordered),
-        block=lambda order: F.min_by(value, order),
-        carry=lambda v, ordered: F.lead(v).over(ordered),
+        value,
+        local=lambda v, window: F.lead(v).over(window),
+        block=F.min_by,
+        carry=lambda v, window: F.lead(v).over(window),
         merge=lambda local, carry, hot: F.coalesce(local, carry),
     )
 
@@ -161,31 +167,57 @@ def attach(df: DataFrame, small: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 class OrderedGroups:
-    """A DataFrame seen as ordered groups; add window values with ``with_columns``."""
+    """A DataFrame seen as ordered groups; add window values with ``with_columns``.
+
+    If groups are cut, the rows of the cut groups are kept a second time on
+    their own: block values come from those alone, and a total then costs an
+    aggregate but no shuffle of rows.
+    """
 
-    def __init__(self, df: DataFrame, keys: Sequence[str], order: str, cut: bool):
+    def __init__(
+        self,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: str,
+        hot: DataFrame | None = None,
+        ordered: bool = True,
+    ):
         self._df = df
+        self._hot = hot
+        self._ordered = ordered
         self.keys = list(keys)
         self.order = order
-        self.cut = cut
 
     @classmethod
-    def of(cls, df: DataFrame, keys: Sequence[str], order: str) -> OrderedGroups:
+    def of(
+        cls, df: DataFrame, keys: Sequence[str], order: str, ordered: bool = True
+    ) -> OrderedGroups:
+        """``ordered=False`` is enough, and cheaper, for totals alone."""
         keys = list(keys)
         hot_rows = hot_threshold(df)
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         if (counts.agg(F.max("_rows")).first()[0] or 0) <= hot_rows:
-            return cls(df, keys, order, cut=False)
-        cuts = _cut_points(df, counts.where(F.col("_rows") > hot_rows), keys, order, hot_rows // 2)
-        marked = attach(df, cuts, keys)
-        return cls(
-            marked.withColumns({_HOT: F.col("_cuts").isNotNull(), _BLOCK: _block_of(F.col(order))}).drop(
-                "_cuts"
-            ),
-            keys,
-            order,
-            cut=True,
-        )
+            return cls(df, keys, order, ordered=ordered)
+        hot = settled(counts.where(F.col("_rows") > hot_rows), "hot")
+        if ordered:
+            marked = attach(df, _cut_points(df, hot, keys, order, hot_rows // 2), keys)
+            block = _block_between(F.col("_cuts"), F.col(order))
+        else:
+            marked = attach(df, hot, keys)
+            blocks = F.ceil(F.col("_rows") / (hot_rows // 2))
+            block = F.pmod(F.xxhash64(order), blocks)
+        first = marked.columns[-1]
+        marked = marked.withColumns(
+            {
+                _HOT: F.col(first).isNotNull(),
+                _BLOCK: F.when(F.col(first).isNull(), 0).otherwise(block).cast("int"),
+            }
+        ).drop(first)
+        return cls(marked, keys, order, marked.where(F.col(_HOT)), ordered)
+
+    @property
+    def cut(self) -> bool:
+        return self._hot is not None
 
     @property
     def df(self) -> DataFrame:
@@ -197,6 +229,11 @@ class OrderedGroups:
         """The rows, with the helper columns if groups are cut."""
         return self._df
 
+    @property
+    def hot_rows(self) -> DataFrame:
+        """The rows of the cut groups alone."""
+        return self._hot
+
     @property
     def partition(self) -> list[str]:
         """The columns the rows are partitioned by: further work on them needs no shuffle."""
@@ -212,41 +249,63 @@ class OrderedGroups:
         """Whether a row belongs to a group that is cut into blocks."""
         return F.col(_HOT) if self.cut else F.lit(False)
 
-    def replace(self, change: Callable[[DataFrame], DataFrame]) -> OrderedGroups:
-        """The same groups after a row-wise change of the DataFrame."""
-        return OrderedGroups(change(self._df), self.keys, self.order, self.cut)
+    def replace(
+        self,
+        change: Callable[[DataFrame], DataFrame],
+        hot_change: Callable[[DataFrame], DataFrame] | None = None,
+    ) -> OrderedGroups:
+        """The same groups after a row-wise change of the DataFrame.
+
+        ``hot_change`` does the same to rows of cut groups, if that is less work.
+        """
+        hot = (hot_change or change)(self._hot) if self.cut else None
+        return OrderedGroups(change(self._df), self.keys, self.order, hot, self._ordered)
 
     def with_columns(self, **steps: Step) -> OrderedGroups:
-        # Totals next to ordered steps share their window, so that Spark plans one sort for
-        # all; totals alone need no order and keep whatever the rows are sorted by.
-        window = Window.partitionBy(*self.partition)
-        ordered = window.orderBy(self.order) if any(s.ordered for s in steps.values()) else window
-        local = self._df.withColumns({n: s.local(ordered) for n, s in steps.items()})
+        if not self._ordered and any(s.ordered for s in steps.values()):
+            raise ValueError("these groups have no order, only totals")
         if not self.cut:
-            return OrderedGroups(local, self.keys, self.order, cut=False)
-        blocks = (
-            self._df.where(F.col(_HOT))
-            .groupBy(*self.partition)
-            .agg(*[s.block(F.col(self.order)).alias(n) for n, s in steps.items()])
-        )
-        ordered = Window.partitionBy(*self.keys).orderBy(_BLOCK)
-        carried = blocks.select(
-            *self.partition,
-            *[s.carry(F.col(n), ordered).alias(f"_carry_{n}") for n, s in steps.items()],
+            return self.replace(lambda df: self._local(df, steps))
+        values = self._hot.select(
+            *self.partition, F.col(self.order).alias("_order"), *[s.value.alias(n) for n, s in steps.items()]
         )
-        merged = attach(local, settled(carried, "blocks"), self.partition).withColumns(
-            {n: s.merge(F.col(n), F.col(f"_carry_{n}"), F.col(_HOT)) for n, s in steps.items()}
+        blocks = values.groupBy(*self.partition).agg(
+            *[s.block(F.col(n), F.col("_order")).alias(n) for n, s in steps.items()]
         )
-        return OrderedGroups(
-            merged.drop(*[f"_carry_{n}" for n in steps]), self.keys, self.order, cut=True
+        across = Window.partitionBy(*self.keys).orderBy(_BLOCK)
+        carried = settled(
+            blocks.select(
+                *self.partition,
+                *[s.carry(F.col(n), across).alias(f"_carry_{n}") for n, s in steps.items()],
+            ),
+            "blocks",
         )
 
+        def merged(df: DataFrame, hot: Column) -> DataFrame:
+            return (
+                attach(self._local(df, steps), carried, self.partition)
+                .withColumns(
+                    {n: s.merge(F.col(n), F.col(f"_carry_{n}"), hot) for n, s in steps.items()}
+                )
+                .drop(*[f"_carry_{n}" for n in steps])
+            )
+
+        return self.replace(lambda df: merged(df, F.col(_HOT)), lambda df: merged(df, F.lit(True)))
+
+    def _local(self, df: DataFrame, steps: dict[str, Step]) -> DataFrame:
+        # Totals next to ordered steps share their window, so that Spark plans one sort for
+        # all; totals alone need no order and keep whatever the rows are sorted by.
+        window = Window.partitionBy(*self.partition)
+        if any(s.ordered for s in steps.values()):
+            window = window.orderBy(self.order)
+        return df.withColumns({n: s.local(s.value, window) for n, s in steps.items()})
+
 
 def _cut_points(
     df: DataFrame, hot: DataFrame, keys: list[str], order: str, block_rows: int
 ) -> DataFrame:
     """One row per large group with the order keys at which its blocks begin."""
-    rows = attach(df.select(*keys, order), settled(hot, "hot"), keys).where(F.col("_rows").isNotNull())
+    rows = attach(df.select(*keys, order), hot, keys).where(F.col("_rows").isNotNull())
     shares = ", ".join(f"{i / _MAX_BLOCKS}D" for i in range(1, _MAX_BLOCKS))
     points = F.expr(f"percentile_approx(`{order}`, array({shares}), {_MAX_BLOCKS * 16})")
     stride = F.greatest(F.lit(1), F.floor(_MAX_BLOCKS * F.lit(block_rows) / F.col("_rows")))
@@ -269,11 +328,8 @@ def _cut_points(
     return settled(cuts, "cuts")
 
 
-def _block_of(order: Column) -> Column:
-    """How many cut points are not above the order key; 0 outside the cut groups."""
-    cuts = F.col("_cuts")
+def _block_between(cuts: Column, order: Column) -> Column:
+    """How many cut points are not above the order key."""
     far = F.size(F.filter(cuts, lambda x, i: (i % _COARSE == 0) & (x <= order)))
     near = F.size(F.filter(F.slice(cuts, (far - 1) * _COARSE + 1, _COARSE), lambda x: x <= order))
-    return (
-        F.when(cuts.isNull() | (far == 0), 0).otherwise((far - 1) * _COARSE + near).cast("int")
-    )
+    return F.when(far == 0, 0).otherwise((far - 1) * _COARSE + near)

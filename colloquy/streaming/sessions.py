@@ -213,8 +213,8 @@ def history_prompts(
         def answer(self, waiting):
             import pandas as pd
 
-            state = self.memory.get() if self.memory.exists() else ("", "", "", False, "", False)
-            base, short, long, asked, last, full = state
+            fresh = ("", "", "", False, "", False)
+            base, short, long, asked, last, full = self.memory.get() or fresh
             prompts = []
             for row in waiting.itertuples(index=False):
                 if not full:
