@@ -19,9 +19,17 @@ def _groups(candidates: DataFrame, ordered: bool = False) -> OrderedGroups:
     return OrderedGroups.of(candidates, ["group_id"], "item_id", ordered)
 
 
-def _mark_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
-    known = seen.select("group_id", "item_id").distinct().withColumn("_seen", F.lit(True))
-    return candidates.join(known, ["group_id", "item_id"], "left")
+def mark_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+    """Add ``seen``: whether the item is among the group's seen ones, repeats or not."""
+    known = seen.select("group_id", "item_id").distinct().withColumn("seen", F.lit(True))
+    return candidates.join(known, ["group_id", "item_id"], "left").withColumn(
+        "seen", F.coalesce("seen", F.lit(False))
+    )
+
+
+def unseen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
+    """The candidates that have not been seen."""
+    return candidates.join(seen, ["group_id", "item_id"], "left_anti")
 
 
 def repetition_penalty(
@@ -31,9 +39,9 @@ def repetition_penalty(
     score = F.col("score")
     pushed = F.when(score < 0, score * penalty).otherwise(score / penalty)
     return (
-        _mark_seen(candidates, seen)
-        .withColumn("score", F.when(F.col("_seen"), pushed).otherwise(score))
-        .drop("_seen")
+        mark_seen(candidates, seen)
+        .withColumn("score", F.when(F.col("seen"), pushed).otherwise(score))
+        .drop("seen")
     )
 
 
@@ -41,9 +49,9 @@ def presence_penalty(candidates: DataFrame, seen: DataFrame, penalty: float) ->
     """Subtract ``penalty`` (0 to 2) from the scores of seen items, once each."""
     score = F.col("score")
     return (
-        _mark_seen(candidates, seen)
-        .withColumn("score", F.when(F.col("_seen"), score - penalty).otherwise(score))
-        .drop("_seen")
+        mark_seen(candidates, seen)
+        .withColumn("score", F.when(F.col("seen"), score - penalty).otherwise(score))
+        .drop("seen")
     )
 
 

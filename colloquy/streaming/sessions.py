@@ -184,7 +184,7 @@ def history_prompts(
             self.handle = handle
             self.memory = handle.getValueState(
                 "memory",
-                "base STRING, short STRING, long STRING, asked BOOLEAN, last STRING, full BOOLEAN",
+                "base STRING, short STRING, long STRING, asked BOOLEAN, last STRING, chars LONG",
             )
 
         def handleInputRows(self, key, rows, timer_values):
@@ -213,11 +213,14 @@ def history_prompts(
         def answer(self, waiting):
             import pandas as pd
 
-            fresh = ("", "", "", False, "", False)
-            base, short, long, asked, last, full = self.memory.get() or fresh
+            fresh = ("", "", "", False, "", 0)
+            base, short, long, asked, last, chars = self.memory.get() or fresh
             prompts = []
             for row in waiting.itertuples(index=False):
-                if not full:
+                chars += len(row.long)
+                if chars > max_chars:
+                    base, short, long = "", "", ""
+                else:
                     mark = "<|im_end|>\n" if last == "tool" and row.role != "tool" else ""
                     if row.role == "tool" and last != "tool":
                         mark = "<|im_start|>user"
@@ -226,12 +229,10 @@ def history_prompts(
                     else:
                         short, long = short + mark + row.short, long + mark + row.long
                     last = row.role
-                    if len(base) + len(long) > max_chars:
-                        base, short, long, full = "", "", "", True
                 if row.role == "user":
-                    prompt = None if full else base + (long if asked else short) + ending
-                    prompts.append((row.conv_id, row.turn, prompt))
-            self.memory.update((base, short, long, asked, last, full))
+                    said = None if chars > max_chars else base + (long if asked else short)
+                    prompts.append((row.conv_id, row.turn, said and said + ending))
+            self.memory.update((base, short, long, asked, last, chars))
             return pd.DataFrame(prompts, columns=["conv_id", "turn", "prompt"])
 
         def handleExpiredTimer(self, key, timer_values, expired):

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from colloquy.functions.fixed import DEFAULT_SYSTEM_PROMPT
 from colloquy.operators import answers, turns
+from colloquy.operators.render import render_conversation
 from colloquy.plans.shared import scratch_path
 from colloquy.sources import datasets, dimensions
+from colloquy.sources.messages import read_messages
 
 C = F.col
 
@@ -129,3 +131,32 @@ def test_configuration_files(spark, tmp_path):
     (tmp_path / "g.json").write_text(json.dumps({"temperature": 0.6, "top_k": 20, "eos_token_id": [1, 2]}, indent=1))
     (row,) = dimensions.read_generation_config(spark, str(tmp_path / "g.json")).collect()
     assert (row.temperature, row.top_k, row.top_p, row.eos_token_id) == (0.6, 20, None, [1, 2])
+
+
+def test_messages_keep_the_spelling_of_tools_and_arguments(spark):
+    path = scratch_path(spark, "messages")
+    calls = [
+        {"function": {"name": "f", "arguments": {"b": [1, 2], "a": "ä"}}},
+        {"name": "g", "arguments": '{"x":1}'},
+    ]
+    record = {
+        "conv_id": 7,
+        "tools": [{"type": "function", "name": "f"}],
+        "messages": [
+            {"role": "user", "content": "hi"},
+            {"role": "assistant", "content": ["no text"], "tool_calls": calls},
+            {"role": "user", "content": "more"},
+        ],
+    }
+    lines = [json.dumps(record), '{"conv_id": 8}', "nonsense"]
+    spark.createDataFrame([(v,) for v in lines], "value string").write.text(path)
+    read, bad = read_messages(spark, path)
+    assert sorted(r.value for r in bad.collect()) == sorted(lines[1:])
+    prompt = render_conversation(read).first().prompt
+    assert '\n{"type": "function", "name": "f"}\n</tools>' in prompt
+    assert prompt.endswith(
+        "<|im_start|>user\nhi<|im_end|>\n<|im_start|>assistant\n"
+        '<tool_call>\n{"name": "f", "arguments": {"b": [1, 2], "a": "ä"}}\n</tool_call>\n'
+        '<tool_call>\n{"name": "g", "arguments": {"x":1}}\n</tool_call><|im_end|>\n'
+        "<|im_start|>user\nmore<|im_end|>\n"
+    )

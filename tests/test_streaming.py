@@ -94,3 +94,20 @@ def test_latest_response(spark):
     got = sessions.read_latest(spark, f"{base}/out")
     expected = turns.groupBy("conv_id", "role").agg(F.max_by("content", "turn"), F.count("*"))
     assert rows(got) == rows(expected)
+
+
+@pytest.mark.parametrize("slices", [1, 3])
+def test_limit_counts_reasoning_however_batches_fall(spark, slices):
+    sessions.use_rocksdb(spark)
+    answer = "<think>\n" + "r" * 200 + "\n</think>\n\na"
+    data = [(1, t, "user" if t % 2 == 0 else "assistant", "u" if t % 2 == 0 else answer) for t in range(12)]
+    base = scratch_path(spark, "limit")
+    prompts = sessions.history_prompts(stream_of(spark, spark.createDataFrame(data, CHAT), slices), 600)
+    sessions.write_batches(prompts, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
+    got = {r.turn: r.prompt for r in spark.read.parquet(f"{base}/out").collect()}
+    user = len("<|im_start|>user\nu<|im_end|>\n")
+    reasoned = len("<|im_start|>assistant\n<|im_end|>\n") + len(answer)
+    for turn in range(0, 12, 2):
+        chars = (turn // 2 + 1) * user + turn // 2 * reasoned
+        assert (got[turn] is None) == (chars > 600)
+    assert got[4] is not None and got[10] is None and "r" * 200 not in got[4]

@@ -385,6 +385,10 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               SELECT name, CASE WHEN type = 'chat' THEN {two_turns("input")} ELSE input END AS prompt FROM cases)
             SELECT name, CASE WHEN prompt LIKE '%z%' THEN NULL ELSE {stub_answer("prompt")} END AS output,
               CASE WHEN prompt LIKE '%z%' THEN 'ValueError: no z please' END AS error, true AS timed FROM prompts""",
+        "messages_scan": f"""WITH {MARKED}
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id, turn // 40 ORDER BY turn) - 1 AS turn, role, content,
+              aside AS reasoning_content, CASE WHEN calls = 2 THEN '{{"k": ' || conv_id || '}}' END AS second_call
+            FROM marked""",
         # projections and filters
         "dispatch_prompts": f"""WITH {CASES} SELECT name,
             CASE WHEN type = 'chat' THEN {two_turns("input")} ELSE input END AS prompt FROM cases""",
@@ -412,6 +416,7 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         "strip_echo": f"""{CHAT}, {ECHOED}
             SELECT conv_id, trim(CASE WHEN starts_with(output, prompt)
               THEN substring(output, length(prompt) + 1) ELSE output END, {BLANKS}) AS answer FROM echoed""",
+        "clean_output": f"""{CHAT}, {ECHOED} SELECT conv_id, 'answer ' || conv_id AS answer FROM echoed""",
         "strip_special_tokens": f"""{CHAT} SELECT conv_id, {without_special("prompt")} AS clean FROM rendered""",
         "split_reasoning": f"""WITH {MARKED}, {PLACED}
             SELECT conv_id, turn, reasoning, answer FROM parted WHERE role = 'assistant'""",
@@ -498,6 +503,10 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               SELECT *, ln(prob) - ln(-ln({unit("draw", "group_id", "item_id")})) AS luck FROM s)
             SELECT group_id, item_id FROM lucky
             QUALIFY row_number() OVER (PARTITION BY group_id ORDER BY luck DESC, item_id) = 1""",
+        "mark_seen": """SELECT user_id AS group_id, event_id AS item_id, round(value / 100, 6) AS score,
+              event_type = 'purchase' AS seen FROM events""",
+        "unseen_candidates": """SELECT user_id AS group_id, event_id AS item_id, round(value / 100, 6) AS score
+            FROM events WHERE event_type <> 'purchase'""",
         "repetition_penalty": """SELECT user_id AS group_id, event_id AS item_id, round(CASE
               WHEN event_type <> 'purchase' THEN value / 100 - 2
               WHEN value / 100 - 2 < 0 THEN (value / 100 - 2) * 1.1 ELSE (value / 100 - 2) / 1.1 END, 6) AS score

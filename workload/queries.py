@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from colloquy.functions import template, text
 from colloquy.operators import answers, candidates, corpus, preferences, render, turns
 from colloquy.plans.shared import scratch_path
-from colloquy.sources import datasets, dimensions
+from colloquy.sources import datasets, dimensions, messages
 from colloquy.sources.tables import read_table, read_turns
 from colloquy.streaming import sessions
 from workload import inputs
@@ -109,6 +109,31 @@ def run_report(spark, sf_dir):
     return report.select("name", "output", "error", (C("elapsed_s") >= 0).alias("timed"))
 
 
+@query
+def messages_scan(spark, sf_dir):
+    """Sittings of a conversation written as lists of messages, read back as turns.
+
+    Turn numbers are unique in a conversation, so a sitting has at most 40 messages.
+    """
+    chat = inputs.chat_marked(spark, sf_dir)
+    fields = ["role", "content", "reasoning_content", "tool_calls"]
+    lists = chat.groupBy("conv_id", F.floor(C("turn") / 40).alias("sitting")).agg(
+        F.array_sort(F.collect_list(F.struct("turn", F.struct(*fields).alias("m")))).alias("sorted")
+    )
+    record = F.struct("conv_id", F.transform("sorted", lambda x: x["m"]).alias("messages"))
+    path = scratch_path(spark, "messages")
+    lists.select(F.to_json(record).alias("value")).write.text(path)
+    turns_read, _ = messages.read_messages(spark, path)
+    return turns_read.select(
+        "conv_id",
+        "turn",
+        "role",
+        "content",
+        "reasoning_content",
+        F.get(C("tool_calls"), F.lit(1))["arguments"].alias("second_call"),
+    )
+
+
 # Projections and filters
 
 
@@ -170,6 +195,15 @@ def strip_echo(spark, sf_dir):
     )
 
 
+@query
+def clean_output(spark, sf_dir):
+    """Outputs as a decoder gives them: special tokens gone from the prompt they repeat."""
+    decoded = inputs.echoed(spark, sf_dir).withColumn(
+        "output", text.strip_special_tokens(C("output"))
+    )
+    return answers.clean_output(decoded).select("conv_id", "answer")
+
+
 @query
 def strip_special_tokens(spark, sf_dir):
     return inputs.rendered(spark, sf_dir).select(
@@ -415,6 +449,18 @@ def weighted_pick(spark, sf_dir):
     return candidates.weighted_pick(weighted, "draw")
 
 
+@query
+def mark_seen(spark, sf_dir):
+    marked = candidates.mark_seen(inputs.candidates(spark, sf_dir), inputs.seen(spark, sf_dir))
+    return rounded(marked, "score")
+
+
+@query
+def unseen_candidates(spark, sf_dir):
+    left = candidates.unseen(inputs.candidates(spark, sf_dir), inputs.seen(spark, sf_dir))
+    return rounded(left, "score")
+
+
 @query
 def repetition_penalty(spark, sf_dir):
     # centred, so that both signs of score occur
