@@ -20,8 +20,8 @@ def with_rejected(pairs: DataFrame) -> DataFrame:
     conversations, so these are large groups by nature.
     """
     return (
-        OrderedGroups.of(pairs, ["turn"], "conv_id")
-        .with_columns(_next=following(F.struct("answer")))
+        OrderedGroups.of(pairs, ["turn"], "conv_id", store=True)
+        .with_columns(_next=following(F.struct("answer"), wide=True))
         .df.select(
             "conv_id",
             "turn",

@@ -113,7 +113,9 @@ def qa_pairs(turns: DataFrame) -> DataFrame:
     # Two values, so that a user of the places alone does not pull the texts along.
     return (
         conversations(turns.select("conv_id", "turn", "role", "content"))
-        .with_columns(_next=following(F.struct("role")), _reply=following(F.struct("content")))
+        .with_columns(
+            _next=following(F.struct("role")), _reply=following(F.struct("content"), wide=True)
+        )
         .df.where((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
         .select(
             "conv_id",

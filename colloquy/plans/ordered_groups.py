@@ -50,6 +50,7 @@ class Step:
     carry: Callable[[Column, WindowSpec], Column]  # over the block values of a group
     merge: Callable[[Column, Column, Column], Column]  # (local, carry, in a cut group)
     ordered: bool = True
+    wide: bool = False  # a large value, of a block's first or last row
 
 
 def _whole(window: WindowSpec) -> WindowSpec:
@@ -117,18 +118,23 @@ def running_last(value: Column, inclusive: bool = True) -> Step:
     )
 
 
-def previous(value: Column) -> Step:
-    """``value`` (a struct, so never null) of the row before; null at the start."""
+def previous(value: Column, wide: bool = False) -> Step:
+    """``value`` (a struct, so never null) of the row before; null at the start.
+
+    ``wide`` values, such as texts, are fetched from the edges of the blocks by a
+    join; an aggregate over them would sort all texts.
+    """
     return Step(
         value,
         local=lambda v, window: F.lag(v).over(window),
         block=F.max_by,
         carry=lambda v, window: F.lag(v).over(window),
         merge=lambda local, carry, hot: F.coalesce(local, carry),
+        wide=wide,
     )
 
 
-def following(value: Column) -> Step:
+def following(value: Column, wide: bool = False) -> Step:
     """``value`` (a struct, so never null) of the row after; null at the end."""
     return Step(
         value,
@@ -136,6 +142,7 @@ def following(value: Column) -> Step:
         block=F.min_by,
         carry=lambda v, window: F.lead(v).over(window),
         merge=lambda local, carry, hot: F.coalesce(local, carry),
+        wide=wide,
     )
 
 
@@ -190,14 +197,26 @@ class OrderedGroups:
 
     @classmethod
     def of(
-        cls, df: DataFrame, keys: Sequence[str], order: str, ordered: bool = True
+        cls,
+        df: DataFrame,
+        keys: Sequence[str],
+        order: str,
+        ordered: bool = True,
+        store: bool = False,
     ) -> OrderedGroups:
-        """``ordered=False`` is enough, and cheaper, for totals alone."""
+        """``ordered=False`` is enough, and cheaper, for totals alone.
+
+        Cut groups read the rows several times; ``store`` writes them to the
+        shared folder first, for rows that are dear to compute.
+        """
         keys = list(keys)
         hot_rows = hot_threshold(df)
         counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         if (counts.agg(F.max("_rows")).first()[0] or 0) <= hot_rows:
             return cls(df, keys, order, ordered=ordered)
+        if store:
+            df = settled(df, "rows")
+            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         hot = settled(counts.where(F.col("_rows") > hot_rows), "hot")
         if ordered:
             marked = attach(df, _cut_points(df, hot, keys, order, hot_rows // 2), keys)
@@ -269,9 +288,7 @@ class OrderedGroups:
         values = self._hot.select(
             *self.partition, F.col(self.order).alias("_order"), *[s.value.alias(n) for n, s in steps.items()]
         )
-        blocks = values.groupBy(*self.partition).agg(
-            *[s.block(F.col(n), F.col("_order")).alias(n) for n, s in steps.items()]
-        )
+        blocks = self._blocks(values, steps)
         across = Window.partitionBy(*self.keys).orderBy(_BLOCK)
         carried = settled(
             blocks.select(
@@ -292,6 +309,25 @@ class OrderedGroups:
 
         return self.replace(lambda df: merged(df, F.col(_HOT)), lambda df: merged(df, F.lit(True)))
 
+    def _blocks(self, values: DataFrame, steps: dict[str, Step]) -> DataFrame:
+        """One row per block with the value of each step."""
+
+        def aggregates(wide: bool) -> list[Column]:
+            order = F.col("_order")
+            return [s.block(F.col(n), order).alias(n) for n, s in steps.items() if s.wide == wide]
+
+        if not any(s.wide for s in steps.values()):
+            return values.groupBy(*self.partition).agg(*aggregates(False))
+        edges = [F.min("_order").alias("_first"), F.max("_order").alias("_last")]
+        narrow = settled(values.groupBy(*self.partition).agg(*edges, *aggregates(False)), "edges")
+        at_edge = attach(values, narrow.select(*self.partition, "_first", "_last"), self.partition)
+        wide = (
+            at_edge.where(F.col("_order").isin(F.col("_first"), F.col("_last")))
+            .groupBy(*self.partition)
+            .agg(*aggregates(True))
+        )
+        return attach(narrow.drop("_first", "_last"), wide, self.partition)
+
     def _local(self, df: DataFrame, steps: dict[str, Step]) -> DataFrame:
         # Totals next to ordered steps share their window, so that Spark plans one sort for
         # all; totals alone need no order and keep whatever the rows are sorted by.

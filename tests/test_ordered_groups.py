@@ -76,8 +76,16 @@ def test_all_steps(spark, hot_rows, seed):
             best=total(F.max, C("v")),
             prev=previous(F.struct("o")),
             next=following(F.struct("o")),
+            wide_prev=previous(F.struct("o", "v"), wide=True),
+            wide_next=following(F.struct("o", "v"), wide=True),
         )
         assert groups.cut == (hot_rows < 200)
+        collected = groups.df.collect()
+        values = {(r.k, r.o): r.v for r in collected}
+        for r in collected:
+            for near, wide in ((r.prev, r.wide_prev), (r.next, r.wide_next)):
+                assert (near is None) == (wide is None)
+                assert near is None or (near.o, values[r.k, near.o]) == tuple(wide)
         got = {
             (r.k, r.o): (
                 r.i,
@@ -90,7 +98,7 @@ def test_all_steps(spark, hot_rows, seed):
                 r.prev and r.prev.o,
                 r.next and r.next.o,
             )
-            for r in groups.df.collect()
+            for r in collected
         }
     finally:
         spark.conf.unset(HOT_ROWS_SETTING)
