@@ -19,8 +19,8 @@ from colloquy.plans.ordered_groups import (
 ROLES = ["system", "user", "assistant", "tool"]
 
 
-def conversations(turns: DataFrame) -> OrderedGroups:
-    return OrderedGroups.of(turns, ["conv_id"], "turn")
+def conversations(turns: DataFrame, ordered: bool = True) -> OrderedGroups:
+    return OrderedGroups.of(turns, ["conv_id"], "turn", ordered)
 
 
 def drop_empty_turns(turns: DataFrame) -> DataFrame:
@@ -32,7 +32,9 @@ def drop_empty_turns(turns: DataFrame) -> DataFrame:
 def take_until_exit(turns: DataFrame) -> DataFrame:
     """Drop the first user turn that is an exit word, and everything after it."""
     leaves = (F.col("role") == "user") & text.is_exit(F.col("content"))
-    closed = conversations(turns).with_columns(_closed=total(F.min, F.when(leaves, F.col("turn"))))
+    closed = conversations(turns, ordered=False).with_columns(
+        _closed=total(F.min, F.when(leaves, F.col("turn")))
+    )
     return closed.df.where(F.col("_closed").isNull() | (F.col("turn") < F.col("_closed"))).drop(
         "_closed"
     )

@@ -218,20 +218,19 @@ class OrderedGroups:
             df = settled(df, "rows")
             counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
         hot = settled(counts.where(F.col("_rows") > hot_rows), "hot")
+        block_rows = max(hot_rows // 2, 1)
         if ordered:
-            marked = attach(df, _cut_points(df, hot, keys, order, hot_rows // 2), keys)
-            block = _block_between(F.col("_cuts"), F.col(order))
+            known, small = F.col("_cuts"), _cut_points(df, hot, keys, order, block_rows)
+            block = _block_between(known, F.col(order))
         else:
-            marked = attach(df, hot, keys)
-            blocks = F.ceil(F.col("_rows") / (hot_rows // 2))
-            block = F.pmod(F.xxhash64(order), blocks)
-        first = marked.columns[-1]
-        marked = marked.withColumns(
-            {
-                _HOT: F.col(first).isNotNull(),
-                _BLOCK: F.when(F.col(first).isNull(), 0).otherwise(block).cast("int"),
-            }
-        ).drop(first)
+            known, small = F.col("_rows"), hot
+            block = F.pmod(F.xxhash64(order), F.ceil(known / block_rows))
+        marked = (
+            attach(df, small, keys)
+            .withColumn(_HOT, known.isNotNull())
+            .withColumn(_BLOCK, F.when(F.col(_HOT), block).otherwise(0).cast("int"))
+            .drop("_cuts", "_rows")
+        )
         return cls(marked, keys, order, marked.where(F.col(_HOT)), ordered)
 
     @property
@@ -286,7 +285,9 @@ class OrderedGroups:
         if not self.cut:
             return self.replace(lambda df: self._local(df, steps))
         values = self._hot.select(
-            *self.partition, F.col(self.order).alias("_order"), *[s.value.alias(n) for n, s in steps.items()]
+            *self.partition,
+            F.col(self.order).alias("_order"),
+            *[s.value.alias(n) for n, s in steps.items()],
         )
         blocks = self._blocks(values, steps)
         across = Window.partitionBy(*self.keys).orderBy(_BLOCK)
@@ -347,10 +348,7 @@ def _cut_points(
     stride = F.greatest(F.lit(1), F.floor(_MAX_BLOCKS * F.lit(block_rows) / F.col("_rows")))
     cuts = (
         rows.groupBy(*keys)
-        .agg(
-            F.first("_rows").alias("_rows"),
-            points.alias("_points"),
-        )
+        .agg(F.first("_rows").alias("_rows"), points.alias("_points"))
         .withColumn("_stride", stride)
         .select(
             *keys,
