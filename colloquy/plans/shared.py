@@ -2,27 +2,35 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _CHECKPOINT_SETTING = "spark.checkpoint.dir"
+_own: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; on one machine a new folder if that is unset."""
+    """The cluster's ``spark.checkpoint.dir``.
+
+    Only a session on one machine may leave it unset: it then has a folder of
+    its own, which goes when the driver ends.
+    """
     named = spark.conf.get(_CHECKPOINT_SETTING, None)
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.split("[")[0] == "local":
         raise ValueError(f"set {_CHECKPOINT_SETTING} to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="colloquy-")
-    spark.conf.set(_CHECKPOINT_SETTING, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own:
+        _own[application] = tempfile.mkdtemp(prefix="colloquy-")
+        atexit.register(shutil.rmtree, _own[application], ignore_errors=True)
+    return _own[application]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
