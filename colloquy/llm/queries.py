@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import simhash
+from colloquy.llm import bpe, simhash
 from colloquy.llm.common import read
 
 C = F.col
@@ -28,3 +28,17 @@ def queries() -> dict[str, Query]:
 def op3_simhash(spark, sf_dir):
     near = simhash.near_copies(spark, read(spark, sf_dir, "documents"))
     return near.select("doc_id", simhash.hexadecimal(C("fp")).alias("fingerprint"), C("component").alias("component_id"))
+
+
+@query
+def op10_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    coded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", C("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
