@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, simhash
+from colloquy.llm import bpe, secrets, simhash
 from colloquy.llm.common import read
 
 C = F.col
@@ -24,6 +24,20 @@ def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
+@query
+def op2_secrets(spark, sf_dir):
+    found, _ = secrets.scan(spark, read(spark, sf_dir, "documents"), ["doc_id"])
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    kinds = [r.kind for r in secrets.BASE]
+    base = F.filter("spans", lambda s: s["kind"].isin(kinds))
+    return found.select(
+        "doc_id",
+        *[count(k) for k in kinds],
+        F.sha2(secrets.written(base), 256).alias("base_sha256"),
+        secrets.written(C("spans")).alias("spans"),
+    )
+
+
 @query
 def op3_simhash(spark, sf_dir):
     near = simhash.near_copies(spark, read(spark, sf_dir, "documents"))
