@@ -96,7 +96,13 @@ def integer_cuts(df: DataFrame, key: str, weight: Column, parts: int) -> list[in
 
 
 def range_of(key: Column, cuts: list[int]) -> Column:
-    """Number of the range that holds the key."""
-    literal = F.array(*[F.lit(int(c)).cast("long") for c in cuts])
-    below = F.size(F.filter(literal, lambda c: c <= key.cast("long")))
-    return F.when(key.isNull(), F.lit(0)).otherwise(below)
+    """Number of the range that holds the key, found by two short searches."""
+    if not cuts:
+        return F.lit(0)
+    step = max(1, round(len(cuts) ** 0.5))
+    rows = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    numbers = lambda values: F.array(*[F.lit(int(v)).cast("long") for v in values])
+    upto = lambda values: F.size(F.filter(values, lambda c: c <= key.cast("long")))
+    row = upto(numbers([r[0] for r in rows])) - 1
+    inside = upto(F.get(F.array(*[numbers(r) for r in rows]), row))
+    return F.when(key.isNull() | (row < 0), F.lit(0)).otherwise(row * step + inside)

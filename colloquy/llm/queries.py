@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, secrets, simhash
+from colloquy.llm import bpe, multiset, secrets, simhash
 from colloquy.llm.common import read
 
 C = F.col
@@ -44,6 +44,15 @@ def op3_simhash(spark, sf_dir):
     return near.select("doc_id", simhash.hexadecimal(C("fp")).alias("fingerprint"), C("component").alias("component_id"))
 
 
+@query
+def op4_multiset(spark, sf_dir):
+    rows = multiset.compared(spark, read(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        "fingerprint", "edited_fingerprint", "near_edited", "near_next",
+    )
+
+
 @query
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
