@@ -1,7 +1,23 @@
-"""DuckDB SQL for the registered queries that SQL can express."""
+"""DuckDB SQL for the registered queries that SQL can express, written from their definitions."""
 
 from __future__ import annotations
 
+WARC = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, sha1(coalesce(html, '')) AS digest FROM pages
+), w AS (
+  SELECT *, max(page_id) OVER (PARTITION BY digest) AS response,
+    array_to_string(list_transform(string_split(digest, ''), lambda c: substr('0000000100100011010001010110011110001001101010111100110111101111', 4 * (strpos('0123456789abcdef', c) - 1) + 1, 4)), '') AS bits
+  FROM p
+)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+  array_to_string(list_transform(range(0, 160, 5), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + list_sum(list_transform(range(5), lambda j: CASE WHEN substr(bits, (i + j + 1)::INT, 1) = '1' THEN (16 >> j::INT) ELSE 0 END))::INT, 1)), '') AS payload_digest,
+  CASE WHEN page_id = response THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id < response THEN response END AS refers_to
+FROM w
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc": WARC}

@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, multiset, secrets, simhash
+from colloquy.llm import bpe, multiset, secrets, simhash, warc
 from colloquy.llm.common import read
+from colloquy.plans.shared import scratch_path
 
 C = F.col
 Query = Callable[[SparkSession, str], DataFrame]
@@ -53,6 +54,14 @@ def op4_multiset(spark, sf_dir):
     )
 
 
+@query
+def op5_warc(spark, sf_dir):
+    folder = scratch_path(spark, "archive")
+    warc.write(spark, read(spark, sf_dir, "pages"), folder)
+    records = warc.read(spark, folder)
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
