@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, multiset, secrets, simhash, warc
+from colloquy.llm import bpe, multiset, packing, secrets, simhash, warc
 from colloquy.llm.common import read
 from colloquy.plans.shared import scratch_path
 
@@ -25,6 +25,18 @@ def queries() -> dict[str, Query]:
     return dict(REGISTRY)
 
 
+SHARDS = 16
+
+
+@query
+def op1_packing(spark, sf_dir):
+    placed = packing.assign(spark, read(spark, sf_dir, "documents"), SHARDS)
+    return placed.select(
+        "doc_id", "size", C("crc32").alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 @query
 def op2_secrets(spark, sf_dir):
     found, _ = secrets.scan(spark, read(spark, sf_dir, "documents"), ["doc_id"])
