@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, multiset, packing, secrets, simhash, warc
+from colloquy.llm import bpe, multiset, packing, quality, secrets, simhash, warc
 from colloquy.llm.common import read
 from colloquy.plans.shared import scratch_path
 
@@ -74,6 +74,18 @@ def op5_warc(spark, sf_dir):
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def held_out():
+    return F.crc32(C("doc_id").cast("string").cast("binary")) % 4 == 2
+
+
+@query
+def op6_quality(spark, sf_dir):
+    docs, labels = read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(~held_out()))
+    scored = docs.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), quality.score(C("text"), model).alias("score"))
+    return scored.withColumn("predicted", (C("score") >= quality.KEEP).cast("int"))
+
+
 @query
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
