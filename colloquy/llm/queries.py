@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, multiset, packing, quality, secrets, simhash, warc
+from colloquy.llm import bpe, licences, multiset, packing, quality, secrets, simhash, tiling, warc
 from colloquy.llm.common import read
 from colloquy.plans.shared import scratch_path
 
@@ -86,6 +86,28 @@ def op6_quality(spark, sf_dir):
     return scored.withColumn("predicted", (C("score") >= quality.KEEP).cast("int"))
 
 
+@query
+def op8_licences(spark, sf_dir):
+    known = spark.createDataFrame(list(licences.KNOWN), "licence string, text string")
+    found = licences.scan(spark, read(spark, sf_dir, "documents"), known)
+    one = lambda n: F.concat_ws(":", n["line"].cast("string"), n["licence"])
+    return found.select(
+        "doc_id", "licence", F.size("notices").cast("long").alias("n_notices"),
+        F.array_join(F.transform("notices", one), ",").alias("notices"),
+    )
+
+
+@query
+def op9_tiling(spark, sf_dir):
+    matches = tiling.matcher(read(spark, sf_dir, "benchmark"))
+    docs = read(spark, sf_dir, "documents").select("doc_id", matches(C("text")).alias("found"))
+    hits = F.transform(F.filter("found", lambda m: m["coverage"] >= tiling.COVERED), lambda m: m["item"])
+    return docs.select(
+        "doc_id", (F.size(hits) > 0).alias("contaminated"), hits.alias("items"),
+        F.coalesce(F.array_max(F.transform("found", lambda m: m["coverage"])), F.lit(0.0)).alias("coverage"),
+    )
+
+
 @query
 def op10_bpe(spark, sf_dir):
     import public_tokenizers
