@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, licences, multiset, packing, quality, secrets, simhash, tiling, warc
+from colloquy.llm import bpe, extraction, licences, multiset, packing, quality, secrets, simhash, tiling, warc
 from colloquy.llm.common import read
 from colloquy.plans.shared import scratch_path
 
@@ -86,6 +86,12 @@ def op6_quality(spark, sf_dir):
     return scored.withColumn("predicted", (C("score") >= quality.KEEP).cast("int"))
 
 
+@query
+def op7_extraction(spark, sf_dir):
+    found = extraction.extract(spark, read(spark, sf_dir, "pages"))
+    return found.select("page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars"), "n_repeated")
+
+
 @query
 def op8_licences(spark, sf_dir):
     known = spark.createDataFrame(list(licences.KNOWN), "licence string, text string")
@@ -108,15 +114,19 @@ def op9_tiling(spark, sf_dir):
     )
 
 
-@query
-def op10_bpe(spark, sf_dir):
+def token_digests(docs: DataFrame) -> DataFrame:
     import public_tokenizers
 
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
-    coded = bpe.encode(read(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    coded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(",", C("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query
+def op10_bpe(spark, sf_dir):
+    return token_digests(read(spark, sf_dir, "documents"))
