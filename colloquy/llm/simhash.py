@@ -215,13 +215,14 @@ def near_links(spark: SparkSession, fps: DataFrame, radius: int, store: Stored)
 def near_copies(
     spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", width: int = 4, radius: int = 4, extra: dict[str, Column] | None = None
 ) -> DataFrame:
-    """One row per document: ``key, fp, component``, and the columns of ``extra``.
+    """One row per document: ``key, fp, component, head``, and the columns of ``extra``.
 
     ``component`` is the smallest key among all documents that links of at most
     ``radius`` differing bits reach, the document itself included. Equal
     fingerprints are one node, so copies make no links. Texts without words
     (null, empty, blank) have fingerprint 0 and link as any other. A null key is
     never the smallest unless the component has no other. Repeated rows stay.
+    ``head`` names the component by one of its fingerprints.
     """
     store = Stored(spark, "simhash")
     chosen = docs.select(C(key).alias("id"), fingerprint(C(text), width).alias("fp"), *[v.alias(k) for k, v in (extra or {}).items()])
@@ -232,8 +233,31 @@ def near_copies(
         "fp", "id", F.coalesce("head", "fp").alias("head")
     )
     least = grouped.groupBy("head").agg(F.min("id").alias("component"))
-    of = store.put(grouped.select("fp", "head").join(least, "head").select("fp", "component"))
-    return prints.join(of, "fp").select(C("id").alias(key), "fp", "component", *(extra or {}))
+    of = store.put(grouped.select("fp", "head").join(least, "head").select("fp", "component", "head"))
+    return prints.join(of, "fp").select(C("id").alias(key), "fp", "component", "head", *(extra or {}))
+
+
+def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` with the smallest key of each component of near copies, all columns as they were.
+
+    Of rows with that key one stays: that of the smallest hash of all its values.
+    A null key comes after all others.
+    """
+    store = Stored(spark, "dedup")
+    hashable = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    tie = F.xxhash64(*[C(f"`{name}`") for name in hashable])
+    copies = near_copies(spark, docs, key, text, extra={"tie": tie})
+    rows = copies.groupBy("head", C(key).alias("id"), "tie").agg(F.count("*").alias("n"))
+    first = rows.groupBy("head").agg(F.min(F.struct(C("id").isNull().alias("last"), "id", "tie", "n")).alias("row"))
+    kept = store.put(first.select("row.id", "row.tie", "row.n"))
+    whole = docs.select(F.struct(*[C(f"`{c}`") for c in docs.columns]).alias("row"), C(key).alias("own"), tie.alias("own_tie"))
+    same = C("own").eqNullSafe(C("id")) & (C("own_tie") == C("tie"))
+    result = whole.join(kept.where("n = 1"), same, "left_semi").select("row.*")
+    again = kept.where("n > 1")
+    if again.isEmpty():  # no row is there twice in full
+        return result
+    one = whole.join(again, same).groupBy("id", "tie").agg(F.first("row").alias("row")).select("row.*")
+    return result.unionByName(one)
 
 
 def hexadecimal(fp: Column) -> Column:
