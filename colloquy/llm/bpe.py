@@ -42,7 +42,7 @@ class RankMap:
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.bits = max(4, (3 * len(ranks)).bit_length())
+        self.bits = max(4, (2 * len(ranks)).bit_length())
         slots: list[bytes | None] = [None] * (1 << self.bits)
         for piece in ranks:
             at, moving = self.slots(piece)[0], piece
@@ -66,16 +66,24 @@ class RankMap:
         mask = (1 << self.bits) - 1
         return digest & mask, digest >> 32 & mask
 
-    def rank(self, piece: Column) -> Column:
-        """Rank of a piece; ``NO_RANK`` if it has none."""
-        mask = F.lit((1 << self.bits) - 1).cast("long")
-        one = F.xxhash64(piece).bitwiseAND(mask).cast("int")
-        two = F.shiftrightunsigned(F.xxhash64(piece), 32).bitwiseAND(mask).cast("int")
-        return (
-            F.when(F.get(self.keys, one) == piece, F.get(self.values, one))
-            .when(F.get(self.keys, two) == piece, F.get(self.values, two))
-            .otherwise(F.lit(NO_RANK))
-        )
+    def bound(self, body) -> Column:
+        """``body(rank)``, where ``rank`` gives the rank of a piece or ``NO_RANK``; the table stands in the plan once."""
+
+        def within(keys: Column, values: Column) -> Column:
+            mask = F.lit((1 << self.bits) - 1).cast("long")
+
+            def rank(piece: Column) -> Column:
+                one = F.xxhash64(piece).bitwiseAND(mask).cast("int")
+                two = F.shiftrightunsigned(F.xxhash64(piece), 32).bitwiseAND(mask).cast("int")
+                return (
+                    F.when(F.get(keys, one) == piece, F.get(values, one))
+                    .when(F.get(keys, two) == piece, F.get(values, two))
+                    .otherwise(F.lit(NO_RANK))
+                )
+
+            return body(rank)
+
+        return let(self.keys, lambda keys: let(self.values, lambda values: within(keys, values)))
 
 
 def literal(values: list, kind: str) -> Column:
@@ -88,12 +96,12 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def merged_ids(word: Column, table: RankMap) -> Column:
+def merged_ids(word: Column, rank) -> Column:
     """Ids of a word given as bytes: the neighbours of lowest rank, leftmost first, are merged until none has a rank."""
     size = F.octet_length(word)
     single = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, F.lit(1)))
     pairs = F.transform(
-        F.sequence(F.lit(1), size - 1), lambda i: table.rank(F.substring(word, i, F.lit(2)))
+        F.sequence(F.lit(1), size - 1), lambda i: rank(F.substring(word, i, F.lit(2)))
     )
     start = F.struct(single.alias("pieces"), pairs.alias("ranks"))
 
@@ -101,8 +109,8 @@ def merged_ids(word: Column, table: RankMap) -> Column:
         pieces, ranks = state["pieces"], state["ranks"]
         both = F.concat(F.get(pieces, i), F.get(pieces, i + 1))
         kept = F.concat(F.slice(pieces, F.lit(1), i), F.array(both), F.slice(pieces, i + 3, F.greatest(F.size(pieces) - i - 2, F.lit(0))))
-        left = F.when(i > 0, F.array(table.rank(F.concat(F.get(pieces, i - 1), both)))).otherwise(F.array().cast("array<int>"))
-        right = F.when(i + 2 < F.size(pieces), F.array(table.rank(F.concat(both, F.get(pieces, i + 2))))).otherwise(
+        left = F.when(i > 0, F.array(rank(F.concat(F.get(pieces, i - 1), both)))).otherwise(F.array().cast("array<int>"))
+        right = F.when(i + 2 < F.size(pieces), F.array(rank(F.concat(both, F.get(pieces, i + 2))))).otherwise(
             F.array().cast("array<int>")
         )
         around = F.concat(
@@ -116,9 +124,9 @@ def merged_ids(word: Column, table: RankMap) -> Column:
         return F.when(lowest < NO_RANK, let(at, lambda i: joined(state, i))).otherwise(state)
 
     folded = F.aggregate(
-        F.sequence(F.lit(2), size), start, step, lambda state: F.transform(state["pieces"], lambda piece: table.rank(piece))
+        F.sequence(F.lit(2), size), start, step, lambda state: F.transform(state["pieces"], lambda piece: rank(piece))
     )
-    whole = table.rank(word)
+    whole = rank(word)
     return F.when((whole < NO_RANK) | (size < 2), F.array(whole)).otherwise(folded)
 
 
@@ -176,10 +184,10 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
         packed(pattern, ranks),
         f"keys array<{kind}>, counts array<int>, codes binary, words array<binary>, long_ids array<array<int>>",
     )
-    ids = F.transform("words", lambda w: merged_ids(w, table))
-    nothing = F.lit(b"")
-    back = F.transform(
-        "ids", lambda i: F.aggregate(F.transform(i, lambda n: F.get(table.pieces, n)), nothing, lambda a, b: F.concat(a, b))
+    ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
+    joined = lambda found: F.aggregate(found, F.lit(b""), lambda a, b: F.concat(a, b))
+    back = let(
+        table.pieces, lambda pieces: F.transform("ids", lambda i: joined(F.transform(i, lambda n: F.get(pieces, n))))
     )
     worked = blocks.select("keys", "counts", "codes", ids.alias("ids"), "long_ids").select("*", back.alias("bytes"))
     return worked.mapInArrow(unpacked({r: p for p, r in ranks.items()}), f"key {kind}, ids array<int>, decoded binary").withColumnRenamed(
