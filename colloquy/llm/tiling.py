@@ -201,7 +201,8 @@ def matcher(
     blocks = []
     for n in range(count):
         block = rows.where(F.pmod(F.xxhash64("key", "text"), F.lit(count)) == n)
-        blocks.append(of_block(sorted(((r["key"], r["text"]) for r in block.toLocalIterator()), key=repr)))
+        held = [(r["key"], r["text"]) for r in block.toLocalIterator()]
+        blocks.append(of_block(sorted(held, key=lambda r: (r[0] is not None, r[0], repr(r[1])))))
 
     def matches(text_column: Column) -> Column:
         parts = [of(text_column) for of in blocks]
