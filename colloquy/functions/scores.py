@@ -18,9 +18,13 @@ def dpo_margin(
 
 
 def log_odds(mean_logp: Column) -> Column:
-    """log(p / (1 - p)) for p = exp(mean_logp), mean_logp < 0."""
-    return mean_logp - F.log(-F.expm1(mean_logp))
+    """log(p / (1 - p)) for p = exp(mean_logp): infinite for p = 1, null above."""
+    odds = mean_logp - F.log(-F.expm1(mean_logp))
+    return F.when(mean_logp < 0, odds).when(mean_logp == 0, F.lit(float("inf")))
 
 
 def log_odds_ratio(logp_chosen: Column, len_chosen: Column, logp_rejected: Column, len_rejected: Column) -> Column:
-    return log_odds(logp_chosen / len_chosen) - log_odds(logp_rejected / len_rejected)
+    """Null if a length is 0 or both sides are certain."""
+    chosen = log_odds(F.try_divide(logp_chosen, len_chosen))
+    rejected = log_odds(F.try_divide(logp_rejected, len_rejected))
+    return F.nanvl(chosen - rejected, F.lit(None).cast("double"))

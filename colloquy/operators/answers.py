@@ -19,6 +19,7 @@ from colloquy.functions.fixed import (
     DEFAULT_TOP_P,
     SWEEP,
 )
+from colloquy.plans.ordered_groups import OrderedGroups, running_sum, total
 
 ANSWER = T.StructType(
     [
@@ -168,12 +169,24 @@ def answer_accuracy(answers: DataFrame) -> DataFrame:
     )
 
 
-def latency_summary(runs: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Count, mean, maximum and percentiles of ``elapsed_s`` per ``config``."""
-    return runs.groupBy("config").agg(
-        F.count(F.lit(1)).alias("runs"),
-        F.avg("elapsed_s").alias("mean_s"),
-        F.max("elapsed_s").alias("max_s"),
-        F.percentile_approx("elapsed_s", 0.5, accuracy).alias("p50_s"),
-        F.percentile_approx("elapsed_s", 0.95, accuracy).alias("p95_s"),
+def latency_summary(runs: DataFrame) -> DataFrame:
+    """Count, mean, maximum and exact percentiles of ``elapsed_s`` per ``config``.
+
+    Equal times are counted first. A percentile is the lowest time up to which
+    that share of the runs lies, by a running sum over the distinct times, which
+    are cut into blocks where a configuration has very many.
+    """
+    times = runs.where(F.col("elapsed_s").isNotNull()).groupBy("config", "elapsed_s").agg(F.count(F.lit(1)).alias("_n"))
+    placed = OrderedGroups.of(times, ["config"], "elapsed_s").with_columns(
+        _upto=running_sum(F.col("_n"), inclusive=True), _all=total(F.sum, F.col("_n"))
+    )
+
+    def percentile(share: float) -> Column:
+        return F.min(F.when(F.col("_upto") >= F.col("_all") * share, F.col("elapsed_s")))
+
+    exact = placed.df.groupBy("config").agg(percentile(0.5).alias("p50_s"), percentile(0.95).alias("p95_s"))
+    plain = runs.groupBy("config").agg(
+        F.count(F.lit(1)).alias("runs"), F.avg("elapsed_s").alias("mean_s"), F.max("elapsed_s").alias("max_s")
     )
+    # one row per configuration on both sides
+    return plain.join(exact, "config", "left").select("config", "runs", "mean_s", "max_s", "p50_s", "p95_s")

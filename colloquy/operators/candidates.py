@@ -2,12 +2,14 @@
 
 The steps of one choice, in order: penalties on seen items, temperature, top-k,
 top-p, min-p, then a draw or the best. ``item_id`` is a number, unique in its
-group; scores may tie.
+group; scores may tie. A null or NaN score is no candidate and is left out of
+every choice. A score of minus infinity is a masked item: it has no probability
+unless all of its group are masked, and then all have the same.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import chance
@@ -15,8 +17,12 @@ from colloquy.functions.fixed import REPETITION_PENALTY
 from colloquy.plans.ordered_groups import OrderedGroups, attach, running_sum, settled, total
 
 
+def _scored(candidates: DataFrame) -> DataFrame:
+    return candidates.where(F.col("score").isNotNull() & ~F.isnan(F.col("score").cast("double")))
+
+
 def _groups(candidates: DataFrame, ordered: bool = False) -> OrderedGroups:
-    return OrderedGroups.of(candidates, ["group_id"], "item_id", ordered)
+    return OrderedGroups.of(_scored(candidates), ["group_id"], "item_id", ordered)
 
 
 def mark_seen(candidates: DataFrame, seen: DataFrame) -> DataFrame:
@@ -58,7 +64,8 @@ def presence_penalty(candidates: DataFrame, seen: DataFrame, penalty: float) ->
 def _softmax(groups: OrderedGroups, temperature: float) -> OrderedGroups:
     if temperature <= 0:
         raise ValueError("temperature must be positive; use greedy_pick for the limit 0")
-    weight = F.exp((F.col("score") - F.col("_top")) / temperature)
+    gap = F.when(F.col("score") == F.col("_top"), 0.0).otherwise(F.col("score") - F.col("_top"))
+    weight = F.exp(gap / temperature)  # the best has weight 1, an infinite one too
     return (
         groups.with_columns(_top=total(F.max, F.col("score")))
         .replace(lambda df: df.withColumn("_weight", weight))
@@ -71,7 +78,9 @@ def _softmax(groups: OrderedGroups, temperature: float) -> OrderedGroups:
     )
 
 
-def _top_k(groups: OrderedGroups, k: int) -> OrderedGroups:
+def _top_k(groups: OrderedGroups, k: int | None) -> OrderedGroups:
+    if not k:
+        return groups
     best_first = Window.partitionBy(*groups.partition).orderBy(F.desc("score"))
 
     def by_rank(df: DataFrame) -> DataFrame:
@@ -104,6 +113,8 @@ def _top_k(groups: OrderedGroups, k: int) -> OrderedGroups:
 
 
 def _top_p(groups: OrderedGroups, p: float) -> OrderedGroups:
+    if p >= 1:
+        return groups
     best_first = Window.partitionBy(*groups.partition).orderBy(F.desc("score"), "item_id")
     before = F.coalesce(
         F.sum("prob").over(best_first.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)
@@ -155,13 +166,13 @@ def temperature_softmax(candidates: DataFrame, temperature: float) -> DataFrame:
     return _softmax(_groups(candidates), temperature).df
 
 
-def top_k(candidates: DataFrame, k: int) -> DataFrame:
-    """The k best of each group; ties with the k-th score stay."""
+def top_k(candidates: DataFrame, k: int | None) -> DataFrame:
+    """The k best of each group; ties with the k-th score stay. 0 or None is off."""
     return _top_k(_groups(candidates), k).df
 
 
 def top_p(candidates: DataFrame, p: float, temperature: float = 1.0) -> DataFrame:
-    """Items while the mass before them is below ``p``, best first, then by ``item_id``."""
+    """Items while the mass before them is below ``p``, best first, then by ``item_id``; 1 or more is off."""
     return _top_p(_softmax(_groups(candidates, ordered=True), temperature), p).df
 
 
@@ -173,37 +184,62 @@ def min_p(candidates: DataFrame, share: float, temperature: float = 1.0) -> Data
 def select_candidates(
     candidates: DataFrame,
     temperature: float,
-    k: int,
+    k: int | None,
     p: float,
     share: float = 0.0,
+    seen: DataFrame | None = None,
+    repetition: float = 1.0,
+    presence: float = 0.0,
+    draw: str | None = None,
 ) -> DataFrame:
-    """Temperature, top-k, top-p and min-p in one pass over one partitioning.
+    """Penalties, temperature, top-k, top-p, min-p and a draw over one partitioning.
 
-    Top-k does not depend on the temperature, so it goes first and limits what
-    is shuffled; ``prob`` sums to 1 over the items left.
+    Penalties need the ``seen`` items, one join. Top-k does not depend on the
+    temperature, so it goes first and limits what is shuffled; ``prob`` sums to 1
+    over the items left. A ``draw`` is the seed of a choice: one item per group
+    stays, with its score and ``prob``.
     """
+    if seen is not None and (repetition != 1.0 or presence != 0.0):
+        score = F.col("score")
+        pushed = F.when(score < 0, score * repetition).otherwise(score / repetition) - presence
+        candidates = (
+            mark_seen(candidates, seen)
+            .withColumn("score", F.when(F.col("seen"), pushed).otherwise(score))
+            .drop("seen")
+        )
     kept = _top_p(_softmax(_top_k(_groups(candidates, ordered=True), k), temperature), p)
     if share > 0:
         kept = _min_p(kept, share)
-    return (
+    left = (
         kept.with_columns(_left=total(F.sum, F.col("prob")))
         .df.withColumn("prob", F.col("prob") / F.col("_left"))
         .drop("_left")
     )
+    if draw is None:
+        return left
+    item = F.struct("item_id", "score", "prob")
+    return (
+        left.where(F.col("prob") > 0)
+        .groupBy("group_id")
+        .agg(F.max_by(item, F.struct(_luck(draw), -F.col("item_id"))).alias("_item"))
+        .select("group_id", "_item.*")
+    )
 
 
 def greedy_pick(candidates: DataFrame) -> DataFrame:
     """The best item of each group; the lowest ``item_id`` among equals."""
-    return candidates.groupBy("group_id").agg(
+    return _scored(candidates).groupBy("group_id").agg(
         F.max_by("item_id", F.struct(F.col("score"), -F.col("item_id"))).alias("item_id"),
         F.max("score").alias("score"),
     )
 
 
+def _luck(seed: str) -> Column:
+    return F.log("prob") - F.log(-F.log(chance.unit(seed, F.col("group_id"), F.col("item_id"))))
+
+
 def weighted_pick(weighted: DataFrame, seed: str) -> DataFrame:
     """One item per group, drawn with chance ``prob``; the same seed gives the same draw."""
-    u = chance.unit(seed, F.col("group_id"), F.col("item_id"))
-    luck = F.log("prob") - F.log(-F.log(u))
     return weighted.groupBy("group_id").agg(
-        F.max_by("item_id", F.struct(luck, -F.col("item_id"))).alias("item_id")
+        F.max_by("item_id", F.struct(_luck(seed), -F.col("item_id"))).alias("item_id")
     )

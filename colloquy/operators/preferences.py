@@ -67,7 +67,12 @@ def dpo_scores(logps: DataFrame, beta: float = 0.1) -> DataFrame:
 
 
 def orpo_scores(logps: DataFrame) -> DataFrame:
-    """Add the log odds ratio of length-mean log-probabilities, its loss and the winner."""
+    """Add the log odds ratio of length-mean log-probabilities, its loss and the winner.
+
+    A side that is certain (mean 0) has infinite odds: the loss is then 0 or
+    infinite. A pair without a ratio (an answer of no length, a mean above 0, both
+    sides certain) has a null ratio, loss and winner, and ``score_summary`` counts it.
+    """
     ratio = scores.log_odds_ratio(
         F.col("pi_chosen"), F.col("len_chosen"), F.col("pi_rejected"), F.col("len_rejected")
     )
@@ -80,43 +85,61 @@ def orpo_scores(logps: DataFrame) -> DataFrame:
 
 
 def score_summary(scored: DataFrame) -> DataFrame:
-    """Number of pairs, mean loss and share of correct ones."""
+    """Number of pairs, those without a loss, and of the others mean loss and share of correct ones."""
     return scored.agg(
         F.count(F.lit(1)).alias("pairs"),
+        F.count_if(F.col("loss").isNull()).alias("unusable"),
         F.avg("loss").alias("mean_loss"),
         F.avg(F.col("correct").cast("double")).alias("accuracy"),
     )
 
 
-def reward_pairs(rewards: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Both sides of a pair in one row, with loss and winner.
+def _sides(rewards: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One row per pair: the reward of both sides and how often each side is there."""
 
-    Input: one row per pair and ``side`` ('chosen' or 'rejected') with
-    ``reward``. One grouping replaces the self-join; a pair that lacks a side is
-    left out.
-    """
-
-    def side(name: str):
-        return F.max(F.when(F.col("side") == name, F.col("reward"))).alias(name)
+    def side(name: str) -> list[Column]:
+        own = F.col("side") == name
+        return [F.max(F.when(own, F.col("reward"))).alias(name), F.count_if(own).alias(f"_n_{name}")]
 
     gap = F.col("chosen") - F.col("rejected")
     return (
         rewards.groupBy(*keys)
-        .agg(side("chosen"), side("rejected"))
-        .where(gap.isNotNull())
+        .agg(*side("chosen"), *side("rejected"))
         .withColumns({"loss": scores.softplus(-gap), "correct": gap > 0})
     )
 
 
+def reward_pairs(rewards: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Both sides of a pair in one row, with loss and winner.
+
+    Input: one row per pair and ``side`` ('chosen' or 'rejected') with
+    ``reward``. One grouping replaces the self-join; a pair that lacks a side is
+    left out, of a side that is there several times the highest reward counts.
+    ``reward_pair_accuracy`` counts both.
+    """
+    return _sides(rewards, keys).where(F.col("loss").isNotNull()).drop("_n_chosen", "_n_rejected")
+
+
 def reward_pair_accuracy(rewards: DataFrame, keys: Sequence[str]) -> DataFrame:
-    return score_summary(reward_pairs(rewards, keys))
+    """Pairs, mean loss, accuracy; pairs that lack a side or its reward, and pairs with a repeated side."""
+    return _sides(rewards, keys).agg(
+        F.count("loss").alias("pairs"),
+        F.avg("loss").alias("mean_loss"),
+        F.avg(F.col("correct").cast("double")).alias("accuracy"),
+        F.count_if(F.col("loss").isNull()).alias("unpaired"),
+        F.count_if((F.col("_n_chosen") > 1) | (F.col("_n_rejected") > 1)).alias("repeated"),
+    )
 
 
 def kl_shaped_reward(token_logps: DataFrame, rewards: DataFrame, beta: float = 0.05) -> DataFrame:
-    """Reward of each sequence less ``beta`` times its summed log-ratio to the reference."""
-    drift = token_logps.groupBy("seq_id").agg(F.sum(F.col("logp") - F.col("ref_logp")).alias("kl"))
-    return rewards.join(drift, "seq_id").select(
-        "seq_id", "reward", "kl", (F.col("reward") - beta * F.col("kl")).alias("shaped_reward")
+    """Reward of each sequence less ``beta`` times its summed log-ratio to the reference.
+
+    A sequence without tokens has not drifted: its ``kl`` is 0.
+    """
+    drift = token_logps.groupBy("seq_id").agg(F.sum(F.col("logp") - F.col("ref_logp")).alias("_kl"))
+    kl = F.coalesce("_kl", F.lit(0.0))
+    return rewards.join(drift, "seq_id", "left").select(
+        "seq_id", "reward", kl.alias("kl"), (F.col("reward") - beta * kl).alias("shaped_reward")
     )
 
 
@@ -160,6 +183,9 @@ def distill_loss(logits: DataFrame, alpha: float = 0.7, temperature: float = 1.0
     range of 512 nothing overflows, so no maximum has to be known beforehand and
     the rows are summed before their shuffle. A position then has a handful of
     partial sums, which are brought to its highest range and added.
+
+    Minus infinity is a masked item. Masked by the teacher it adds nothing to the
+    divergence; masked by the student alone it makes the divergence infinite.
     """
     t = temperature
     terms = {
@@ -167,10 +193,12 @@ def distill_loss(logits: DataFrame, alpha: float = 0.7, temperature: float = 1.0
         "b": F.col("student") / t,
         "c": F.col("student").cast("double"),
     }
-    ranges = {f"{n}_range": F.round(x / _SPAN) for n, x in terms.items()}
+    possible = {n: x > F.lit(float("-inf")) for n, x in terms.items()}
+    ranges = {f"{n}_range": F.when(possible[n], F.round(x / _SPAN)) for n, x in terms.items()}
 
     def mass(name: str) -> Column:
-        return F.exp(F.col(name) - F.col(f"{name}_range") * _SPAN)
+        within = F.exp(F.col(name) - F.col(f"{name}_range") * _SPAN)
+        return F.when(F.col(f"{name}_range").isNotNull(), within).otherwise(0.0)
 
     gap = (F.col("teacher") - F.col("student")) / t
     partial = (
@@ -178,7 +206,7 @@ def distill_loss(logits: DataFrame, alpha: float = 0.7, temperature: float = 1.0
         .groupBy("pos", *ranges)
         .agg(
             *[F.sum(mass(n)).alias(f"{n}_mass") for n in terms],
-            F.sum(mass("a") * gap).alias("a_gap"),
+            F.sum(F.when(F.col("a_range").isNotNull(), mass("a") * gap).otherwise(0.0)).alias("a_gap"),
             F.max(F.when(F.col("is_gold"), F.col("student"))).alias("gold"),
         )
     )

@@ -16,7 +16,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import template, text
-from colloquy.functions.fixed import TOKENIZER_LIMIT
 from colloquy.operators.turns import conversations
 from colloquy.plans.ordered_groups import (
     OrderedGroups,
@@ -28,8 +27,6 @@ from colloquy.plans.ordered_groups import (
     total,
 )
 
-CELL_CHARS = 16 * 1024 * 1024
-HISTORY_CHARS = 8 * TOKENIZER_LIMIT
 _OPTIONAL = ("reasoning_content", "tool_calls", "tools", "enable_thinking")
 
 
@@ -66,6 +63,7 @@ def _placed(turns: DataFrame, **more: Step) -> OrderedGroups:
                     ),
                     "_answer": F.when(separate, content).otherwise(text.answer_of(content)),
                     "_content": content,
+                    "_query": template.is_query(F.col("role"), F.col("content")),
                 }
             )
             .withColumn("_calls", calls)
@@ -155,31 +153,36 @@ def render_segments(
     return _segments(turns, add_generation_prompt, enable_thinking).df
 
 
+def _joined(rows: DataFrame, *keys) -> DataFrame:
+    """Segments end to end; turns that render nothing are not gathered."""
+    said = "listagg(nullif(segment, ''), '') WITHIN GROUP (ORDER BY turn)"
+    return rows.groupBy(*keys).agg(
+        F.min("_start").cast("bigint").alias("prompt_start"), F.coalesce(F.expr(said), F.lit("")).alias("prompt")
+    )
+
+
 def render_conversation(
-    turns: DataFrame,
-    add_generation_prompt: bool = False,
-    enable_thinking: bool = True,
-    cell_chars: int = CELL_CHARS,
+    turns: DataFrame, add_generation_prompt: bool = False, enable_thinking: bool = True
+) -> DataFrame:
+    """The prompt of each conversation, one row: ``(conv_id, prompt_start, prompt)`` with start 0."""
+    rows = _segments(turns, add_generation_prompt, enable_thinking).rows
+    return _joined(rows.withColumn("_start", F.lit(0)), "conv_id").select("conv_id", "prompt_start", "prompt")
+
+
+def render_in_cells(
+    turns: DataFrame, cell_chars: int, add_generation_prompt: bool = False, enable_thinking: bool = True
 ) -> DataFrame:
-    """The prompt of each conversation: ``(conv_id, prompt_start, prompt)``.
+    """The prompt of each conversation in rows of about ``cell_chars`` characters.
 
-    A prompt is one row with ``prompt_start`` 0, unless it is too long for a
-    cell: then it goes on in further rows, each with the character it starts at.
-    A cell takes segments up to the one that passes ``cell_chars``.
+    ``(conv_id, prompt_start, prompt)``: each row has the character it starts at,
+    and takes segments up to the one that passes ``cell_chars``. For prompts that
+    no single cell can hold.
     """
     groups = _segments(turns, add_generation_prompt, enable_thinking).with_columns(
         _start=running_sum(F.length("segment"))
     )
     cell = F.floor(F.col("_start") / cell_chars)
-    return (
-        groups.rows.withColumn("_cell", cell)
-        .groupBy("conv_id", "_cell")
-        .agg(
-            F.min("_start").cast("bigint").alias("prompt_start"),
-            F.expr("listagg(segment, '') WITHIN GROUP (ORDER BY turn)").alias("prompt"),
-        )
-        .select("conv_id", "prompt_start", "prompt")
-    )
+    return _joined(groups.rows.withColumn("_cell", cell), "conv_id", "_cell").select("conv_id", "prompt_start", "prompt")
 
 
 def sft_examples(turns: DataFrame) -> DataFrame:
@@ -198,15 +201,8 @@ def sft_examples(turns: DataFrame) -> DataFrame:
     )
 
 
-def history_examples(turns: DataFrame, max_chars: int = HISTORY_CHARS) -> DataFrame:
-    """One example per assistant turn, with all earlier turns as its prompt.
-
-    ``(conv_id, turn, history_chars, prompt, response)``. Which reasoning the
-    prompt keeps depends on the last query *before* the turn, so each earlier
-    assistant turn comes in two forms and the example picks. ``history_chars``
-    counts the history with all of its reasoning. A history above ``max_chars``
-    is beyond every context limit: its row has a null prompt.
-    """
+def _history_forms(turns: DataFrame) -> OrderedGroups:
+    """Every turn as it stands in prompts of later turns: with and without its reasoning."""
     groups = _placed(turns, _asked=running_max(_query_turn()))
 
     def forms(df: DataFrame) -> DataFrame:
@@ -214,6 +210,7 @@ def history_examples(turns: DataFrame, max_chars: int = HISTORY_CHARS) -> DataFr
             return _with_head(_body(assistant, df.columns), df.columns)
 
         is_assistant = F.col("role") == "assistant"
+        flag = F.col("enable_thinking") if "enable_thinking" in df.columns else F.lit(None).cast("boolean")
         return df.select(
             "conv_id",
             "turn",
@@ -223,38 +220,96 @@ def history_examples(turns: DataFrame, max_chars: int = HISTORY_CHARS) -> DataFr
             whole(_reasoned()).alias("_full"),
             F.when(is_assistant, whole(_plain())).alias("_short"),
             (F.col("_reasoning") != "").alias("_reasons"),
+            "_query",
+            flag.alias("_thinking"),
             *OrderedGroups.helpers(df),
         )
 
-    groups = groups.replace(forms).with_columns(history_chars=running_sum(F.length("_full")))
-    # The rows in reach are the head of each conversation: at most max_chars of
-    # text, so one window may hold them even if the conversation has been cut.
-    in_reach = F.col("history_chars") <= max_chars
-    reach = F.when(in_reach, -1).otherwise(F.col("_block") if groups.cut else F.lit(0))
-    earlier = (
-        Window.partitionBy("conv_id", "_reach").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    return groups.replace(forms)
+
+
+def _answer_start(enable_thinking: bool) -> Column:
+    return template.generation_prompt(F.coalesce("_thinking", F.lit(enable_thinking)))
+
+
+def history_spans(turns: DataFrame, enable_thinking: bool = True) -> DataFrame:
+    """Where the history of each assistant turn lies in two texts of its conversation.
+
+    The short text has all turns without reasoning, the long one with what
+    reasoning a turn has. A history is the first ``short_chars`` of the short
+    text (up to its last query), then ``long_chars`` of the long text from
+    ``long_start``, then the turn right before in its own form with reasoning,
+    if that comes after the query (``before_turn``; ``before_chars``).
+    ``(conv_id, turn, short_chars, long_start, long_chars, before_turn,
+    before_chars, ending_chars)``: a row per assistant turn however long the
+    conversation is, so the output grows with the turns and not with their
+    square. ``history_examples`` has the texts themselves.
+    """
+    short = F.coalesce("_short", "_full")
+    kept = F.when(F.col("_reasons"), F.col("_full")).otherwise(short)
+    sizes = _history_forms(turns).replace(
+        lambda df: df.select(
+            "conv_id", "turn", "_asked", "_before", "_query", "_thinking",
+            F.col("response").isNotNull().alias("_answers"),
+            F.length(short).cast("bigint").alias("_short_chars"),
+            F.length(kept).cast("bigint").alias("_long_chars"),
+            F.length("_full").cast("bigint").alias("_full_chars"),
+            *OrderedGroups.helpers(df),
+        )
+    )
+    summed = sizes.with_columns(
+        _short_sum=running_sum(F.col("_short_chars")),
+        _long_sum=running_sum(F.col("_long_chars")),
+        _last=previous(F.struct("_answers", "_long_chars", "_full_chars")),
+    ).replace(
+        lambda df: df.withColumns(
+            {
+                "_short_end": F.when(F.col("_query"), F.col("_short_sum") + F.col("_short_chars")),
+                "_long_end": F.when(F.col("_query"), F.col("_long_sum") + F.col("_long_chars")),
+            }
+        )
     )
-    said = F.when(
-        (F.col("_reach") == -1) & (F.col("_full") != ""),
-        F.struct("turn", "_reasons", "_full", "_short"),
+    placed = summed.with_columns(
+        _short_asked=running_max(F.col("_short_end")), _long_asked=running_max(F.col("_long_end"))
     )
+    asked = F.col("_asked").isNotNull()
+    own = asked & (F.col("_before") > F.col("_asked")) & F.col("_last._answers")
+    start = F.when(asked, F.col("_long_asked")).otherwise(F.col("_long_sum"))
+    end = F.col("_long_sum") - F.when(own, F.col("_last._long_chars")).otherwise(0)
+    return placed.df.where(F.col("_answers")).select(
+        "conv_id",
+        "turn",
+        F.when(asked, F.col("_short_asked")).otherwise(F.col("_short_sum")).alias("short_chars"),
+        start.alias("long_start"),
+        (end - start).alias("long_chars"),
+        F.when(own, F.col("_before")).alias("before_turn"),
+        F.when(own, F.col("_last._full_chars")).otherwise(0).alias("before_chars"),
+        F.length(_answer_start(enable_thinking)).cast("bigint").alias("ending_chars"),
+    )
+
+
+def history_examples(turns: DataFrame, enable_thinking: bool = True) -> DataFrame:
+    """One example per assistant turn, with all earlier turns as its prompt.
+
+    ``(conv_id, turn, history_chars, prompt, response)``. Which reasoning the
+    prompt keeps depends on the last query *before* the turn, so each earlier
+    assistant turn comes in two forms and the example picks. ``history_chars``
+    counts the history with all of its reasoning. Prompts are whole at any
+    length, so a conversation's rows grow with the square of its turns;
+    ``history_spans`` says the same in linear size. A column ``enable_thinking``
+    tells how the prompt of its turn ends, else the argument does.
+    """
+    groups = _history_forms(turns).with_columns(history_chars=running_sum(F.length("_full")))
+    earlier = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)
+    said = F.when(F.col("_full") != "", F.struct("turn", "_reasons", "_full", "_short"))
 
     def pick(x: Column) -> Column:
         keeps = (x["turn"] > F.col("_asked")) & (x["_reasons"] | (x["turn"] == F.col("_before")))
         return F.when(keeps | x["_short"].isNull(), x["_full"]).otherwise(x["_short"])
 
-    prompt = F.concat(
-        F.array_join(F.transform("_said", pick), ""), F.lit(template.GENERATION_PROMPT)
-    )
+    prompt = F.concat(F.array_join(F.transform("_said", pick), ""), _answer_start(enable_thinking))
     return (
-        groups.rows.withColumn("_reach", reach)
-        .withColumn("_said", F.collect_list(said).over(earlier))
+        groups.rows.withColumn("_said", F.collect_list(said).over(earlier))
         .where(F.col("response").isNotNull())
-        .select(
-            "conv_id",
-            "turn",
-            F.col("history_chars").cast("bigint"),
-            F.when(F.col("_reach") == -1, prompt).alias("prompt"),
-            "response",
-        )
+        .select("conv_id", "turn", F.col("history_chars").cast("bigint"), prompt.alias("prompt"), "response")
     )

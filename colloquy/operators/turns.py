@@ -94,19 +94,26 @@ def last_query_index(turns: DataFrame) -> DataFrame:
 def thinking_mode(turns: DataFrame, enable_thinking: bool = True) -> DataFrame:
     """Add ``mode``: the latest soft switch of a user or system turn decides, thinking if none.
 
-    ``enable_thinking=False`` overrides all switches.
+    Thinking that is not enabled overrides all switches. A column
+    ``enable_thinking`` says so for each conversation, at its last turn; where it
+    is null or not given, the argument does.
     """
-    if not enable_thinking:
-        return turns.withColumn("mode", F.lit("non_thinking"))
     switch = F.when(F.col("role").isin("user", "system"), text.soft_switch(F.col("content")))
+    steps = {"_latest": running_last(F.col("_switch"))}
+    enabled = F.lit(enable_thinking)
+    if "enable_thinking" in turns.columns:
+        steps["_flag"] = total(F.max, F.struct("turn", "enable_thinking"))
+        enabled = F.coalesce(F.col("_flag.enable_thinking"), enabled)
+    elif not enable_thinking:
+        return turns.withColumn("mode", F.lit("non_thinking"))
     return (
         conversations(turns.withColumn("_switch", switch))
-        .with_columns(_latest=running_last(F.col("_switch")))
+        .with_columns(**steps)
         .df.withColumn(
             "mode",
-            F.when(F.col("_latest") == "no_think", "non_thinking").otherwise("thinking"),
+            F.when(~enabled | (F.col("_latest") == "no_think"), "non_thinking").otherwise("thinking"),
         )
-        .drop("_switch", "_latest")
+        .drop("_switch", *steps)
     )
 
 
@@ -138,8 +145,16 @@ def loss_bearing_totals(turns: DataFrame) -> DataFrame:
 
 
 def preset_lookup(turns: DataFrame, presets: DataFrame, enable_thinking: bool = True) -> DataFrame:
-    """Sampling settings of every turn by its mode; ``presets`` has one row per mode."""
-    return thinking_mode(turns, enable_thinking).join(F.broadcast(presets), "mode")
+    """Sampling settings of every turn by its mode; ``presets`` has one row per mode.
+
+    No turn is dropped: the job fails on a mode that has no preset.
+    """
+    named = presets.withColumn("_known", F.lit(True))
+    found = thinking_mode(turns, enable_thinking).join(named, "mode", "left")
+    missing = F.raise_error(F.concat(F.lit("no preset for mode "), F.col("mode")))
+    return found.withColumn(
+        "mode", F.when(F.col("_known").isNull(), missing.cast("string")).otherwise(F.col("mode"))
+    ).drop("_known")
 
 
 def control_token_scan(turns: DataFrame, column: str = "content") -> DataFrame:

@@ -1,8 +1,8 @@
 """Chat sessions as streams of turns ``(conv_id, turn, role, content)``.
 
-All three operators write Parquet, one folder per micro-batch, and a batch that
-is run again overwrites its own folder only. State, output and checkpoint are
-paths in storage that all executors share.
+State is Spark's own, on RocksDB, with the values of the sessions of a batch
+alone being read for it. Output and checkpoint are paths in storage that all
+executors share; a batch that is run again replaces its own output.
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from colloquy.functions import template, text
-from colloquy.functions.fixed import TOKENIZER_LIMIT
 from colloquy.operators.turns import drop_empty_turns
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-STATE_SPAN = 100
-HISTORY_CHARS = 8 * TOKENIZER_LIMIT
+COMPACT_EVERY = 100
 
 
 def use_rocksdb(spark: SparkSession) -> None:
@@ -40,65 +38,85 @@ def read_turn_stream(
     return reader.parquet(folder)
 
 
-def _per_batch(path: str, batch: int) -> str:
-    return f"{path}/batch={batch}"
-
-
-def take_until_exit(
-    turns: DataFrame, output: str, state: str, checkpoint: str, trigger: dict
-) -> StreamingQuery:
+def take_until_exit(turns: DataFrame, ttl_ms: int | None = None) -> DataFrame:
     """Drop blank user turns, and every turn of a session from its first exit word on.
 
-    A session stays closed in later batches. The state is one row per closed
-    session: each batch writes its own, every hundredth batch all so far, and a
-    batch reads back to the last such one. Within a batch this is an aggregate (combined before its shuffle)
-    and a join, so that a session with a large share of the turns is split by
-    adaptive execution like any skewed join, which a keyed Python handler is not.
+    A session stays closed in later batches: its state is the turn it closed at.
+    ``ttl_ms`` forgets a closed session after that time.
     """
+    columns = turns.columns
+    leaves = (F.col("role") == "user") & text.is_exit(F.col("content"))
+    spoken = drop_empty_turns(turns).withColumn("_closes", F.when(leaves, F.col("turn")))
 
-    def earliest(closings: DataFrame) -> DataFrame:
-        return closings.groupBy("conv_id").agg(F.min("closed").alias("closed"))
+    from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
-    def read_closings(spark: SparkSession, batches: range) -> DataFrame:
-        paths = [_per_batch(state, n) for n in batches]
-        return earliest(spark.read.schema("conv_id long, closed long").parquet(*paths))
+    # Defined here so that workers get the class by value and need no package of ours.
+    class Closing(StatefulProcessor):
+        def init(self, handle):
+            self.closed = handle.getValueState("closed", "turn LONG", ttl_ms)
 
-    def process(batch: DataFrame, number: int) -> None:
-        spark, kept = batch.sparkSession, number - number % STATE_SPAN
-        spoken = drop_empty_turns(batch)
-        leaves = (F.col("role") == "user") & text.is_exit(F.col("content"))
-        new = earliest(spoken.where(leaves).withColumnRenamed("turn", "closed"))
-        if number == kept and number > 0:
-            new = earliest(new.union(read_closings(spark, range(number - STATE_SPAN, number))))
-        new.write.mode("overwrite").parquet(_per_batch(state, number))
-        closed = read_closings(spark, range(kept, number + 1))
-        (
-            spoken.join(closed, "conv_id", "left")
-            .where(F.col("closed").isNull() | (F.col("turn") < F.col("closed")))
-            .drop("closed")
-            .write.mode("overwrite")
-            .parquet(_per_batch(output, number))
-        )
+        def handleInputRows(self, key, rows, timer_values):
+            before = self.closed.get()
+            first = None if before is None else before[0]
+            chunks = []
+            for chunk in rows:
+                if chunk.empty:
+                    continue
+                chunk.columns = [*columns, "_closes"]  # names with an underscore arrive changed
+                chunks.append(chunk)
+                closing = chunk["_closes"].min()
+                if closing == closing and (first is None or closing < first):
+                    first = int(closing)
+            if first is not None and (before is None or first < before[0]):
+                self.closed.update((first,))
+            for chunk in chunks:
+                kept = chunk if first is None else chunk[chunk["turn"] < first]
+                yield kept[columns]
 
-    return (
-        turns.writeStream.foreachBatch(process)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .start()
+        def close(self):
+            pass
+
+    return spoken.groupBy("conv_id").transformWithStateInPandas(
+        Closing(),
+        outputStructType=turns.schema,
+        outputMode="append",
+        timeMode="None" if ttl_ms is None else "ProcessingTime",
     )
 
 
-def latest_response(turns: DataFrame, output: str, checkpoint: str, trigger: dict) -> StreamingQuery:
+def _folders(spark: SparkSession, output: str, kind: str) -> list[int]:
+    """Numbers of the folders ``kind=number`` of an output."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(output)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    names = [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith(f"{kind}="))
+
+
+def latest_response(
+    turns: DataFrame, output: str, checkpoint: str, trigger: dict, compact_every: int = COMPACT_EVERY
+) -> StreamingQuery:
     """Of the growing answers of each ``(conv_id, role)``, keep the one with the highest turn.
 
-    Each batch writes the keys it changed; ``read_latest`` puts them together.
+    Each batch writes the keys it changed to ``batch=number``; ``read_latest``
+    puts them together. Every ``compact_every`` batches what is there so far is
+    put together in ``upto=number``, and the folders it replaces go, so that a
+    reader reads each key a bounded number of times.
     """
+    use_rocksdb(turns.sparkSession)
     latest = turns.groupBy("conv_id", "role").agg(
         F.max_by("content", "turn").alias("latest"), F.count(F.lit(1)).alias("updates")
     )
 
     def process(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(_per_batch(output, number))
+        spark = batch.sparkSession
+        batch.write.mode("overwrite").parquet(f"{output}/batch={number}")
+        if (number + 1) % compact_every == 0:
+            old = [("batch", n) for n in _folders(spark, output, "batch") if n <= number]
+            old += [("upto", n) for n in _folders(spark, output, "upto") if n < number]
+            read_latest(spark, output).write.mode("overwrite").parquet(f"{output}/upto={number}")
+            for kind, n in old:
+                path = spark._jvm.org.apache.hadoop.fs.Path(f"{output}/{kind}={n}")
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
     return (
         latest.writeStream.outputMode("update")
@@ -110,17 +128,24 @@ def latest_response(turns: DataFrame, output: str, checkpoint: str, trigger: dic
 
 
 def read_latest(spark: SparkSession, output: str) -> DataFrame:
-    return (
-        spark.read.parquet(output)
-        .groupBy("conv_id", "role")
-        .agg(F.max_by("latest", "batch").alias("latest"), F.max_by("updates", "batch").alias("updates"))
+    """The latest answers: the last compacted folder and the batches after it."""
+    upto = max(_folders(spark, output, "upto"), default=-1)
+    parts = [("upto", upto)] if upto >= 0 else []
+    parts += [("batch", n) for n in _folders(spark, output, "batch") if n > upto]
+    rows = None
+    for kind, n in parts:
+        part = spark.read.parquet(f"{output}/{kind}={n}").withColumn("_n", F.lit(n))
+        rows = part if rows is None else rows.unionByName(part)
+    return rows.groupBy("conv_id", "role").agg(
+        F.max_by("latest", "_n").alias("latest"), F.max_by("updates", "_n").alias("updates")
     )
 
 
-def _message_forms(turns: DataFrame) -> DataFrame:
+def _message_forms(turns: DataFrame, enable_thinking: bool) -> DataFrame:
     """What a turn adds to a prompt, without and with its reasoning; needs no other turn.
 
-    A tool result lacks the marks around its run, which the handler adds.
+    A tool result lacks the marks around its run, which the handler adds. ``head``
+    is what stands before the first turn of a session with tools.
     """
     given = set(turns.columns)
     content = F.coalesce("content", F.lit(""))
@@ -152,29 +177,37 @@ def _message_forms(turns: DataFrame) -> DataFrame:
         F.col("_reasoning"), F.col("_answer"), F.col("_calls")
     )
     reasons = (role == "assistant") & (F.col("_reasoning") != "")
+    head = F.lit(None).cast("string")
+    if "tools" in given:
+        system = F.when(role == "system", content)
+        head = F.when(template.has_tools(F.col("tools")), template.tools_head(system, F.col("tools")))
+    flag = F.col("enable_thinking") if "enable_thinking" in given else F.lit(None).cast("boolean")
     return parts.select(
         "conv_id",
         "turn",
         F.coalesce(role, F.lit("")).alias("role"),
         template.is_query(role, F.col("content")).alias("query"),
         short.alias("short"),
-        F.when(reasons, reasoned).otherwise(short).alias("long"),
+        F.when(reasons, reasoned).alias("long"),
+        head.alias("head"),
+        F.when(role == "user", template.generation_prompt(F.coalesce(flag, F.lit(enable_thinking)))).alias("ending"),
     )
 
 
 def history_prompts(
-    turns: DataFrame, max_chars: int = HISTORY_CHARS, idle_ms: int | None = None
+    turns: DataFrame, enable_thinking: bool = True, idle_ms: int | None = None
 ) -> DataFrame:
     """The prompt for each user turn, with the session's history: ``(conv_id, turn, prompt)``.
 
-    State of a session: the text up to its last query, and what followed with
-    and without reasoning. A prompt above ``max_chars`` is null, and its session
-    then keeps no text. A batch holds the turns of a session in order up to that
-    same length, whatever the session's size. ``idle_ms`` drops sessions after
-    that long without a turn.
+    The state of a session is the list of its rendered turns, to which a batch
+    only appends, and a few numbers. A turn with reasoning is there in both
+    forms: a prompt has the long one after the last query. Prompts are whole at
+    any length. A column ``tools`` is read at the first turn, ``enable_thinking``
+    at the user turn (else the argument). ``idle_ms`` drops sessions after that
+    long without a turn.
     """
-    ending = template.GENERATION_PROMPT
-    forms = _message_forms(turns)
+    forms = _message_forms(turns, enable_thinking)
+    kind = turns.schema["conv_id"].dataType.simpleString()
 
     from pyspark.sql.streaming.stateful_processor import StatefulProcessor
 
@@ -182,61 +215,53 @@ def history_prompts(
     class Session(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.memory = handle.getValueState(
-                "memory",
-                "base STRING, short STRING, long STRING, asked BOOLEAN, last STRING, chars LONG",
-            )
+            self.said = handle.getListState("said", "short STRING, long STRING")
+            self.place = handle.getValueState("place", "turns LONG, asked LONG, last STRING")
 
         def handleInputRows(self, key, rows, timer_values):
             import pandas as pd
 
-            waiting = None
-            for chunk in rows:
-                waiting = chunk if waiting is None else pd.concat([waiting, chunk])
-                waiting = waiting.sort_values("turn", kind="stable")
-                before = waiting["long"].str.len().cumsum() - waiting["long"].str.len()
-                beyond = before > max_chars
-                if beyond.any():
-                    # The rows that stay are longer than max_chars, so they fill the session.
-                    yield self.unanswerable(waiting[beyond & (waiting["role"] == "user")])
-                    waiting = waiting[~beyond]
-            if waiting is not None:
-                yield self.answer(waiting)
+            chunks = [chunk for chunk in rows if not chunk.empty]
+            if not chunks:
+                return
+            waiting = pd.concat(chunks).sort_values("turn", kind="stable")
+            count, asked, last = self.place.get() or (0, -1, "")
+            asks = (waiting["role"] == "user").any()
+            said = [tuple(x) for x in self.said.get()] if asks and count else []
+            before, new, prompts = len(said), [], []
+            for row in waiting.itertuples(index=False):
+                mark = "<|im_end|>\n" if last == "tool" and row.role != "tool" else ""
+                if row.role == "tool" and last != "tool":
+                    mark = "<|im_start|>user"
+                short = mark + row.short
+                if count == 0 and isinstance(row.head, str):
+                    short = row.head + ("" if row.role == "system" else short)
+                long = None
+                if isinstance(row.long, str):
+                    long = short[: len(short) - len(row.short)] + row.long
+                new.append((short, long))
+                if row.query:
+                    asked = count
+                if row.role == "user":
+                    said += new[len(said) - before :]
+                    prompts.append((row.conv_id, row.turn, self.prompt(said, asked) + row.ending))
+                count, last = count + 1, row.role
+            self.said.appendList(new)
+            self.place.update((count, asked, last))
             if idle_ms is not None:
                 for timer in list(self.handle.listTimers()):
                     self.handle.deleteTimer(timer)
                 self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + idle_ms)
+            yield pd.DataFrame(prompts, columns=["conv_id", "turn", "prompt"])
 
-        def unanswerable(self, users):
-            return users[["conv_id", "turn"]].assign(prompt=None)
-
-        def answer(self, waiting):
-            import pandas as pd
-
-            fresh = ("", "", "", False, "", 0)
-            base, short, long, asked, last, chars = self.memory.get() or fresh
-            prompts = []
-            for row in waiting.itertuples(index=False):
-                chars += len(row.long)
-                if chars > max_chars:
-                    base, short, long = "", "", ""
-                else:
-                    mark = "<|im_end|>\n" if last == "tool" and row.role != "tool" else ""
-                    if row.role == "tool" and last != "tool":
-                        mark = "<|im_start|>user"
-                    if row.query:
-                        base, short, long, asked = base + short + mark + row.short, "", "", True
-                    else:
-                        short, long = short + mark + row.short, long + mark + row.long
-                    last = row.role
-                if row.role == "user":
-                    said = None if chars > max_chars else base + (long if asked else short)
-                    prompts.append((row.conv_id, row.turn, said and said + ending))
-            self.memory.update((base, short, long, asked, last, chars))
-            return pd.DataFrame(prompts, columns=["conv_id", "turn", "prompt"])
+        def prompt(self, said, asked):
+            return "".join(
+                long if long is not None and 0 <= asked < n else short for n, (short, long) in enumerate(said)
+            )
 
         def handleExpiredTimer(self, key, timer_values, expired):
-            self.memory.clear()
+            self.said.clear()
+            self.place.clear()
             return iter([])
 
         def close(self):
@@ -244,7 +269,7 @@ def history_prompts(
 
     return forms.groupBy("conv_id").transformWithStateInPandas(
         Session(),
-        outputStructType="conv_id long, turn long, prompt string",
+        outputStructType=f"conv_id {kind}, turn long, prompt string",
         outputMode="append",
         timeMode="None" if idle_ms is None else "ProcessingTime",
     )

@@ -32,20 +32,30 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("slices, span", [(1, 100), (4, 100), (4, 2)])
-def test_exit_closes_the_session_for_later_batches(spark, monkeypatch, slices, span):
-    monkeypatch.setattr(sessions, "STATE_SPAN", span)
+@pytest.mark.parametrize("slices", [1, 4])
+def test_exit_closes_the_session_for_later_batches(spark, slices):
+    sessions.use_rocksdb(spark)
     marked = inputs.mark_exits(read_turns(spark, SMALL))
     base = scratch_path(spark, "exits")
-    stream = stream_of(spark, marked, slices)
-    sessions.take_until_exit(
-        stream, f"{base}/out", f"{base}/state", f"{base}/checkpoint", ONCE
-    ).awaitTermination()
+    kept = sessions.take_until_exit(stream_of(spark, marked, slices))
+    sessions.write_batches(kept, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
     got = spark.read.parquet(f"{base}/out")
     expected = batch.take_until_exit(batch.drop_empty_turns(marked))
     columns = ["conv_id", "turn", "role", "content"]
     assert rows(got.select(columns)) == rows(expected.select(columns))
-    assert got.select("batch").distinct().count() == slices
+
+
+def test_sessions_of_any_key_type(spark):
+    sessions.use_rocksdb(spark)
+    data = [("a", 0, "user", "hi"), ("a", 1, "user", "exit"), ("b", 1, "user", "hi"), ("a", 2, "user", "more")]
+    turns = spark.createDataFrame(data, CHAT.replace("conv_id long", "conv_id string"))
+    base = scratch_path(spark, "keys")
+    kept = sessions.take_until_exit(stream_of(spark, turns, 3))
+    sessions.write_batches(kept, f"{base}/out", f"{base}/c1", ONCE).awaitTermination()
+    assert [r[:2] for r in rows(spark.read.parquet(f"{base}/out"))] == [("a", 0), ("b", 1)]
+    prompts = sessions.history_prompts(stream_of(spark, turns, 3))
+    sessions.write_batches(prompts, f"{base}/prompts", f"{base}/c2", ONCE).awaitTermination()
+    assert spark.read.parquet(f"{base}/prompts").count() == 4
 
 
 @pytest.mark.parametrize("slices", [1, 3])
@@ -68,46 +78,41 @@ def test_prompts_with_history(spark, slices):
         assert got[conv, turn] == row.prompt
 
 
-def test_long_sessions_keep_no_text(spark):
+@pytest.mark.parametrize("slices", [1, 3])
+def test_long_sessions_have_whole_prompts(spark, slices):
     sessions.use_rocksdb(spark)
-    data = [(c, t, "user" if t % 2 == 0 else "assistant", "x" * 90) for c in (1, 2) for t in range(8 * c)]
+    answer = "<think>\nr\n</think>\n\n" + "x" * 300_000
+    data = [(1, t, "user" if t % 2 == 0 else "assistant", "u" if t % 2 == 0 else answer) for t in range(12)]
     base = scratch_path(spark, "long")
-    stream = stream_of(spark, spark.createDataFrame(data, CHAT).orderBy(F.rand(1)), 2)
-    prompts = sessions.history_prompts(stream, max_chars=700)
+    prompts = sessions.history_prompts(stream_of(spark, spark.createDataFrame(data, CHAT), slices))
     sessions.write_batches(prompts, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
-    got = {(r.conv_id, r.turn): r.prompt for r in spark.read.parquet(f"{base}/out").collect()}
-    assert set(got) == {(c, t) for c, t, role, _ in data if role == "user"}
-    size = {"user": len("<|im_start|>user\n<|im_end|>\n") + 90, "assistant": len("<|im_start|>assistant\n<|im_end|>\n") + 90}
-    for (conv, turn), prompt in got.items():
-        chars = sum(size["user" if t % 2 == 0 else "assistant"] for t in range(turn + 1))
-        assert (prompt is None) == (chars > 700)
-        if prompt is not None:
-            assert len(prompt) == chars + len("<|im_start|>assistant\n")
+    got = {r.turn: r.prompt for r in spark.read.parquet(f"{base}/out").collect()}
+    user, plain = "<|im_start|>user\nu<|im_end|>\n", "<|im_start|>assistant\n" + "x" * 300_000 + "<|im_end|>\n"
+    assert set(got) == set(range(0, 12, 2)) and len(got[10]) > 1 << 20
+    for turn, prompt in got.items():
+        assert prompt == (user + plain) * (turn // 2) + user + "<|im_start|>assistant\n"
+
 
+def test_thinking_column_in_streams(spark):
+    sessions.use_rocksdb(spark)
+    data = [(1, t, "user", "u") for t in range(4)]
+    base = scratch_path(spark, "flags")
+    flagged = stream_of(spark, spark.createDataFrame(data, CHAT), 2).withColumn("enable_thinking", C("turn") % 2 == 0)
+    sessions.write_batches(sessions.history_prompts(flagged), f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
+    got = {r.turn: r.prompt.endswith("</think>\n\n") for r in spark.read.parquet(f"{base}/out").collect()}
+    assert got == {0: False, 1: True, 2: False, 3: True}
+
+
+@pytest.mark.parametrize("every", [2, 100])
+def test_latest_response(spark, every):
+    import os
 
-def test_latest_response(spark):
     turns = read_turns(spark, SMALL)
     base = scratch_path(spark, "latest")
     sessions.latest_response(
-        stream_of(spark, turns, 4), f"{base}/out", f"{base}/checkpoint", ONCE
+        stream_of(spark, turns, 5), f"{base}/out", f"{base}/checkpoint", ONCE, compact_every=every
     ).awaitTermination()
     got = sessions.read_latest(spark, f"{base}/out")
     expected = turns.groupBy("conv_id", "role").agg(F.max_by("content", "turn"), F.count("*"))
     assert rows(got) == rows(expected)
-
-
-@pytest.mark.parametrize("slices", [1, 3])
-def test_limit_counts_reasoning_however_batches_fall(spark, slices):
-    sessions.use_rocksdb(spark)
-    answer = "<think>\n" + "r" * 200 + "\n</think>\n\na"
-    data = [(1, t, "user" if t % 2 == 0 else "assistant", "u" if t % 2 == 0 else answer) for t in range(12)]
-    base = scratch_path(spark, "limit")
-    prompts = sessions.history_prompts(stream_of(spark, spark.createDataFrame(data, CHAT), slices), 600)
-    sessions.write_batches(prompts, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
-    got = {r.turn: r.prompt for r in spark.read.parquet(f"{base}/out").collect()}
-    user = len("<|im_start|>user\nu<|im_end|>\n")
-    reasoned = len("<|im_start|>assistant\n<|im_end|>\n") + len(answer)
-    for turn in range(0, 12, 2):
-        chars = (turn // 2 + 1) * user + turn // 2 * reasoned
-        assert (got[turn] is None) == (chars > 600)
-    assert got[4] is not None and got[10] is None and "r" * 200 not in got[4]
+    assert len(os.listdir(f"{base}/out")) == (2 if every == 2 else 5)

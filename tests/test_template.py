@@ -3,7 +3,13 @@
 import pytest
 
 from colloquy.functions.fixed import TOOLS_INTRO, TOOLS_OUTRO
-from colloquy.operators.render import history_examples, render_conversation, sft_examples
+from colloquy.operators.render import (
+    history_examples,
+    history_spans,
+    render_conversation,
+    render_in_cells,
+    sft_examples,
+)
 
 SCHEMA = (
     "conv_id long, turn long, role string, content string, reasoning_content string, "
@@ -146,7 +152,7 @@ def test_generation_prompt(spark):
 def test_cells_join_to_the_prompt(spark):
     messages = [("user", "a" * 50), ("assistant", "b" * 70)] * 20
     whole = prompt(spark, *messages)
-    cells = render_conversation(turns(spark, *messages), cell_chars=300).orderBy("prompt_start")
+    cells = render_in_cells(turns(spark, *messages), cell_chars=300).orderBy("prompt_start")
     rows = cells.collect()
     assert len(rows) > 5
     assert "".join(r.prompt for r in rows) == whole
@@ -189,15 +195,53 @@ def test_history_depends_on_the_query_before(spark):
 
 
 @pytest.mark.parametrize("hot", ["4", "1000"])
-def test_too_long_a_history_has_no_prompt(spark, hot):
+def test_long_histories_have_whole_prompts(spark, hot):
     from colloquy.plans.ordered_groups import HOT_ROWS_SETTING
 
     spark.conf.set(HOT_ROWS_SETTING, hot)
     try:
-        messages = [("user", "hi"), ("assistant", "x" * 100)] * 10
-        rows = history_examples(turns(spark, *messages), max_chars=500).collect()
+        messages = [("user", "hi"), ("assistant", "x" * 250_000)] * 6
+        rows = {r.turn: r for r in history_examples(turns(spark, *messages)).collect()}
     finally:
         spark.conf.unset(HOT_ROWS_SETTING)
-    assert len(rows) == 10
-    assert all((r.prompt is None) == (r.history_chars > 500) for r in rows)
-    assert {r.prompt is None for r in rows} == {True, False}
+    assert len(rows) == 6 and max(len(r.prompt) for r in rows.values()) > 1 << 20
+    said = USER + "<|im_start|>assistant\n" + "x" * 250_000 + "<|im_end|>\n"
+    assert rows[max(rows)].prompt == said * 5 + USER + "<|im_start|>assistant\n"
+
+
+def test_long_conversation_is_one_row(spark):
+    messages = [("user", "y" * 1_000_000)] * 18
+    (row,) = render_conversation(turns(spark, *messages)).collect()
+    assert row.prompt_start == 0 and len(row.prompt) > 17 * 1024 * 1024
+
+
+def test_spans_make_the_prompts(spark):
+    messages = [
+        ("user", "hi"), ("assistant", "<think>r</think>a"), ("assistant", "b"), ("tool", "t"), ("assistant", "<think>s</think>c"),
+        ("user", "again"), ("assistant", "d"), ("assistant", "e"), ("system", "x"), ("assistant", "f"),
+    ]
+    for some in (messages, messages[1:5], messages[5:], messages[:1], messages[1:3] * 3):
+        chat = turns(spark, *some)
+        sizes = {r.turn: r.short_chars + r.long_chars + r.before_chars + r.ending_chars for r in history_spans(chat).collect()}
+        assert sizes == {r.turn: len(r.prompt) for r in history_examples(chat).collect()}
+
+
+def test_spans_are_linear_in_the_turns(spark):
+    import time
+
+    def seconds(n):
+        rows = spark.range(n).selectExpr("1L AS conv_id", "id AS turn", "if(id % 2 = 0, 'user', 'assistant') AS role", "concat('t', id) AS content")
+        began = time.time()
+        assert history_spans(rows).count() == n // 2
+        return time.time() - began
+
+    seconds(100)
+    assert seconds(9001) < 10
+
+
+def test_thinking_column_ends_the_prompt_of_its_turn(spark):
+    from pyspark.sql import functions as F
+
+    chat = turns(spark, ("user", "hi"), ("assistant", "a"), ("user", "hi"), ("assistant", "b")).withColumn("enable_thinking", F.col("turn") < 5)
+    prompts = [r.prompt for r in history_examples(chat).orderBy("turn").collect()]
+    assert [p.endswith("</think>\n\n") for p in prompts] == [False, True]

@@ -115,7 +115,10 @@ def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pair_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log-probabilities of both sides of a pair, from lengths and the pair's key."""
+    """Log-probabilities of both sides of a pair, from lengths and the pair's key.
+
+    Some answers are certain (log-probability 0), some have no length.
+    """
     pairs = preference_candidates(spark, sf_dir)
     key = (C("conv_id"), C("turn"))
     n_chosen, n_rejected = F.length("chosen"), F.length("rejected")
@@ -123,14 +126,15 @@ def pair_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
     def logp(tag: str, length: Column) -> Column:
         return -length * (F.lit(0.5) + chance.unit(tag, *key))
 
-    return pairs.where(C("rejected").isNotNull() & (n_chosen > 0) & (n_rejected > 0)).select(
+    certain, empty = C("conv_id") % 17 == 3, C("conv_id") % 19 == 5
+    return pairs.where(C("rejected").isNotNull()).select(
         "conv_id",
         "turn",
-        logp("pi_c", n_chosen).alias("pi_chosen"),
+        F.when(certain, 0.0).otherwise(logp("pi_c", n_chosen)).alias("pi_chosen"),
         logp("ref_c", n_chosen).alias("ref_chosen"),
-        logp("pi_r", n_rejected).alias("pi_rejected"),
+        F.when(certain & (C("conv_id") % 2 == 0), 0.0).otherwise(logp("pi_r", n_rejected)).alias("pi_rejected"),
         logp("ref_r", n_rejected).alias("ref_rejected"),
-        n_chosen.alias("len_chosen"),
+        F.when(empty, 0).otherwise(n_chosen).alias("len_chosen"),
         n_rejected.alias("len_rejected"),
     )
 
@@ -159,8 +163,8 @@ def reward_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def token_logps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Sixteen log-probabilities per document under two models."""
-    docs = read_table(spark, sf_dir, "documents").select(
+    """Sixteen log-probabilities per document under two models; none for some documents."""
+    docs = read_table(spark, sf_dir, "documents").where(C("doc_id") % 23 != 7).select(
         C("doc_id").alias("seq_id"), F.explode(F.sequence(F.lit(0), F.lit(15))).alias("pos")
     )
 
@@ -177,11 +181,12 @@ def sequence_rewards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def distill_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Embeddings as teacher logits over 64 items, with a perturbed student."""
+    """Embeddings as teacher logits over their items, with a perturbed student; one item is masked for both."""
     items = read_table(spark, sf_dir, "embeddings").select(
         C("vec_id").alias("pos"), "label", F.posexplode("embedding").alias("item", "_value")
     )
-    teacher = C("_value").cast("double") * 8
+    masked = (C("item") == C("pos") % 5) & (C("item") != C("label"))
+    teacher = F.when(masked, float("-inf")).otherwise(C("_value").cast("double") * 8)
     student = teacher + chance.unit("student", C("pos"), C("item")) - 0.5
     return items.select(
         "pos",
@@ -200,6 +205,14 @@ def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def candidates_with_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Candidates of which some have no score, or one that is no number."""
+    item = C("item_id")
+    return candidates(spark, sf_dir).withColumn(
+        "score", F.when(item % 7 == 3, None).when(item % 11 == 5, float("nan")).otherwise(C("score"))
+    )
+
+
 def seen(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates that were bought before."""
     return (

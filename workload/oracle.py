@@ -174,12 +174,13 @@ LOGPS = f"""
 {PAIRS},
 logps AS (
   SELECT conv_id, turn,
-    -length(chosen) * (0.5 + {unit("pi_c", "conv_id", "turn")}) AS pi_chosen,
+    CASE WHEN conv_id % 17 = 3 THEN 0 ELSE -length(chosen) * (0.5 + {unit("pi_c", "conv_id", "turn")}) END AS pi_chosen,
     -length(chosen) * (0.5 + {unit("ref_c", "conv_id", "turn")}) AS ref_chosen,
-    -length(rejected) * (0.5 + {unit("pi_r", "conv_id", "turn")}) AS pi_rejected,
+    CASE WHEN conv_id % 17 = 3 AND conv_id % 2 = 0 THEN 0
+      ELSE -length(rejected) * (0.5 + {unit("pi_r", "conv_id", "turn")}) END AS pi_rejected,
     -length(rejected) * (0.5 + {unit("ref_r", "conv_id", "turn")}) AS ref_rejected,
-    length(chosen) AS len_chosen, length(rejected) AS len_rejected
-  FROM judged WHERE rejected IS NOT NULL AND length(chosen) > 0 AND length(rejected) > 0
+    CASE WHEN conv_id % 19 = 5 THEN 0 ELSE length(chosen) END AS len_chosen, length(rejected) AS len_rejected
+  FROM judged WHERE rejected IS NOT NULL
 )"""
 
 
@@ -194,14 +195,24 @@ margins AS (
 ),
 scored AS (SELECT conv_id, turn, margin, {loss("margin")} AS loss, margin > 0 AS correct FROM margins)"""
 
+# Odds of a certain side are infinite: the loss is 0 if that is the chosen one; without a ratio it is null.
 ORPO = f"""
 {LOGPS},
-means AS (SELECT conv_id, turn, pi_chosen / len_chosen AS c, pi_rejected / len_rejected AS r FROM logps),
+means AS (
+  SELECT conv_id, turn, CASE WHEN len_chosen > 0 THEN pi_chosen / len_chosen END AS c,
+    CASE WHEN len_rejected > 0 THEN pi_rejected / len_rejected END AS r FROM logps
+),
+odds AS (
+  SELECT conv_id, turn, c = 0 AS sure_c, r = 0 AS sure_r, CASE WHEN c < 0 THEN c - ln(1 - exp(c)) END AS c,
+    CASE WHEN r < 0 THEN r - ln(1 - exp(r)) END AS r FROM means
+),
 ratios AS (
-  SELECT conv_id, turn, (c - ln(1 - exp(c))) - (r - ln(1 - exp(r))) AS log_odds_ratio FROM means
+  SELECT conv_id, turn, CASE WHEN sure_c AND r IS NOT NULL THEN 'infinity'::DOUBLE
+    WHEN sure_r AND c IS NOT NULL THEN '-infinity'::DOUBLE ELSE c - r END AS log_odds_ratio FROM odds
 ),
 scored AS (
-  SELECT conv_id, turn, log_odds_ratio, {loss("log_odds_ratio")} AS loss, log_odds_ratio > 0 AS correct FROM ratios
+  SELECT conv_id, turn, log_odds_ratio, CASE WHEN isinf(log_odds_ratio) THEN greatest(-log_odds_ratio, 0)
+    ELSE {loss("log_odds_ratio")} END AS loss, log_odds_ratio > 0 AS correct FROM ratios
 )"""
 
 REWARDS = f"""
@@ -211,10 +222,10 @@ rewards AS (
   FROM documents d JOIN labels l USING (doc_id)
 ),
 scored AS (
-  SELECT c.source, c.pair, c.reward AS chosen, r.reward AS rejected,
+  SELECT c.reward AS chosen, r.reward AS rejected,
     {loss("c.reward - r.reward")} AS loss, c.reward > r.reward AS correct
-  FROM rewards c JOIN rewards r ON c.source = r.source AND c.pair = r.pair
-  WHERE c.quality = 1 AND r.quality = 0
+  FROM (SELECT * FROM rewards WHERE quality = 1) c
+  FULL JOIN (SELECT * FROM rewards WHERE quality = 0) r ON c.source = r.source AND c.pair = r.pair
 )"""
 
 CANDIDATES = """
@@ -241,7 +252,7 @@ def nucleus(source: str, name: str, p: float) -> str:
 
 PROBS = "SELECT group_id, item_id, round(score, 6) AS score, round(prob, 6) AS prob"
 SUMMARY = (
-    "SELECT count(*) AS pairs, round(avg(loss), 6) AS mean_loss, "
+    "SELECT count(*) AS pairs, count(*) FILTER (loss IS NULL) AS unusable, round(avg(loss), 6) AS mean_loss, "
     "round(avg(correct::INT), 6) AS accuracy FROM scored"
 )
 
@@ -468,10 +479,20 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         # windows
         "number_turns": """SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS number,
               count(*) OVER (PARTITION BY conv_id) AS of FROM conversations""",
+        "thinking_mode_flagged": f"""WITH {MARKED}, {MODES} SELECT conv_id, turn, role,
+              CASE WHEN conv_id % 3 <> 0 AND conv_id % 2 = 0 THEN 'non_thinking' ELSE mode END AS mode FROM modes""",
         "thinking_mode": f"WITH {MARKED}, {MODES} SELECT conv_id, turn, role, mode FROM modes",
         "history_examples": f"""WITH {MARKED}, {PLACED}, {HISTORY}
             SELECT conv_id, turn, coalesce(past_chars, 0)::BIGINT AS history_chars,
               coalesce(past, '') || {GENERATION} AS prompt, body AS response FROM said WHERE role = 'assistant'""",
+        "history_spans": f"""WITH {MARKED}, {PLACED}, {HISTORY}, asked_chars AS (
+              SELECT h.conv_id, h.turn, h.i, h.lq, sum(length(e.head || e.short)) FILTER (h.lq IS NULL OR e.i <= h.lq) AS short_chars
+              FROM histories h LEFT JOIN forms e ON e.conv_id = h.conv_id AND e.i < h.i WHERE h.role = 'assistant' GROUP BY ALL)
+            SELECT a.conv_id, a.turn, coalesce(a.short_chars, 0)::BIGINT AS short_chars,
+              CASE WHEN b.role = 'assistant' AND b.i > a.lq THEN b.turn END AS before_turn,
+              (length(coalesce(s.past, '')) + length({GENERATION}))::BIGINT AS prompt_chars
+            FROM asked_chars a JOIN said s USING (conv_id, turn)
+            LEFT JOIN forms b ON b.conv_id = a.conv_id AND b.i = a.i - 1""",
         "qa_pairs": f"WITH {PAIRS} SELECT conv_id, turn, prompt, answer FROM qa",
         # joins
         "config_sweep": f"""WITH {SWEEPS} SELECT conv_id, turn, config, temperature
@@ -493,6 +514,10 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         "temperature_softmax": f"WITH {CANDIDATES}, {softmax('candidates', 'p', 0.7)} {PROBS} FROM p",
         "top_k": f"""WITH {CANDIDATES} SELECT group_id, item_id, round(score, 6) AS score FROM candidates
             QUALIFY rank() OVER (PARTITION BY group_id ORDER BY score DESC) <= 20""",
+        "top_p_off": f"WITH {CANDIDATES}, {softmax('candidates', 's', 0.7)} {PROBS} FROM s",
+        "top_k_with_gaps": f"""WITH {CANDIDATES} SELECT group_id, item_id, round(score, 6) AS score FROM candidates
+            WHERE item_id % 7 <> 3 AND item_id % 11 <> 5
+            QUALIFY rank() OVER (PARTITION BY group_id ORDER BY score DESC) <= 20""",
         "top_p": f"""WITH {CANDIDATES}, {softmax('candidates', 's', 0.7)}, {nucleus('s', 'kept', 0.9)}
             {PROBS} FROM kept""",
         "min_p": f"""WITH {CANDIDATES}, {softmax('candidates', 's', 0.7)}
@@ -519,6 +544,14 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               SELECT * FROM kept QUALIFY prob >= 0.02 * max(prob) OVER (PARTITION BY group_id))
             SELECT group_id, item_id, round(score, 6) AS score,
               round(prob / sum(prob) OVER (PARTITION BY group_id), 6) AS prob FROM solid""",
+        "sample_candidates": f"""WITH pushed AS (
+              SELECT user_id AS group_id, event_id AS item_id, CASE WHEN event_type <> 'purchase' THEN value / 100
+                WHEN value < 0 THEN value / 100 * 1.1 - 0.25 ELSE value / 100 / 1.1 - 0.25 END AS score FROM events),
+            shortlist AS (SELECT * FROM pushed QUALIFY rank() OVER (PARTITION BY group_id ORDER BY score DESC) <= 50),
+            {softmax('shortlist', 's', 0.7)}, {nucleus('s', 'kept', 0.9)}, shares AS (
+              SELECT group_id, item_id, score, prob / sum(prob) OVER (PARTITION BY group_id) AS prob FROM kept)
+            {PROBS} FROM shares QUALIFY row_number() OVER (PARTITION BY group_id
+              ORDER BY ln(prob) - ln(-ln({unit("chain", "group_id", "item_id")})) DESC, item_id) = 1""",
         # generation with a stub
         "batch_generate": f"""WITH asked AS (
               SELECT conv_id, turn, {two_turns("text")} AS prompt FROM conversations WHERE role = 'user')
@@ -531,18 +564,18 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               WHERE role = 'user' AND lower(trim(content, {BLANKS})) IN ('quit', 'exit', '退出') GROUP BY conv_id)
             SELECT s.conv_id, s.turn, s.role, s.content FROM spoken s LEFT JOIN closed c USING (conv_id)
             WHERE c.closed IS NULL OR s.turn < c.closed""",
-        "stream_history_prompt": f"""WITH {MARKED}, {PLACED.replace(HAS_TOOLS, "false")}, {ASKING}
-            SELECT h.conv_id, h.turn, string_agg(CASE WHEN e.role = 'assistant' AND e.i > h.lq AND e.reasoning <> ''
+        "stream_history_prompt": f"""WITH {MARKED}, {PLACED}, {ASKING}
+            SELECT h.conv_id, h.turn, string_agg(e.head || CASE WHEN e.role = 'assistant' AND e.i > h.lq AND e.reasoning <> ''
                 THEN e.long ELSE e.short END, '' ORDER BY e.i) || {GENERATION} AS prompt
             FROM asking h JOIN forms e ON e.conv_id = h.conv_id AND e.i <= h.i GROUP BY h.conv_id, h.turn""",
         "stream_latest_response": """SELECT conv_id, role, arg_max(text, turn) AS latest, count(*) AS updates
             FROM conversations GROUP BY conv_id, role""",
         # stages
-        "pack_corpus": """WITH shards AS (
-              SELECT doc_id % 8 AS shard, string_agg(text || '<|endoftext|>', '' ORDER BY doc_id) AS body
-              FROM documents GROUP BY 1),
-            places AS (SELECT doc_id % 8 AS shard, sum(length(text) + 13) OVER (PARTITION BY doc_id % 8 ORDER BY doc_id)
-                AS stop, length(text) + 13 AS size FROM documents),
+        "pack_corpus": """WITH n AS (SELECT greatest(1, ceil(sum(length(text)) / 4000000))::BIGINT AS shards FROM documents),
+            placed AS (SELECT doc_id, doc_id % shards AS shard, text FROM documents, n),
+            shards AS (SELECT shard, string_agg(text || '<|endoftext|>', '' ORDER BY doc_id) AS body FROM placed GROUP BY 1),
+            places AS (SELECT shard, sum(length(text) + 13) OVER (PARTITION BY shard ORDER BY doc_id) AS stop,
+                length(text) + 13 AS size FROM placed),
             blocks AS (SELECT shard, unnest(range(0, CAST(ceil(length(body) / 4096) AS BIGINT))) AS block, body FROM shards)
             SELECT b.shard, b.block, substring(any_value(b.body), b.block * 4096 + 1, 4096) AS text, count(*) AS documents
             FROM blocks b JOIN places p ON p.shard = b.shard AND p.stop > b.block * 4096
@@ -565,20 +598,24 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         "orpo_scores": f"""WITH {ORPO} SELECT conv_id, turn, round(log_odds_ratio, 6) AS log_odds_ratio,
             round(loss, 6) AS loss, correct FROM scored""",
         "orpo_summary": f"WITH {ORPO} {SUMMARY}",
-        "reward_pair_accuracy": f"WITH {REWARDS} {SUMMARY}",
+        "reward_pair_accuracy": f"""WITH {REWARDS} SELECT count(loss) AS pairs, round(avg(loss), 6) AS mean_loss,
+              round(avg(correct::INT), 6) AS accuracy, count(*) FILTER (loss IS NULL) AS unpaired, 0::BIGINT AS repeated
+            FROM scored""",
         "kl_shaped_reward": f"""WITH tokens AS (
-              SELECT doc_id, unnest(range(0, 16)) AS pos FROM documents),
+              SELECT doc_id, unnest(range(0, 16)) AS pos FROM documents WHERE doc_id % 23 <> 7),
             drift AS (SELECT doc_id, sum(-(0.1 + 3 * {unit("pi", "doc_id", "pos")})
-                + (0.1 + 3 * {unit("ref", "doc_id", "pos")})) AS kl FROM tokens GROUP BY doc_id)
+                + (0.1 + 3 * {unit("ref", "doc_id", "pos")})) AS drifted FROM tokens GROUP BY doc_id),
+            every AS (SELECT doc_id, coalesce(drifted, 0) AS kl FROM documents LEFT JOIN drift USING (doc_id))
             SELECT doc_id AS seq_id, round(4 * {unit("seq", "doc_id")} - 2, 6) AS reward, round(kl, 6) AS kl,
-              round(4 * {unit("seq", "doc_id")} - 2 - 0.05 * kl, 6) AS shaped_reward FROM drift""",
+              round(4 * {unit("seq", "doc_id")} - 2 - 0.05 * kl, 6) AS shaped_reward FROM every""",
         "group_advantage": """SELECT user_id, event_id, round(
               (value - avg(value) OVER w) / (coalesce(stddev_samp(value) OVER w, 0) + 0.0001), 6) AS advantage
             FROM events WINDOW w AS (PARTITION BY user_id)""",
         "distill_loss": f"""WITH items AS (
               SELECT vec_id AS pos, label, unnest(range(0, len(embedding))) AS item,
                 unnest(embedding)::DOUBLE * 8 AS teacher FROM embeddings),
-            logits AS (SELECT *, teacher + {unit("student", "pos", "item")} - 0.5 AS student FROM items),
+            unmasked AS (SELECT * FROM items WHERE NOT (item = pos % 5 AND item <> label)),
+            logits AS (SELECT *, teacher + {unit("student", "pos", "item")} - 0.5 AS student FROM unmasked),
             logs AS (SELECT pos, item = label AS gold,
               teacher - ln(sum(exp(teacher)) OVER (PARTITION BY pos)) AS lt,
               student - ln(sum(exp(student)) OVER (PARTITION BY pos)) AS ls FROM logits),

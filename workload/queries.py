@@ -297,7 +297,7 @@ def render_plain(spark, sf_dir):
 
 @query
 def render_in_cells(spark, sf_dir):
-    return render.render_conversation(inputs.chat_marked(spark, sf_dir), cell_chars=1000)
+    return render.render_in_cells(inputs.chat_marked(spark, sf_dir), cell_chars=1000)
 
 
 @query
@@ -366,11 +366,26 @@ def thinking_mode(spark, sf_dir):
     )
 
 
+@query
+def thinking_mode_flagged(spark, sf_dir):
+    """Conversations that say themselves whether thinking is enabled."""
+    flag = F.when(C("conv_id") % 3 != 0, C("conv_id") % 2 != 0)
+    chat = inputs.chat_marked(spark, sf_dir).withColumn("enable_thinking", flag)
+    return turns.thinking_mode(chat).select("conv_id", "turn", "role", "mode")
+
+
 @query
 def history_examples(spark, sf_dir):
     return render.history_examples(inputs.chat_marked(spark, sf_dir))
 
 
+@query
+def history_spans(spark, sf_dir):
+    return render.history_spans(inputs.chat_marked(spark, sf_dir)).withColumn(
+        "prompt_chars", C("short_chars") + C("long_chars") + C("before_chars") + C("ending_chars")
+    ).select("conv_id", "turn", "short_chars", "before_turn", "prompt_chars")
+
+
 @query
 def qa_pairs(spark, sf_dir):
     return turns.qa_pairs(read_turns(spark, sf_dir))
@@ -403,7 +418,7 @@ def loss_bearing_totals(spark, sf_dir):
 
 @query
 def latency_summary(spark, sf_dir):
-    summary = answers.latency_summary(inputs.runs(spark, sf_dir), accuracy=1_000_000)
+    summary = answers.latency_summary(inputs.runs(spark, sf_dir))
     return rounded(summary, "mean_s", "max_s", "p50_s", "p95_s")
 
 
@@ -432,6 +447,17 @@ def top_p(spark, sf_dir):
     return rounded(kept, "score", "prob")
 
 
+@query
+def top_p_off(spark, sf_dir):
+    kept = candidates.top_p(inputs.candidates(spark, sf_dir), 1.0, temperature=0.7)
+    return rounded(kept, "score", "prob")
+
+
+@query
+def top_k_with_gaps(spark, sf_dir):
+    return rounded(candidates.top_k(inputs.candidates_with_gaps(spark, sf_dir), 20), "score")
+
+
 @query
 def min_p(spark, sf_dir):
     kept = candidates.min_p(inputs.candidates(spark, sf_dir), 0.05, temperature=0.7)
@@ -484,6 +510,15 @@ def select_candidates(spark, sf_dir):
     return rounded(chosen, "score", "prob")
 
 
+@query
+def sample_candidates(spark, sf_dir):
+    """The whole chain: penalties on seen items, temperature, top-k, top-p, a draw."""
+    chosen = candidates.select_candidates(
+        inputs.candidates(spark, sf_dir), 0.7, 50, 0.9, seen=inputs.seen(spark, sf_dir), repetition=1.1, presence=0.25, draw="chain"
+    )
+    return rounded(chosen, "score", "prob")
+
+
 # Generation
 
 
@@ -504,22 +539,18 @@ def turn_stream(spark, sf_dir):
 
 @query
 def stream_take_until_exit(spark, sf_dir):
+    sessions.use_rocksdb(spark)
     base = scratch_path(spark, "exits")
-    sessions.take_until_exit(
-        inputs.mark_exits(turn_stream(spark, sf_dir)),
-        f"{base}/out",
-        f"{base}/state",
-        f"{base}/checkpoint",
-        ONCE,
-    ).awaitTermination()
-    return spark.read.parquet(f"{base}/out").drop("batch")
+    kept = sessions.take_until_exit(inputs.mark_exits(turn_stream(spark, sf_dir)))
+    sessions.write_batches(kept, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
 
 
 @query
 def stream_history_prompt(spark, sf_dir):
     sessions.use_rocksdb(spark)
     base = scratch_path(spark, "prompts")
-    prompts = sessions.history_prompts(inputs.mark_chat(turn_stream(spark, sf_dir)).drop("tools"))
+    prompts = sessions.history_prompts(inputs.mark_chat(turn_stream(spark, sf_dir)))
     sessions.write_batches(prompts, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
@@ -539,7 +570,7 @@ def stream_latest_response(spark, sf_dir):
 @query
 def pack_corpus(spark, sf_dir):
     documents = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    return corpus.pack_corpus(documents, block_chars=4096, shards=8)
+    return corpus.pack_corpus(documents, 4096, corpus.shards_for(documents, shard_chars=4_000_000))
 
 
 @query
@@ -581,7 +612,8 @@ def orpo_summary(spark, sf_dir):
 
 @query
 def reward_pair_accuracy(spark, sf_dir):
-    return summary(preferences.reward_pairs(inputs.reward_scores(spark, sf_dir), ["source", "pair"]))
+    judged = preferences.reward_pair_accuracy(inputs.reward_scores(spark, sf_dir), ["source", "pair"])
+    return rounded(judged, "mean_loss", "accuracy")
 
 
 @query
