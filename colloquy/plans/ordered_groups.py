@@ -2,21 +2,21 @@
 
 A plain window puts each group in one task. That is the right plan for ordinary
 groups (one shuffle serves any number of windows) and the wrong one for a group
-that holds a large share of the table. ``OrderedGroups`` counts the rows per
-group first (a scan of the key columns only, combined before its shuffle):
+that holds a large share of the table. ``OrderedGroups`` counts the rows and the
+bytes of text per group first (one scan, combined before its shuffle):
 
-* no group above the threshold: plain windows, one shuffle;
+* no group above a threshold: plain windows, one shuffle;
 * otherwise the large groups, and only those, are cut into blocks at quantiles
   of their order key. Windows run inside ``(keys, block)``; what a row needs
   from the other blocks comes from a table with one row per block.
 
-Sizes. A group is cut when it has more than ``hot_rows`` rows, so a table of N
-rows has at most N / hot_rows such groups. A block aims at hot_rows / 2 rows
-and a group gets at most 4096 blocks, so the tables of cut points and of block
-values have at most about 2 N / hot_rows entries. The cut points only decide
-which task does what, never the result. Both tables are written to the shared
-folder: every reader, and every retry, sees the same ones, and their size is
-known when they are joined.
+Sizes. A group is cut when it has more than ``hot_rows`` rows or ``hot_bytes``
+of text, so a table of N rows and B bytes has at most N / hot_rows + B /
+hot_bytes such groups. A block aims at half of either, whatever the size of the
+group, so the tables of cut points and of block values have about twice as many
+entries. The cut points only decide which task does what, never the result.
+Both tables are written to the shared folder: every reader, and every retry,
+sees the same ones, and their size is known when they are joined.
 
 The order key is one number or time column, unique within its group.
 """
@@ -28,16 +28,19 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from colloquy.plans.shared import scratch_path
 
 HOT_ROWS_SETTING = "spark.colloquy.hotGroupRows"
 HOT_ROWS_DEFAULT = 200_000
+HOT_BYTES_SETTING = "spark.colloquy.hotGroupBytes"
+HOT_BYTES_DEFAULT = 512 << 20
 
-_MAX_BLOCKS = 4096
 _COARSE = 64  # cut points are searched 64 apart first, then 64 one by one
 _BLOCK = "_block"
 _HOT = "_hot"
+_HOT_COLUMNS = [StructField("_rows", LongType()), StructField("_blocks", LongType())]
 
 
 @dataclass(frozen=True)
@@ -150,6 +153,36 @@ def hot_threshold(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS_DEFAULT)))
 
 
+def hot_bytes_threshold(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get(HOT_BYTES_SETTING, str(HOT_BYTES_DEFAULT)))
+
+
+def _text_bytes(df: DataFrame) -> Column:
+    """Bytes of a row's texts."""
+    texts = [f.name for f in df.schema if f.dataType.typeName() == "string"]
+    size = F.lit(0).cast("bigint")
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(f"`{name}`"), F.lit(0))
+    return size
+
+
+def _hot_groups(df: DataFrame, keys: list[str]) -> list:
+    """The groups to cut, with their rows and number of blocks.
+
+    They are few by their size: see the bound above.
+    """
+    most_rows, most_bytes = hot_threshold(df), hot_bytes_threshold(df)
+    measured = df.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_rows"), F.sum(_text_bytes(df.drop(*keys))).alias("_bytes")
+    )
+    blocks = F.greatest(
+        F.ceil(F.col("_rows") / max(most_rows // 2, 1)), F.ceil(F.col("_bytes") / max(most_bytes // 2, 1))
+    )
+    large = measured.where((F.col("_rows") > most_rows) | (F.col("_bytes") > most_bytes))
+    group = F.struct(*keys, "_rows", F.least(blocks, F.col("_rows")).cast("bigint").alias("_blocks"))
+    return large.agg(F.collect_list(group)).first()[0]
+
+
 def settled(small: DataFrame, name: str) -> DataFrame:
     """A small table, written once to the shared folder and read from there.
 
@@ -210,26 +243,27 @@ class OrderedGroups:
         shared folder first, for rows that are dear to compute.
         """
         keys = list(keys)
-        hot_rows = hot_threshold(df)
-        counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        if (counts.agg(F.max("_rows")).first()[0] or 0) <= hot_rows:
+        found = _hot_groups(df, keys)
+        if not found:
             return cls(df, keys, order, ordered=ordered)
         if store:
             df = settled(df, "rows")
-            counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-        hot = settled(counts.where(F.col("_rows") > hot_rows), "hot")
-        block_rows = max(hot_rows // 2, 1)
+        kinds = {f.name: f.dataType for f in df.select(*keys).schema}
+        hot = df.sparkSession.createDataFrame(
+            found, StructType([*[StructField(k, kinds[k]) for k in keys], *_HOT_COLUMNS])
+        )
+        hot = settled(hot, "hot")
         if ordered:
-            known, small = F.col("_cuts"), _cut_points(df, hot, keys, order, block_rows)
+            known, small = F.col("_cuts"), _cut_points(df, hot, keys, order, max(r["_blocks"] for r in found))
             block = _block_between(known, F.col(order))
         else:
-            known, small = F.col("_rows"), hot
-            block = F.pmod(F.xxhash64(order), F.ceil(known / block_rows))
+            known, small = F.col("_blocks"), hot.drop("_rows")
+            block = F.pmod(F.xxhash64(order), known)
         marked = (
             attach(df, small, keys)
             .withColumn(_HOT, known.isNotNull())
             .withColumn(_BLOCK, F.when(F.col(_HOT), block).otherwise(0).cast("int"))
-            .drop("_cuts", "_rows")
+            .drop("_cuts", "_blocks")
         )
         return cls(marked, keys, order, marked.where(F.col(_HOT)), ordered)
 
@@ -338,17 +372,20 @@ class OrderedGroups:
         return df.withColumns({n: s.local(s.value, window) for n, s in steps.items()})
 
 
-def _cut_points(
-    df: DataFrame, hot: DataFrame, keys: list[str], order: str, block_rows: int
-) -> DataFrame:
-    """One row per large group with the order keys at which its blocks begin."""
+def _cut_points(df: DataFrame, hot: DataFrame, keys: list[str], order: str, most: int) -> DataFrame:
+    """One row per large group with the order keys at which its blocks begin.
+
+    ``most`` is the largest number of blocks of a group; quantiles are taken for
+    that many, and a smaller group takes every so many of them.
+    """
     rows = attach(df.select(*keys, order), hot, keys).where(F.col("_rows").isNotNull())
-    shares = ", ".join(f"{i / _MAX_BLOCKS}D" for i in range(1, _MAX_BLOCKS))
-    points = F.expr(f"percentile_approx(`{order}`, array({shares}), {_MAX_BLOCKS * 16})")
-    stride = F.greatest(F.lit(1), F.floor(_MAX_BLOCKS * F.lit(block_rows) / F.col("_rows")))
+    count = max(2, most)
+    shares = ", ".join(f"{i / count!r}D" for i in range(1, count))
+    points = F.expr(f"percentile_approx(`{order}`, array({shares}), {max(10_000, count * 16)})")
+    stride = F.greatest(F.lit(1), F.floor(F.lit(count) / F.col("_blocks")))
     cuts = (
         rows.groupBy(*keys)
-        .agg(F.first("_rows").alias("_rows"), points.alias("_points"))
+        .agg(F.first("_blocks").alias("_blocks"), points.alias("_points"))
         .withColumn("_stride", stride)
         .select(
             *keys,

@@ -125,3 +125,33 @@ def test_ordinary_groups_need_one_shuffle(spark):
     again = groups.with_columns(s=running_sum(C("i")))
     plan = again.df.groupBy("k").agg(F.max("s"))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and plan.count("Sort ") == 1
+
+
+def test_few_but_large_rows_are_cut(spark):
+    from colloquy.plans.ordered_groups import HOT_BYTES_SETTING
+
+    rows = [(1, i, "x" * 1000) for i in range(20)] + [(2, i, "y") for i in range(20)]
+    df = spark.createDataFrame(rows, "k long, o long, text string").repartition(3)
+    spark.conf.set(HOT_BYTES_SETTING, "5000")
+    try:
+        groups = OrderedGroups.of(df, ["k"], "o")
+        assert groups.cut
+        got = groups.with_columns(n=position(), before=running_sum(F.length("text"))).rows.collect()
+    finally:
+        spark.conf.unset(HOT_BYTES_SETTING)
+    assert {(r.k, r.o): (r.n, r.before) for r in got} == {
+        (k, o): (o, o * len(t)) for k, o, t in rows
+    }
+    assert len({r["_block"] for r in got if r.k == 1}) > 4 and {r["_block"] for r in got if r.k == 2} == {0}
+
+
+def test_groups_are_counted_in_one_job(spark):
+    df = spark.createDataFrame([(1, i) for i in range(30)], "k long, o long")
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("count", "count")
+    try:
+        assert not OrderedGroups.of(df, ["k"], "o").cut
+        jobs = tracker.getJobIdsForGroup("count")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 1 <= len(jobs) <= 3  # the scan with its partial counts, and the stages that combine them
