@@ -31,6 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
     return _own[application]
 
 
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/colloquy-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application wrote for itself; results that read it must have been used."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_run_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

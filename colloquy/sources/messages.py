@@ -4,8 +4,8 @@
 [...]}], "tools": [...]}``. Prompts show tools and call arguments as JSON with a
 blank after commas and colons and with keys in their given order, and tell
 arguments that are text from arguments that are an object. Spark's JSON
-functions keep neither, so each record goes through Python's ``json`` in Arrow
-batches; the rest is an explode.
+functions read both as the same text (``test_json_functions_do_not_tell_text_from_objects``),
+so each record goes through Python's ``json`` in Arrow batches; the rest is an explode.
 """
 
 from __future__ import annotations
@@ -14,14 +14,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-RECORD = (
-    "conv_id long, messages array<struct<role: string, content: string, reasoning_content: string, "
+MESSAGES = (
+    "messages array<struct<role: string, content: string, reasoning_content: string, "
     "tool_calls: array<struct<name: string, arguments: string>>>>, tools array<string>"
 )
+LIMITS = {"long": 1 << 63, "int": 1 << 31, "string": None}
 
 
-def parsed(line: Column) -> Column:
-    """A record of ``RECORD`` fields; null for a line that is no such record."""
+def parsed(line: Column, key: str | None = "conv_id", kind: str = "long") -> Column:
+    """A record ``conv_id`` and ``MESSAGES``; null for a line that is no such record.
+
+    ``conv_id`` is the record's field ``key``: a whole number in the range of
+    ``kind``, or a text if that is ``string``. Other values make the line a bad one. Without
+    a key, ``conv_id`` is a hash of the line, so equal lines are one conversation.
+    """
+    limit = LIMITS[kind]
 
     # Nested, so that workers get the function by value.
     def parse(lines: pd.Series) -> pd.DataFrame:
@@ -46,21 +53,33 @@ def parsed(line: Column) -> Column:
                 "tool_calls": [call(c) for c in calls] if calls else None,
             }
 
+        def named(value):
+            if limit is None:
+                good = isinstance(value, str)
+            else:
+                good = type(value) is int and -limit <= value < limit
+            if not good:
+                raise ValueError("no key")
+            return value
+
         def record(raw):
             try:
                 row = json.loads(raw)
                 tools = row.get("tools")
+                found = [message(m) for m in row["messages"]]
                 return {
-                    "conv_id": int(row["conv_id"]),
-                    "messages": [message(m) for m in row["messages"]],
+                    "conv_id": None if key is None else named(row[key]),
+                    "messages": found,
                     "tools": [json.dumps(t, ensure_ascii=False) for t in tools] if tools else None,
                 }
             except (ValueError, KeyError, TypeError, AttributeError):
                 return {"conv_id": None, "messages": None, "tools": None}
 
-        return pd.DataFrame([record(raw) for raw in lines], columns=["conv_id", "messages", "tools"])
+        return pd.DataFrame(
+            [record(raw) for raw in lines], columns=["conv_id", "messages", "tools"]
+        ).astype({"conv_id": object})
 
-    return F.pandas_udf(parse, RECORD)(line)
+    return F.pandas_udf(parse, f"conv_id {kind}, {MESSAGES}")(line)
 
 
 def turns_of(records: DataFrame) -> DataFrame:
@@ -70,8 +89,20 @@ def turns_of(records: DataFrame) -> DataFrame:
     )
 
 
-def read_messages(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
-    """The turns of a dataset, and the lines that are no records."""
-    records = spark.read.text(path).select("value", parsed(F.col("value")).alias("r"))
-    bad = records.where(F.col("r.conv_id").isNull()).select("value")
-    return turns_of(records.select("r.*")), bad
+def read_messages(
+    spark: SparkSession, path: str, key: str | None = "conv_id", kind: str = "long"
+) -> tuple[DataFrame, DataFrame]:
+    """The turns of a dataset, and the lines that are no records.
+
+    ``key`` names the field that tells conversations apart, ``kind`` its type;
+    None takes records that have no such field.
+    """
+    lines = spark.read.text(path)
+    if key is None:
+        lines = lines.distinct()
+    records = lines.select("value", parsed(F.col("value"), key, kind).alias("r"))
+    bad = records.where(F.col("r.messages").isNull()).select("value")
+    good = records.where(F.col("r.messages").isNotNull())
+    if key is None:
+        return turns_of(good.select(F.xxhash64("value").alias("conv_id"), "r.messages", "r.tools")), bad
+    return turns_of(good.select("r.*")), bad

@@ -16,6 +16,11 @@ def spark():
 
     session = local_session(8, app="tests", memory="6g")
     yield session
+    from colloquy.plans.shared import clear_scratch, shared_folder
+
+    folder = Path(shared_folder(session).removeprefix("file:"))
+    clear_scratch(session)
+    assert not list(folder.glob("colloquy-*"))
     session.stop()
 
 

@@ -160,3 +160,39 @@ def test_messages_keep_the_spelling_of_tools_and_arguments(spark):
         '<tool_call>\n{"name": "g", "arguments": {"x":1}}\n</tool_call><|im_end|>\n'
         "<|im_start|>user\nmore<|im_end|>\n"
     )
+
+
+def lines(spark, records):
+    path = scratch_path(spark, "lines")
+    spark.createDataFrame([(json.dumps(r) if not isinstance(r, str) else r,) for r in records], "value string").write.text(path)
+    return path
+
+
+def test_ids_of_another_kind_are_set_aside(spark):
+    said = [{"role": "user", "content": "hi"}]
+    odd = [1.0, True, "7", None, 1 << 63, -(1 << 63) - 1, [1]]
+    path = lines(spark, [{"conv_id": i, "messages": said} for i in [3, -(1 << 63), *odd]] + [{"messages": said}, "{", "3"])
+    read, bad = read_messages(spark, path)
+    assert sorted(r.conv_id for r in read.collect()) == [-(1 << 63), 3]
+    assert bad.count() == len(odd) + 3
+
+
+def test_records_with_another_key_or_none(spark):
+    said = [{"role": "user", "content": "hi"}, {"role": "assistant", "content": "ho"}]
+    path = lines(spark, [{"name": "a", "messages": said}, {"name": 5, "messages": said}])
+    read, bad = read_messages(spark, path, key="name", kind="string")
+    assert [(r.conv_id, r.turn) for r in read.orderBy("turn").collect()] == [("a", 0), ("a", 1)] and bad.count() == 1
+    path = lines(spark, [{"messages": said}, {"messages": said}, {"messages": said[:1]}, {"messages": 3}])
+    read, bad = read_messages(spark, path, key=None)
+    assert read.count() == 3 and read.select("conv_id").distinct().count() == 2 and bad.count() == 1
+
+
+def test_json_functions_do_not_tell_text_from_objects(spark):
+    calls = [{"name": "f", "arguments": '{"k":1}'}, {"name": "f", "arguments": {"k": 1}}]
+    record = {"conv_id": 1, "messages": [{"role": "assistant", "content": "", "tool_calls": calls}]}
+    path = lines(spark, [record])
+    (row,) = read_messages(spark, path)[0].collect()
+    assert [c.arguments for c in row.tool_calls] == ['{"k":1}', '{"k": 1}']
+    kind = "messages array<struct<tool_calls: array<struct<arguments: string>>>>"
+    (plain,) = spark.read.text(path).select(F.from_json("value", kind).alias("r")).collect()
+    assert len({c.arguments for c in plain.r.messages[0].tool_calls}) == 1

@@ -113,3 +113,34 @@ def test_penalties_count_a_seen_item_once(spark):
 def test_temperature_has_to_be_positive(spark):
     with pytest.raises(ValueError):
         ops.temperature_softmax(frame(spark, sample(1)), 0)
+
+
+ODD = [None, float("nan"), float("-inf"), float("inf"), 0.5, 0.5, 1.0]
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_odd_scores_mean_the_same_in_both_plans(spark, seed):
+    draw = random.Random(seed)
+    rows = [(0 if i % 3 == 0 else draw.randrange(1, 9), i, draw.choice(ODD)) for i in range(150)]
+    rows += [(50, 1000 + i, float("-inf")) for i in range(12)] + [(51, 2000 + i, None) for i in range(12)]
+    chains = [
+        lambda df: ops.top_k(df, 5),
+        lambda df: ops.top_k(df, 0),
+        lambda df: ops.top_p(df, 0.6),
+        lambda df: ops.top_p(df, 1.0),
+        lambda df: ops.min_p(df, 0.1),
+        lambda df: ops.select_candidates(df, 0.7, 4, 0.9, 0.01, draw="s"),
+    ]
+
+    def chosen(hot):
+        spark.conf.set(HOT_ROWS_SETTING, hot)
+        try:
+            return [sorted(map(tuple, f(frame(spark, rows)).select("group_id", "item_id").collect())) for f in chains]
+        finally:
+            spark.conf.unset(HOT_ROWS_SETTING)
+
+    plain = chosen("1000000")
+    assert chosen("4") == plain
+    numbers = sorted((g, i) for g, i, s in rows if s is not None and s == s)
+    assert plain[1] == plain[3] == numbers
+    assert len(plain[5]) == len({g for g, _ in numbers})

@@ -39,6 +39,18 @@ def test_query(spark, duckdb_small, name):
         "top_k",
         "top_p",
         "select_candidates",
+        "temperature_softmax",
+        "top_k_with_gaps",
+        "top_p_off",
+        "min_p",
+        "sample_candidates",
+        "thinking_mode_flagged",
+        "preset_lookup",
+        "history_spans",
+        "latency_summary",
+        "dpo_summary",
+        "prune_history_reasoning",
+        "render_generation_prompt",
     ],
 )
 def test_query_with_cut_groups(spark, duckdb_small, cutting, name):

@@ -95,7 +95,7 @@ def test_a_pair_without_both_sides_is_left_out(spark):
         [(1, "chosen", 2.0), (1, "rejected", 1.0), (2, "chosen", 1.0)], "p long, side string, reward double"
     )
     (row,) = preferences.reward_pair_accuracy(df, ["p"]).collect()
-    assert (row.pairs, row.accuracy) == (1, 1.0)
+    assert (row.pairs, row.accuracy, row.unpaired, row.repeated) == (1, 1.0, 1, 0)
     assert row.mean_loss == pytest.approx(math.log1p(math.exp(-1)))
 
 
@@ -105,3 +105,52 @@ def test_cap_is_repeatable(spark):
     assert first == {r.id for r in corpus.cap_rows(df.repartition(9), 50, "id", "a").collect()}
     assert len(first) == 50 and first != {r.id for r in corpus.cap_rows(df, 50, "id", "b").collect()}
     assert corpus.cap_rows(df.where(F.col("id") < 3), 50, "id").count() == 3
+
+
+@pytest.mark.parametrize("rows", [0, 1, 37, 499, 500, 900])
+def test_cap_of_any_size_and_repeated_keys(spark, monkeypatch, rows):
+    monkeypatch.setattr(corpus, "_FEW", 5)
+    monkeypatch.setattr(corpus, "_DIGITS", 1)
+    df = spark.range(500).selectExpr("id % 100 AS id", "id AS row")
+    capped = corpus.cap_rows(df, rows, "id", "s")
+    assert capped.count() == min(rows, 500)
+    text = capped._jdf.queryExecution().executedPlan().toString()
+    assert rows % 5 or "SinglePartition" not in text
+    least = {r.id for r in corpus.cap_rows(df.select("id").distinct(), -(-rows // 5), "id", "s").collect()}
+    assert {r.id for r in capped.collect()} == least
+
+
+def test_packing_is_linear_in_a_document(spark):
+    import time
+
+    def seconds(n):
+        df = spark.range(1).selectExpr("id AS doc_id", f"repeat('abcdefgh', {n // 8}) AS text")
+        began = time.time()
+        assert corpus.pack_corpus(df, 4096, 1).count() == (n + 13 + 4095) // 4096
+        return time.time() - began
+
+    seconds(8000)
+    short = seconds(4_000_000)
+    assert seconds(8_000_000) <= 2.5 * short + 1
+
+
+def test_a_mode_without_a_preset_stops_the_job(spark):
+    from colloquy.operators import turns
+
+    chat = spark.createDataFrame([(1, 0, "user", "hi /no_think")], "conv_id long, turn long, role string, content string")
+    presets = spark.createDataFrame([("thinking", 0.6)], "mode string, temperature double")
+    with pytest.raises(Exception, match="no preset for mode non_thinking"):
+        turns.preset_lookup(chat, presets).collect()
+
+
+def test_masked_items_and_sequences_without_tokens(spark):
+    masked = float("-inf")
+    rows = [(1, 0, 1.0, 0.5, True), (1, 1, 0.0, 0.0, False), (1, 2, masked, masked, False), (2, 0, 1.0, masked, True)]
+    df = spark.createDataFrame(rows, "pos int, item int, teacher double, student double, is_gold boolean")
+    got = {r.pos: r for r in preferences.distill_loss(df).collect()}
+    (plain,) = preferences.distill_loss(df.where("pos = 1 AND item < 2")).collect()
+    assert got[1].kl == pytest.approx(plain.kl) and got[1].loss == pytest.approx(plain.loss)
+    tokens = spark.createDataFrame([(1, -1.0, -2.0)], "seq_id long, logp double, ref_logp double")
+    rewards = spark.createDataFrame([(1, 3.0), (2, 4.0)], "seq_id long, reward double")
+    shaped = {r.seq_id: (r.kl, r.shaped_reward) for r in preferences.kl_shaped_reward(tokens, rewards, 0.5).collect()}
+    assert shaped == {1: (1.0, 2.5), 2: (0.0, 4.0)}

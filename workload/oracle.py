@@ -397,8 +397,10 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
             SELECT name, CASE WHEN prompt LIKE '%z%' THEN NULL ELSE {stub_answer("prompt")} END AS output,
               CASE WHEN prompt LIKE '%z%' THEN 'ValueError: no z please' END AS error, true AS timed FROM prompts""",
         "messages_scan": f"""WITH {MARKED}
-            SELECT conv_id, row_number() OVER (PARTITION BY conv_id, turn // 40 ORDER BY turn) - 1 AS turn, role, content,
-              aside AS reasoning_content, CASE WHEN calls = 2 THEN '{{"k": ' || conv_id || '}}' END AS second_call
+            SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS turn, role, content,
+              aside AS reasoning_content, CASE WHEN calls >= 1 THEN 'lookup={{"k": ' || conv_id || '}}'
+                || CASE WHEN calls = 2 THEN ';again={{"k": ' || conv_id || '}}' ELSE '' END END AS calls,
+              CASE WHEN {HAS_TOOLS} THEN '{{"name": "lookup"}}' || {NL} || '{{"name": "again"}}' END AS tools
             FROM marked""",
         # projections and filters
         "dispatch_prompts": f"""WITH {CASES} SELECT name,

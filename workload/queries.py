@@ -111,26 +111,35 @@ def run_report(spark, sf_dir):
 
 @query
 def messages_scan(spark, sf_dir):
-    """Sittings of a conversation written as lists of messages, read back as turns.
+    """Conversations written as lists of messages, read back as turns with all their fields.
 
-    Turn numbers are unique in a conversation, so a sitting has at most 40 messages.
+    Half of the conversations wrap calls in ``function`` and have arguments as
+    text, the others have them as objects.
     """
     chat = inputs.chat_marked(spark, sf_dir)
-    fields = ["role", "content", "reasoning_content", "tool_calls"]
-    lists = chat.groupBy("conv_id", F.floor(C("turn") / 40).alias("sitting")).agg(
-        F.array_sort(F.collect_list(F.struct("turn", F.struct(*fields).alias("m")))).alias("sorted")
+    wraps = C("conv_id") % 2 == 0
+    text_of = lambda value: F.regexp_extract(F.to_json(F.struct(value.alias("v"))), r"(?s)^\{\"v\":(.*)\}$", 1)
+    plain = lambda c: F.concat(F.lit('{"name": '), text_of(c["name"]), F.lit(', "arguments": '), c["arguments"], F.lit("}"))
+    wrapped = lambda c: F.concat(
+        F.lit('{"type": "function", "function": {"name": '), text_of(c["name"]), F.lit(', "arguments": '), text_of(c["arguments"]), F.lit("}}")
     )
-    record = F.struct("conv_id", F.transform("sorted", lambda x: x["m"]).alias("messages"))
+    calls = F.array_join(F.transform("tool_calls", lambda c: F.when(wraps, wrapped(c)).otherwise(plain(c))), ", ")
+    fields = F.rtrim(F.to_json(F.struct("role", "content", "reasoning_content")), F.lit("}"))
+    message = F.concat(fields, F.coalesce(F.concat(F.lit(', "tool_calls": ['), calls, F.lit("]")), F.lit("")), F.lit("}"))
+    lists = chat.groupBy("conv_id").agg(
+        F.array_sort(F.collect_list(F.struct("turn", message.alias("m")))).alias("sorted"), F.first("tools").alias("tools")
+    )
+    tools = F.coalesce(F.concat(F.lit(', "tools": ['), F.array_join("tools", ", "), F.lit("]")), F.lit(""))
+    record = F.concat(
+        F.lit('{"conversation": '), C("conv_id").cast("string"), F.lit(', "messages": ['),
+        F.array_join(F.transform("sorted", lambda x: x["m"]), ", "), F.lit("]"), tools, F.lit("}"),
+    )
     path = scratch_path(spark, "messages")
-    lists.select(F.to_json(record).alias("value")).write.text(path)
-    turns_read, _ = messages.read_messages(spark, path)
+    lists.select(record.alias("value")).write.text(path)
+    turns_read, _ = messages.read_messages(spark, path, key="conversation")
+    shown = F.array_join(F.transform("tool_calls", lambda c: F.concat_ws("=", c["name"], c["arguments"])), ";")
     return turns_read.select(
-        "conv_id",
-        "turn",
-        "role",
-        "content",
-        "reasoning_content",
-        F.get(C("tool_calls"), F.lit(1))["arguments"].alias("second_call"),
+        "conv_id", "turn", "role", "content", "reasoning_content", shown.alias("calls"), F.array_join("tools", "\n").alias("tools")
     )
 
 
