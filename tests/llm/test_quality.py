@@ -39,8 +39,8 @@ def test_odd_rows_and_labels(spark, table, odd_rows):
     rows = docs.select("text", quality.score(docs["text"], model).alias("s")).collect()
     assert len(rows) == len(odd_rows) and all(0 <= r.s <= 1 for r in rows)
     assert len({r.s for r in rows if not (r.text or "").strip()}) == 1
-    empty = quality.score(table([])["text"], model)
-    assert table([]).select(empty).collect() == []
+    none = table([])
+    assert none.select(quality.score(none["text"], model)).collect() == []
 
 
 def test_without_both_labels_all_stay(spark, table):
