@@ -20,7 +20,7 @@ def spark():
 
     folder = Path(shared_folder(session).removeprefix("file:"))
     clear_scratch(session)
-    assert not list(folder.glob("colloquy-*"))
+    assert not (folder / f"colloquy-{session.sparkContext.applicationId}").exists()
     session.stop()
 
 
