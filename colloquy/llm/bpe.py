@@ -23,8 +23,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 C = F.col
-NO_RANK = (1 << 31) - 1
-LONG_WORD = 1024  # bytes; the fold's time grows with the square, so a heap merges longer words
+#: A piece in the fold: what it merges to with the next one, where it begins, its own id, in bits from the top.
+ID_BITS, PLACE_BITS = 20, 12
+MERGE_BIT = ID_BITS + PLACE_BITS
+NO_RANK = 1 << 29
+LONG_WORD = 1024  # bytes, below 2 ** PLACE_BITS; the fold's time grows with the square, so a heap merges longer words
+BLOCK_WORDS = 3_500_000  # whose distinct ones are merged together
+WORDS_AT_ONCE = 500_000  # that are put together again
 LONG_TEXT = 1 << 20  # characters; longer texts are split one word at a time
 
 
@@ -35,17 +40,25 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankMap:
-    """Ranks of all pieces as literal columns.
+    """Ranks of all pieces as literal columns: by the ranks of the two parts a piece is merged from.
 
     Spark looks a key of a map up by going through the map, so the map is laid
-    out as a table of slots, of which a piece can be in two.
+    out as a table of slots, of which a pair can be in two. The XXH64 hash of one
+    64-bit number is a permutation, so equal hashes are equal pairs.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.bits = max(4, (2 * len(ranks)).bit_length())
-        slots: list[bytes | None] = [None] * (1 << self.bits)
-        for piece in ranks:
-            at, moving = self.slots(piece)[0], piece
+        if max(ranks.values(), default=0) >= 1 << ID_BITS:
+            raise ValueError(f"ids must be below 2 ** {ID_BITS}")
+        pairs = {}
+        for piece, rank in ranks.items():
+            for i in range(1, len(piece)):
+                if piece[:i] in ranks and piece[i:] in ranks:
+                    pairs[self.hash(ranks[piece[:i]], ranks[piece[i:]])] = rank
+        self.bits = max(4, (9 * len(pairs) // 4).bit_length())
+        slots: list[int | None] = [None] * (1 << self.bits)
+        for pair in pairs:
+            at, moving = self.slots(pair)[0], pair
             for _ in range(1000):
                 slots[at], moving = moving, slots[at]
                 if moving is None:
@@ -53,42 +66,53 @@ class RankMap:
                 one, two = self.slots(moving)
                 at = two if at == one else one
             else:
-                raise ValueError("the pieces do not fit in the table")
-        self.keys = literal([None if s is None else base64.b64encode(s).decode() for s in slots], "array<binary>")
-        self.values = literal([NO_RANK if s is None else ranks[s] for s in slots], "array<int>")
+                raise ValueError("the pairs do not fit in the table")
+        self.keys = literal(slots, "array<bigint>")
+        self.values = literal([NO_RANK if s is None else pairs[s] for s in slots], "array<bigint>")
         pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
             pieces[rank] = base64.b64encode(piece).decode()
         self.pieces = literal(pieces, "array<binary>")
 
-    def slots(self, piece: bytes) -> tuple[int, int]:
-        digest = xxhash.xxh64_intdigest(piece, 42)
+    @staticmethod
+    def hash(left: int, right: int) -> int:
+        """As Spark's ``xxhash64``, signed."""
+        digest = xxhash.xxh64_intdigest((left << ID_BITS | right).to_bytes(8, "little"), 42)
+        return digest - (1 << 64) if digest >= 1 << 63 else digest
+
+    def slots(self, pair: int) -> tuple[int, int]:
         mask = (1 << self.bits) - 1
-        return digest & mask, digest >> 32 & mask
+        return pair & mask, pair >> 32 & mask
 
     def bound(self, body) -> Column:
-        """``body(rank)``, where ``rank`` gives the rank of a piece or ``NO_RANK``; the table stands in the plan once."""
+        """``body(rank)``, where ``rank`` gives what two pieces merge to, or ``NO_RANK``; the table stands in the plan once."""
+        mask = F.lit((1 << self.bits) - 1).cast("long")
 
         def within(keys: Column, values: Column) -> Column:
-            mask = F.lit((1 << self.bits) - 1).cast("long")
-
-            def rank(piece: Column) -> Column:
-                one = F.xxhash64(piece).bitwiseAND(mask).cast("int")
-                two = F.shiftrightunsigned(F.xxhash64(piece), 32).bitwiseAND(mask).cast("int")
-                return (
-                    F.when(F.get(keys, one) == piece, F.get(values, one))
-                    .when(F.get(keys, two) == piece, F.get(values, two))
-                    .otherwise(F.lit(NO_RANK))
-                )
+            def rank(left: Column, right: Column) -> Column:
+                def found(pair: Column) -> Column:
+                    one = pair.bitwiseAND(mask).cast("int")
+                    two = F.shiftright(pair, 32).bitwiseAND(mask).cast("int")
+                    return (
+                        F.when(F.get(keys, one) == pair, F.get(values, one))
+                        .when(F.get(keys, two) == pair, F.get(values, two))
+                        .otherwise(none())
+                    )
+
+                return let(F.xxhash64(F.shiftleft(left, ID_BITS).bitwiseOR(right)), found)
 
             return body(rank)
 
         return let(self.keys, lambda keys: let(self.values, lambda values: within(keys, values)))
 
 
+def none() -> Column:
+    return F.lit(NO_RANK).cast("long")
+
+
 def literal(values: list, kind: str) -> Column:
     """A constant array; Spark folds it into one literal."""
-    return F.from_json(F.lit(json.dumps(values)), kind)
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), kind)
 
 
 def let(value: Column, body) -> Column:
@@ -96,38 +120,37 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def merged_ids(word: Column, rank) -> Column:
-    """Ids of a word given as bytes: the neighbours of lowest rank, leftmost first, are merged until none has a rank."""
-    size = F.octet_length(word)
-    single = F.transform(F.sequence(F.lit(1), size), lambda i: F.substring(word, i, F.lit(1)))
-    pairs = F.transform(
-        F.sequence(F.lit(1), size - 1), lambda i: rank(F.substring(word, i, F.lit(2)))
-    )
-    start = F.struct(single.alias("pieces"), pairs.alias("ranks"))
-
-    def joined(state: Column, i: Column) -> Column:
-        pieces, ranks = state["pieces"], state["ranks"]
-        both = F.concat(F.get(pieces, i), F.get(pieces, i + 1))
-        kept = F.concat(F.slice(pieces, F.lit(1), i), F.array(both), F.slice(pieces, i + 3, F.greatest(F.size(pieces) - i - 2, F.lit(0))))
-        left = F.when(i > 0, F.array(rank(F.concat(F.get(pieces, i - 1), both)))).otherwise(F.array().cast("array<int>"))
-        right = F.when(i + 2 < F.size(pieces), F.array(rank(F.concat(both, F.get(pieces, i + 2))))).otherwise(
-            F.array().cast("array<int>")
-        )
-        around = F.concat(
-            F.slice(ranks, F.lit(1), F.greatest(i - 1, F.lit(0))), left, right, F.slice(ranks, i + 3, F.greatest(F.size(ranks) - i - 2, F.lit(0)))
+def merged_ids(pieces: Column, rank) -> Column:
+    """Ids of a word given as its bytes, each in the form of a piece.
+
+    The fold merges the neighbours of lowest rank, leftmost first, until none
+    has a rank. That is the least piece, as the rank stands above the place. The
+    id of a merged piece is its rank.
+    """
+    ones = lambda bits: F.lit((1 << bits) - 1).cast("long")
+    merge = lambda x: F.shiftright(x, MERGE_BIT)
+    own = lambda x: x.bitwiseAND(ones(ID_BITS))
+    place = lambda x: F.shiftleft(F.shiftright(x, ID_BITS).bitwiseAND(ones(PLACE_BITS)), ID_BITS)
+    above = lambda low: F.shiftleft(low, MERGE_BIT)
+
+    def joined(state: Column, at: Column, lowest: Column) -> Column:
+        both = merge(lowest)
+        changed = lambda x, n: (
+            F.when(F.abs(n - at) > 1, x)
+            .when(n == at, above(rank(both, own(F.get(state, at + 2)))).bitwiseOR(place(x)).bitwiseOR(both))
+            .when(n < at, above(rank(own(x), both)).bitwiseOR(x.bitwiseAND(ones(MERGE_BIT))))
         )
-        return F.struct(kept.alias("pieces"), around.alias("ranks"))
+        return F.array_compact(F.transform(state, changed))  # the piece after is now part of this one
 
     def step(state: Column, _: Column) -> Column:
-        lowest = F.array_min(state["ranks"])
-        at = (F.array_position(state["ranks"], lowest) - 1).cast("int")
-        return F.when(lowest < NO_RANK, let(at, lambda i: joined(state, i))).otherwise(state)
+        first = lambda lowest: F.array_position(state, lowest).cast("int") - 1
+        return let(
+            F.array_min(state),
+            lambda lowest: F.when(lowest < above(none()), let(first(lowest), lambda at: joined(state, at, lowest))).otherwise(state),
+        )
 
-    folded = F.aggregate(
-        F.sequence(F.lit(2), size), start, step, lambda state: F.transform(state["pieces"], lambda piece: rank(piece))
-    )
-    whole = rank(word)
-    return F.when((whole < NO_RANK) | (size < 2), F.array(whole)).otherwise(folded)
+    rounds = F.sequence(F.lit(2), F.greatest(F.size(pieces), F.lit(2)))
+    return F.aggregate(rounds, pieces, step, lambda state: F.transform(state, own))
 
 
 def merged_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -182,101 +205,127 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
     )
     blocks = split.mapInArrow(
         packed(pattern, ranks),
-        f"keys array<{kind}>, counts array<int>, codes binary, words array<binary>, long_ids array<array<int>>",
+        f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>",
     )
     ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
     joined = lambda found: F.aggregate(found, F.lit(b""), lambda a, b: F.concat(a, b))
     back = let(
-        table.pieces, lambda pieces: F.transform("ids", lambda i: joined(F.transform(i, lambda n: F.get(pieces, n))))
-    )
-    worked = blocks.select("keys", "counts", "codes", ids.alias("ids"), "long_ids").select("*", back.alias("bytes"))
-    return worked.mapInArrow(unpacked({r: p for p, r in ranks.items()}), f"key {kind}, ids array<int>, decoded binary").withColumnRenamed(
-        "key", key
+        table.pieces,
+        lambda pieces: F.transform("ids", lambda i: joined(F.transform(i, lambda n: F.get(pieces, n.cast("int"))))),
     )
+    worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids")).select("*", back.alias("bytes"))
+    return worked.mapInArrow(unpacked, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
 
 
 def packed(pattern: str, ranks: dict[bytes, int]):
-    """Per Arrow batch one row: the keys, the number of words of each, the words by number, the distinct words."""
+    """Per block of texts one row: the keys, the number of words of each, the words by number, the distinct words.
+
+    Words that are pieces, and long ones, come last and with their ids; of the
+    others come the bytes, in the form of pieces. A block is an Arrow batch, or a
+    part of one with about ``BLOCK_WORDS`` words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())  # gives memory back between blocks
         find = regex.compile(pattern).findall
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            words, texts = batch.column("words"), batch.column("text")
-            if texts.null_count < len(texts):
-                lists = [
-                    pa.array(find(t.as_py()) if t.is_valid else w.as_py(), pa.string()) for w, t in zip(words, texts)
-                ]
-                counts = np.array([len(x) for x in lists], np.int32)
-                flat = pa.concat_arrays(lists)
-            else:
-                counts = pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int32)
-                flat = words.flatten()
+        vocabulary, numbers = pa.array(list(ranks), pa.binary()), np.array(list(ranks.values()), np.int64)
+        octet_ids = np.array([ranks.get(bytes([b]), 0) for b in range(256)], np.int64)
+        pairs = np.array([ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)], np.int64)
+
+        def counts_of(words: pa.Array, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+            if texts.null_count == len(texts):
+                return pc.list_value_length(words).to_numpy(zero_copy_only=False).astype(np.int32), words.flatten()
+            lists = [pa.array(find(t.as_py()) if t.is_valid else w.as_py(), pa.string()) for w, t in zip(words, texts)]
+            return np.array([len(x) for x in lists], np.int32), pa.concat_arrays(lists)
+
+        def block(keys: pa.Array, counts: np.ndarray, flat: pa.Array) -> pa.RecordBatch:
             coded = flat.cast(pa.binary()).dictionary_encode()
-            distinct, codes = coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int32)
+            distinct = coded.dictionary
+            piece = pc.index_in(distinct, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
             is_long = pc.greater(pc.binary_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False).astype(bool)
-            order = np.argsort(is_long, kind="stable")
+            known = (piece >= 0) | is_long
+            order = np.argsort(known, kind="stable")
             place = np.empty(len(order), np.int32)
             place[order] = np.arange(len(order), dtype=np.int32)
-            short = distinct.take(pa.array(order[: len(order) - is_long.sum()]))
-            longs = [merged_long(distinct[int(i)].as_py(), ranks) for i in order[len(order) - is_long.sum() :]]
+            codes = place[coded.indices.to_numpy(zero_copy_only=False)]
+            folds = len(order) - int(known.sum())
+            given = [
+                [int(numbers[piece[n]])] if piece[n] >= 0 else merged_long(distinct[int(n)].as_py(), ranks) for n in order[folds:]
+            ]
+            octets = in_pieces(distinct.take(pa.array(order[:folds])), octet_ids, pairs)
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            yield pa.RecordBatch.from_arrays(
+            numbered = [None, pa.py_buffer(np.array([0, codes.nbytes], np.int32)), pa.py_buffer(codes)]
+            return pa.RecordBatch.from_arrays(
                 [
-                    one(batch.column("key")),
+                    one(keys),
                     one(pa.array(counts, pa.int32())),
-                    pa.array([place[codes].tobytes() if len(codes) else b""], pa.binary()),
-                    one(short),
-                    pa.array([longs], pa.list_(pa.list_(pa.int32()))),
+                    pa.BinaryArray.from_buffers(pa.binary(), 1, numbered),
+                    one(octets),
+                    one(pa.array(given, pa.list_(pa.int64()))),
                 ],
-                ["keys", "counts", "codes", "words", "long_ids"],
+                ["keys", "counts", "codes", "words", "given"],
             )
 
-    return run
-
-
-def unpacked(pieces: dict[int, bytes]):
-    """The texts of a packed row, as ids and as bytes."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
-                codes = np.frombuffer(batch.column("codes")[row].as_py(), np.int32)
-                ids, data = batch.column("ids")[row].values, batch.column("bytes")[row].values
-                longs = batch.column("long_ids")[row].as_py()
-                if longs:
-                    ids = pa.concat_arrays([ids, pa.array(longs, ids.type)])
-                    data = pa.concat_arrays([data, pa.array([b"".join(pieces[i] for i in x) for x in longs], data.type)])
-                ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False))])
-                for first, last in portions(ends):
-                    own = pa.array(codes[ends[first] : ends[last]])
-                    cuts = ends[first : last + 1] - ends[first]
-                    tokens, text = ids.take(own), data.take(own)
-                    sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy(zero_copy_only=False))])
-                    widths = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False))])
-                    whole = b"".join(text.to_pylist())
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            keys.slice(first, last - first),
-                            pa.ListArray.from_arrays(pa.array(sizes[cuts], pa.int32()), tokens.flatten()),
-                            pa.array([whole[widths[a] : widths[b]] for a, b in zip(cuts[:-1], cuts[1:])], pa.binary()),
-                        ],
-                        ["key", "ids", "decoded"],
-                    )
+            if not batch.num_rows:
+                continue
+            keys = batch.column("key")
+            counts, flat = counts_of(batch.column("words"), batch.column("text"))
+            del batch
+            ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+            blocks = max(1, round(len(flat) / BLOCK_WORDS))
+            for first, last in portions(ends, -(-len(flat) // blocks) if len(flat) else 1):
+                yield block(keys.slice(first, last - first), counts[first:last], flat[int(ends[first]) : int(ends[last])])
 
     return run
 
 
-WORDS_AT_ONCE = 1_000_000
+def in_pieces(words: pa.Array, octet_ids: np.ndarray, pairs: np.ndarray) -> pa.Array:
+    """The bytes of each word as pieces of one byte."""
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    octets = np.frombuffer(b"".join(words.to_pylist()), np.uint8)
+    place = np.arange(len(octets)) - np.repeat(ends[:-1], sizes)
+    low = np.full(len(octets), NO_RANK, np.int64)
+    low[:-1] = pairs[octets[:-1].astype(np.int64) << 8 | octets[1:]]
+    low[ends[1:] - 1] = NO_RANK  # the last byte merges with nothing
+    return pa.ListArray.from_arrays(
+        pa.array(ends, pa.int32()), pa.array(low << MERGE_BIT | place << ID_BITS | octet_ids[octets], pa.int64())
+    )
+
+
+def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts of a packed row, as ids and as bytes."""
+    pa.set_memory_pool(pa.system_memory_pool())
+    for batch in batches:
+        for row in range(batch.num_rows):
+            keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
+            codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
+            ids, data = batch.column("ids")[row].values, batch.column("bytes")[row].values
+            ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)])
+            for first, last in portions(ends, WORDS_AT_ONCE):
+                own = pa.array(codes[ends[first] : ends[last]])
+                cuts = ends[first : last + 1] - ends[first]
+                tokens, text = ids.take(own), data.take(own)
+                sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy(zero_copy_only=False), dtype=np.int64)])
+                widths = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False), dtype=np.int64)])
+                whole = b"".join(text.to_pylist()) if text.offset else text.buffers()[2]
+                texts = [None, pa.py_buffer(widths[cuts].astype(np.int32)), whole if isinstance(whole, pa.Buffer) else pa.py_buffer(whole or b"")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        keys.slice(first, last - first),
+                        pa.ListArray.from_arrays(pa.array(sizes[cuts], pa.int32()), tokens.flatten().cast(pa.int32())),
+                        pa.BinaryArray.from_buffers(pa.binary(), last - first, texts),
+                    ],
+                    ["key", "ids", "decoded"],
+                )
 
 
-def portions(ends: np.ndarray) -> Iterator[tuple[int, int]]:
+def portions(ends: np.ndarray, words: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about a bounded number of words each."""
     first = 0
     while first < len(ends) - 1:
-        last = int(np.searchsorted(ends, ends[first] + WORDS_AT_ONCE, side="right")) - 1
+        last = int(np.searchsorted(ends, ends[first] + words, side="right")) - 1
         last = max(first + 1, last)
         yield first, last
         first = last
