@@ -208,12 +208,8 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
         f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>",
     )
     ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
-    joined = lambda found: F.aggregate(found, F.lit(b""), lambda a, b: F.concat(a, b))
-    back = let(
-        table.pieces,
-        lambda pieces: F.transform("ids", lambda i: joined(F.transform(i, lambda n: F.get(pieces, n.cast("int"))))),
-    )
-    worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids")).select("*", back.alias("bytes"))
+    back = let(table.pieces, lambda pieces: F.transform("ids", lambda i: F.transform(i, lambda n: F.get(pieces, n.cast("int")))))
+    worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids")).select("*", back.alias("pieces"))
     return worked.mapInArrow(unpacked, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
 
 
@@ -301,7 +297,7 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in range(batch.num_rows):
             keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
             codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
-            ids, data = batch.column("ids")[row].values, batch.column("bytes")[row].values
+            ids, data = batch.column("ids")[row].values, end_to_end(batch.column("pieces")[row].values)
             ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)])
             for first, last in portions(ends, WORDS_AT_ONCE):
                 own = pa.array(codes[ends[first] : ends[last]])
@@ -321,6 +317,17 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
+def end_to_end(pieces: pa.ListArray) -> pa.Array:
+    """The pieces of each word as one value: they lie end to end already."""
+    single = pieces.values
+    if not len(single):
+        return pa.array([b""] * len(pieces), pa.binary())
+    _, places, octets = single.buffers()
+    ends = np.frombuffer(places, np.int32)[single.offset : single.offset + len(single) + 1]
+    words = ends[pieces.offsets.to_numpy(zero_copy_only=False)]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(pieces), [None, pa.py_buffer(words), octets])
+
+
 def portions(ends: np.ndarray, words: int) -> Iterator[tuple[int, int]]:
     """Ranges of texts with about a bounded number of words each."""
     first = 0
