@@ -28,7 +28,7 @@ ID_BITS, PLACE_BITS = 20, 12
 MERGE_BIT = ID_BITS + PLACE_BITS
 NO_RANK = 1 << 29
 LONG_WORD = 1024  # bytes, below 2 ** PLACE_BITS; the fold's time grows with the square, so a heap merges longer words
-BLOCK_WORDS = 3_500_000  # whose distinct ones are merged together
+BLOCK_WORDS = 2_500_000  # whose distinct ones are merged together
 WORDS_AT_ONCE = 500_000  # that are put together again
 LONG_TEXT = 1 << 20  # characters; longer texts are split one word at a time
 
