@@ -13,7 +13,7 @@ fingerprint that would go to one task as one row.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import combinations
 
 import numpy as np
@@ -237,16 +237,20 @@ def near_copies(
     return prints.join(of, "fp").select(C("id").alias(key), "fp", "component", "head", *(extra or {}))
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def one_of_each(
+    spark: SparkSession, docs: DataFrame, key: str = "doc_id", text: str = "text", near: Callable[..., DataFrame] = near_copies
+) -> DataFrame:
     """The rows of ``docs`` with the smallest key of each component of near copies, all columns as they were.
 
+    ``near`` names the component of each document: ``head``.
+
     Of rows with that key one stays: that of the smallest hash of all its values.
     A null key comes after all others.
     """
     store = Stored(spark, "dedup")
     hashable = [f.name for f in docs.schema if "map<" not in f.dataType.simpleString()]
     tie = F.xxhash64(*[C(f"`{name}`") for name in hashable])
-    copies = near_copies(spark, docs, key, text, extra={"tie": tie})
+    copies = near(spark, docs, key, text, extra={"tie": tie})
     rows = copies.groupBy("head", C(key).alias("id"), "tie").agg(F.count("*").alias("n"))
     first = rows.groupBy("head").agg(F.min(F.struct(C("id").isNull().alias("last"), "id", "tie", "n")).alias("row"))
     kept = store.put(first.select("row.id", "row.tie", "row.n"))
