@@ -9,6 +9,7 @@ quantile of the labelled documents is the threshold.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from operator import eq
 
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from colloquy.llm.common import BINS, Stored
+
 C = F.col
 #: Bounds of what the driver fits on: labelled documents of each label, and pairs.
 LABELLED, PAIRS = 10_000, 100_000
@@ -78,14 +81,25 @@ class Model:
     threshold: float
 
     def scores(self, rows: np.ndarray) -> np.ndarray:
-        strength = rows @ np.array(self.weights) - self.threshold
-        return 1 / (1 + np.exp(-np.clip(strength + np.log(KEEP / (1 - KEEP)), -500, 500)))
+        above = strengths(rows, np.array(self.weights)) - self.threshold
+        score = 1 / (1 + np.exp(-np.clip(above + np.log(KEEP / (1 - KEEP)), -500, 500)))
+        return np.where(above >= 0, np.maximum(score, KEEP), score)  # rounding must not take one at the threshold below it
+
+
+def strengths(rows: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Strength of each row, the same to the last bit in any batch."""
+    return np.array([math.fsum(row) for row in (rows * weights).tolist()])
+
+
+def known_labels(labels: DataFrame, key: str, label: str) -> DataFrame:
+    """``k, label`` of the keys that have one label, 0 or 1."""
+    known = labels.select(C(key).alias("k"), C(label).cast("int").alias("label")).where("k IS NOT NULL AND label IN (0, 1)")
+    return known.groupBy("k").agg(F.max("label").alias("label"), F.min("label").alias("least")).where("label = least").select("k", "label")
 
 
 def labelled(docs: DataFrame, labels: DataFrame, key: str, text: str, label: str, most: int) -> pd.DataFrame:
     """Features of at most ``most`` labelled documents of each label, chosen by a hash of the key."""
-    known = labels.select(C(key).alias("k"), C(label).cast("int").alias("label")).where("k IS NOT NULL AND label IN (0, 1)")
-    known = known.groupBy("k").agg(F.max("label").alias("label"), F.min("label").alias("least")).where("label = least")
+    known = known_labels(labels, key, label)
     chosen = None
     for value in (0, 1):
         some = known.where(C("label") == value).orderBy(F.xxhash64("k"), "k").limit(most).select("k", "label")
@@ -104,10 +118,11 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         reject: float | None = None, most: int = LABELLED, pairs: int = PAIRS) -> Model:
     """Learn the weights and the threshold from labelled documents.
 
-    Reads at most ``most`` documents of each label and ``pairs`` pairs of a good
-    (1) and a bad (0) one; both bounds are the driver's memory, and hold at any
-    size of the tables. ``reject`` is the quantile of strengths, over the
-    labelled documents, that is the threshold: by default the share of label 0.
+    Weights are fitted on at most ``most`` documents of each label and ``pairs``
+    pairs of a good (1) and a bad (0) one; both bounds are the driver's memory,
+    and hold at any size of the tables. ``reject`` is the quantile of strengths,
+    over all labelled documents, that is the threshold: by default the share of
+    label 0 among them. It is exact at any size.
     Rows without a key or label, keys with both labels and labels without a
     document are passed over. Without documents of both labels there is no pair,
     and every document scores ``KEEP``.
@@ -133,12 +148,48 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
         if np.abs(step).max() < 1e-8:
             break
     weights = np.where(np.isinf(spread), 0.0, weights / spread)
-    shares = labels.where(C(label).isin(0, 1)).groupBy(C(label).cast("int").alias("label")).count().collect()
-    total = {r["label"]: r["count"] for r in shares}
-    strengths = np.concatenate([good @ weights, bad @ weights])
-    weight = np.concatenate([np.full(len(good), total[1] / len(good)), np.full(len(bad), total[0] / len(bad))])
-    at = total[0] / (total[0] + total[1]) if reject is None else reject
-    return Model(tuple(weights.tolist()), quantile(strengths, weight, at))
+    store = Stored(docs.sparkSession, "quality")
+    # strengths before the join, so that no text is shuffled
+    every = docs.select(C(key).alias("k"), strength(C(text), weights).alias("v"))
+    held = store.put(every.join(known_labels(labels, key, label), "k").select("v", "label"))
+    at = held.agg(F.avg(1 - C("label"))).first()[0] if reject is None else reject
+    threshold = quantile_of(held, at)
+    store.drop(held)
+    return Model(tuple(weights.tolist()), threshold)
+
+
+def strength(text: Column, weights: np.ndarray) -> Column:
+    @pandas_udf("double")
+    def of(texts: pd.Series) -> pd.Series:
+        return pd.Series([strengths(features(t)[None, :], weights)[0] for t in texts], dtype="float64")
+
+    return of(text)
+
+
+def ranked(values: DataFrame, n: int) -> float:
+    """The value at place ``n``, from 0, of the column ``v`` in ascending order: counts per bin, refined."""
+    low, high = values.agg(F.min("v"), F.max("v")).first()
+    while low < high:
+        inside = values.where(C("v").between(low, high))
+        step = F.floor((C("v") - low) / (high - low) * BINS)
+        bins = inside.groupBy(step.alias("bin")).agg(F.count("*").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        for b in sorted(bins.collect(), key=lambda b: b["bin"]):
+            if n < b["n"]:
+                low, high = b["low"], b["high"]
+                break
+            n -= b["n"]
+    return low
+
+
+def quantile_of(values: DataFrame, at: float) -> float:
+    """``quantile`` of the column ``v``, all rows of one weight, without bringing them to the driver."""
+    count = values.count()
+    if at <= 0:
+        return ranked(values, 0) - 1.0
+    n = max(0, math.ceil(at * (1 - 1e-9) * count) - 1)
+    if n + 1 >= count:
+        return ranked(values, count - 1) + 1.0
+    return (ranked(values, n) + ranked(values, n + 1)) / 2
 
 
 def quantile(values: np.ndarray, weight: np.ndarray, at: float) -> float:

@@ -32,6 +32,23 @@ def test_sample_is_bounded_and_repeatable(spark, table):
     assert held.groupby("label").size().to_dict() == {0: 10, 1: 10}
 
 
+def test_threshold_is_over_all_labelled_documents(spark, table):
+    docs, labels = made(table, spark)
+    for reject in (None, 0.0, 0.2, 0.5, 1.0):
+        model = quality.fit(docs, labels, most=10, reject=reject)
+        weights = np.array(model.weights)
+        strengths = quality.strengths(np.array([quality.features(r.text) for r in docs.collect()]), weights)
+        want = quality.quantile(strengths, np.ones(120), 1 / 3 if reject is None else reject)
+        assert abs(model.threshold - want) < 1e-9
+
+
+def test_ranks_as_sorted(spark):
+    chance = np.random.default_rng(3)
+    values = sorted([*chance.normal(size=300).tolist(), *[0.25] * 50, 1e300, -1e-300, 5e-324, 1e-9, 1e-9 + 1e-24])
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    assert [quality.ranked(df, n) for n in (0, 1, 150, 170, 200, len(values) - 1)] == [values[n] for n in (0, 1, 150, 170, 200, len(values) - 1)]
+
+
 def test_odd_rows_and_labels(spark, table, odd_rows):
     docs = table(odd_rows)
     labels = spark.createDataFrame([(1, 1), (1, 0), (2, 0), (5, 1), (None, 1), (6, None), (6, 7), (99, 0)], "doc_id long, quality int")
