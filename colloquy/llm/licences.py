@@ -9,6 +9,8 @@ document is found as well as a document that is a licence.
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,7 +54,65 @@ SPELLINGS = (
 #: A line that states a copyright or reserves rights, and says nothing else of the licence.
 COPYRIGHT = r"^[^\p{L}\p{N}©(]*(copyright( \(c\)| ©| [0-9]|:)|\(c\) |© ?)|^[^\p{L}\p{N}]*all rights reserved[^\p{L}\p{N}]*$"
 SIGNS = r"[^\p{L}\p{N}]+"
-#: Notices and short licences, by identifier.
+#: Names that notices give a licence, and ways to give notice.
+NAMES = (
+    ("Apache-2.0", ("Apache License, Version 2.0", "Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License")),
+    ("MIT", ("MIT License", "MIT licence terms")),
+    ("ISC", ("ISC License",)),
+    ("Zlib", ("zlib License",)),
+    ("0BSD", ("BSD Zero Clause License", "Zero-Clause BSD License", "0BSD License")),
+    ("BSD-2-Clause", ("BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "FreeBSD License")),
+    ("BSD-3-Clause", ("BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Modified BSD License", "Revised BSD License")),
+    ("MPL-1.1", ("Mozilla Public License, Version 1.1", "Mozilla Public License 1.1", "MPL 1.1")),
+    ("MPL-2.0", ("Mozilla Public License, Version 2.0", "Mozilla Public License 2.0", "Mozilla Public License, v. 2.0", "MPL 2.0")),
+    *(
+        (f"{short}-{n}", tuple(f"{name}{by}{v}" for name in (full, f"GNU {short}", short) for v in dict.fromkeys((n, n.removesuffix(".0"))) for by in (", version ", " v", " ")))
+        for short, full, versions in (
+            ("GPL", "GNU General Public License", ("1.0", "2.0", "3.0")),
+            ("LGPL", "GNU Lesser General Public License", ("2.1", "3.0")),
+            ("LGPL", "GNU Library General Public License", ("2.0",)),
+            ("AGPL", "GNU Affero General Public License", ("3.0",)),
+            ("GFDL", "GNU Free Documentation License", ("1.2", "1.3")),
+        )
+        for n in versions
+    ),
+    *(
+        (f"CC-{kind}-4.0", (f"CC {kind} 4.0", f"CC {kind} 4.0 license", f"Creative Commons {full} 4.0 International License"))
+        for kind, full in (
+            ("BY", "Attribution"),
+            ("BY-SA", "Attribution-ShareAlike"),
+            ("BY-NC", "Attribution-NonCommercial"),
+            ("BY-ND", "Attribution-NoDerivatives"),
+            ("BY-NC-SA", "Attribution-NonCommercial-ShareAlike"),
+            ("BY-NC-ND", "Attribution-NonCommercial-NoDerivatives"),
+        )
+    ),
+    ("CC0-1.0", ("CC0 1.0", "CC0 1.0 Universal", "CC0 1.0 license")),
+    ("Unlicense", ("Unlicense",)),
+)
+SUBJECTS = ("", "This work is ", "This software is ", "This program is ", "This project is ")
+VERBS = ("licensed under", "released under", "distributed under")
+
+
+def notices() -> list[tuple[str, str]]:
+    """Each way to say that something is under each licence, in one line, and the tag of each."""
+    said = [(licence, f"{s}{v} {the}{name}") for licence, names in NAMES for name in names for s in SUBJECTS for v in VERBS for the in ("", "the ")]
+    return said + [(licence, f"SPDX-License-Identifier: {licence}") for licence, _ in NAMES]
+
+
+def whole_texts() -> list[tuple[str, str]]:
+    """The licences of the folder beside this module; also without what follows the end of the terms."""
+    rows = []
+    for file in sorted((Path(__file__).parent / "licence_texts").glob("*.txt")):
+        licence, text = file.stem.removesuffix(".regents"), file.read_text(encoding="utf-8")
+        rows.append((licence, text))
+        terms, end, _ = text.partition("END OF TERMS AND CONDITIONS")
+        if end:
+            rows += [(licence, terms), (licence, terms + end)]
+    return rows
+
+
+#: Notices and licences, by identifier.
 KNOWN = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
@@ -117,6 +177,8 @@ required.
 3. This notice may not be removed or altered from any source distribution.
 """,
     ),
+    *whole_texts(),
+    *notices(),
 )
 
 
