@@ -167,9 +167,10 @@ def matcher(
     fewer than ``shortest`` words, null ones among them, cannot be told from
     chance and match nothing; items of equal text all match.
 
-    Items go to the tasks in blocks of about ``BLOCK_CHARS`` characters, so what
-    a task holds is bounded however many items there are; each block is one more
-    pass over the words of a text, not over the table.
+    Items are matched in blocks of about ``BLOCK_CHARS`` characters, so that a
+    table of seeds is bounded; each block is one more pass over the words of a
+    text, not over the table. The driver and every task hold all blocks: their
+    memory grows with the benchmark.
     """
     kind = benchmark.schema[key].dataType.simpleString()
     rows = benchmark.select(C(key).alias("key"), C(text).alias("text"))
