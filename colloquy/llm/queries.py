@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, extraction, licences, multiset, packing, quality, secrets, simhash, tiling, warc
+from colloquy.llm import bpe, extraction, licences, multiset, packing, quality, secrets, simhash, tiling, token_counts, warc
 from colloquy.llm.common import read
 from colloquy.plans.shared import scratch_path
 
@@ -130,3 +130,17 @@ def token_digests(docs: DataFrame) -> DataFrame:
 @query
 def op10_bpe(spark, sf_dir):
     return token_digests(read(spark, sf_dir, "documents"))
+
+
+TOKEN_LIMIT = 512
+
+
+@query
+def op12_token_counts(spark, sf_dir):
+    import public_tokenizers
+
+    tokens = token_counts.counter(public_tokenizers.path("byte_bpe_50k.json"))
+    counted = read(spark, sf_dir, "documents").select(
+        "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), tokens(C("text")).alias("n_tokens")
+    )
+    return counted.withColumn("over_limit", C("n_tokens") > TOKEN_LIMIT)
