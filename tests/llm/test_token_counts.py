@@ -44,23 +44,31 @@ def test_cut_texts_as_whole_ones(name):
         for least in (1, 3, 17):
             pieces = counter.cut(text, least)
             assert sum(counter.lengths(pieces)) == count(text), (text, pieces)
+        if counter.by_words:
+            assert list(token_counts.by_words(counter, ["", text, text + " x"])) == [0, count(text), count(text + " x")]
 
 
 def test_long_texts_are_cut_and_calls_are_even():
     counter = token_counts.Counter(read("byte_bpe_50k.json"), "json")
-    texts = ["word and word, " * 60_000, "x", "", "7" * 90_000, "a1" * 50_000, *["some words " * 50] * 900]
-    made = list(token_counts.calls(counter, iter(texts)))
-    assert [n for owners, _ in made for n in owners] == sorted(n for owners, _ in made for n in owners)
-    assert {n for owners, _ in made for n in owners} == set(range(len(texts)))
-    sizes = [sum(len(p) for p in pieces) for _, pieces in made]
-    assert max(sizes) < token_counts.CALL_BYTES + 1
-    assert max(len(p) for _, pieces in made for p in pieces if p[:1] != "7") < 2 * token_counts.LONG_BYTES
-    total = [0] * len(texts)
-    for owners, pieces in made:
-        for n, length in zip(owners, counter.lengths(pieces)):
-            total[n] += length
+    long = ["word and word, " * 60_000, "7" * 90_000, "a1" * 50_000]
+    pieces = [p for t in long for p in counter.cut(t, token_counts.LONG_BYTES)]
+    assert max(len(p) for p in pieces if p[0] != "7") < 2 * token_counts.LONG_BYTES
+    made = list(token_counts.calls(pieces + ["some words " * 50] * 900))
+    assert max(sum(map(len, c)) for c in made) <= token_counts.CALL_BYTES and len(made) < 14
+    texts = ["", *long, "x", "", *["some words " * 50] * 90, ""]
     count = plain("byte_bpe_50k.json")
-    assert total == [count(t) for t in texts]
+    want = [count(t) for t in texts]
+    assert list(token_counts.in_order(counter, texts)) == want and list(token_counts.by_words(counter, texts)) == want
+
+
+def test_known_pieces_are_bounded(monkeypatch):
+    monkeypatch.setattr(token_counts, "KNOWN_PIECES", 40)
+    monkeypatch.setattr(token_counts, "TEXT_AT_ONCE", 60)
+    counter = token_counts.Counter(read("byte_bpe_50k.json"), "json")
+    texts = [f"number {n} and {n * 7919 % 1000} of many words and wordswordswordswordswordswordswordswordswordswordswords{n}" for n in range(60)]
+    count = plain("byte_bpe_50k.json")
+    assert list(token_counts.by_words(counter, texts)) == [count(t) for t in texts]
+    assert len(counter.known) <= 60 and len(counter.before) <= 60
 
 
 def test_unknown_file(tmp_path):
