@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colloquy.llm import bpe, extraction, licences, multiset, packing, quality, secrets, simhash, tiling, token_counts, warc
+from colloquy.llm import bpe, extraction, licences, multiset, packing, quality, repair, secrets, simhash, tiling, token_counts, variants, warc
 from colloquy.llm.common import read
 from colloquy.plans.shared import scratch_path
 
@@ -144,3 +144,16 @@ def op12_token_counts(spark, sf_dir):
         "doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"), tokens(C("text")).alias("n_tokens")
     )
     return counted.withColumn("over_limit", C("n_tokens") > TOKEN_LIMIT)
+
+
+@query
+def op13_variants(spark, sf_dir):
+    counts = variants.word_counts(read(spark, sf_dir, "documents"), least=6, dropping=199)
+    return variants.grouped(spark, counts.where(C("n") >= 5))
+
+
+@query
+def op11_repair(spark, sf_dir):
+    turns = read(spark, sf_dir, "conversations")
+    rows = repair.damaged(turns, "conv_id", "turn", "role", "text")
+    return repair.report(spark, rows, turns.select("conv_id")).withColumnRenamed("conv", "conv_id")
