@@ -7,8 +7,6 @@ ROOT = Path(__file__).resolve().parents[1]
 sys.path.insert(0, str(ROOT))
 sys.path.insert(0, str(ROOT / "tests"))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -36,6 +34,6 @@ def cutting(spark):
 
 @pytest.fixture(scope="session")
 def duckdb_small():
-    from check import duck
+    from check import SMALL, duck
 
     return duck(SMALL)

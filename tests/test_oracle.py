@@ -1,8 +1,7 @@
 """Every registered query against its SQL on the small tables."""
 
 import pytest
-from check import difference, duck_table, spark_table
-from conftest import SMALL
+from check import SMALL, difference, duck_table, spark_table
 
 from workload.oracle import oracle_sql
 from workload.queries import queries

@@ -1,7 +1,7 @@
 """What the plans of the large jobs look like."""
 
 import pytest
-from conftest import SMALL
+from check import SMALL
 
 from colloquy.operators import candidates, corpus, render, turns
 from colloquy.sources.tables import read_table, read_turns

@@ -1,7 +1,7 @@
 """Streams in many batches against the batch operators."""
 
 import pytest
-from conftest import SMALL
+from check import SMALL
 from pyspark.sql import functions as F
 
 from colloquy.operators import turns as batch
