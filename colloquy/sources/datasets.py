@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from colloquy.sources.json_records import json_objects
+
 BAD_RECORD = "_corrupt"
 PREFERENCES = T.StructType(
     [
@@ -25,17 +28,16 @@ def read_json_dataset(
     """A JSON dataset with a declared schema; bad records are kept in ``_corrupt``.
 
     The default is one record per line, which Spark splits at any size.
-    ``multi_line`` reads files that hold one JSON array each; such a file cannot
-    be split, so it has to be small enough for one task.
+    ``multi_line`` reads files in any layout, such as one JSON array: many tasks
+    share a file (see ``json_records``). Array elements that are no objects are
+    bad records.
     """
     schema = T.StructType([*schema.fields, T.StructField(BAD_RECORD, T.StringType())])
-    return (
-        spark.read.schema(schema)
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", BAD_RECORD)
-        .json(path)
-    )
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": BAD_RECORD}
+    if multi_line:
+        record = F.from_json("value", schema, options).alias("record")
+        return json_objects(spark, path).select(record).select("record.*")
+    return spark.read.schema(schema).options(**options).json(path)
 
 
 def write_report(answered: DataFrame, path: str) -> DataFrame:
