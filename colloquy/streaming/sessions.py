@@ -259,7 +259,7 @@ def history_prompts(
                 long if long is not None and 0 <= asked < n else short for n, (short, long) in enumerate(said)
             )
 
-        def handleExpiredTimer(self, key, timer_values, expired):
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # called by these names
             self.said.clear()
             self.place.clear()
             return iter([])

@@ -383,6 +383,9 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         "json_dataset_scan": f"""WITH {PAIRS}
             SELECT conv_id || '-' || turn AS pair_id, prompt, chosen, rejected, false AS is_bad FROM judged
             UNION ALL SELECT NULL, NULL, NULL, NULL, true FROM judged WHERE rejected IS NULL""",
+        "json_array_scan": f"""WITH {PAIRS}
+            SELECT conv_id || '-' || turn AS pair_id, prompt, chosen, rejected, false AS is_bad FROM judged
+            UNION ALL SELECT NULL, NULL, NULL, NULL, true FROM judged WHERE rejected IS NULL""",
         "test_cases": f"""WITH {CASES} SELECT name, input, type, max_length::DOUBLE AS max_length,
             temperature::DOUBLE AS temperature FROM cases""",
         "cap_rows": "SELECT doc_id, source FROM documents ORDER BY md5('7|' || doc_id), doc_id LIMIT 500",
@@ -570,6 +573,10 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
             SELECT h.conv_id, h.turn, string_agg(e.head || CASE WHEN e.role = 'assistant' AND e.i > h.lq AND e.reasoning <> ''
                 THEN e.long ELSE e.short END, '' ORDER BY e.i) || {GENERATION} AS prompt
             FROM asking h JOIN forms e ON e.conv_id = h.conv_id AND e.i <= h.i GROUP BY h.conv_id, h.turn""",
+        "stream_late_turns": f"""WITH {MARKED}, {PLACED}, {ASKING}
+            SELECT h.conv_id, h.turn, string_agg(e.head || CASE WHEN e.role = 'assistant' AND e.i > h.lq AND e.reasoning <> ''
+                THEN e.long ELSE e.short END, '' ORDER BY e.i) || {GENERATION} AS prompt
+            FROM asking h JOIN forms e ON e.conv_id = h.conv_id AND e.i <= h.i GROUP BY h.conv_id, h.turn""",
         "stream_latest_response": """SELECT conv_id, role, arg_max(text, turn) AS latest, count(*) AS updates
             FROM conversations GROUP BY conv_id, role""",
         # stages
@@ -583,6 +590,10 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
             FROM blocks b JOIN places p ON p.shard = b.shard AND p.stop > b.block * 4096
               AND p.stop - p.size < (b.block + 1) * 4096
             GROUP BY b.shard, b.block""",
+        "pack_examples": """WITH words AS (SELECT conv_id * 1000 + turn AS example_id, string_split(text, ' ') AS w FROM conversations),
+            numbered AS (SELECT example_id, len(w) AS n, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words)
+            SELECT example_id, count(*) AS n_ids, sum(('0x' || substring(md5(word), 1, 4))::BIGINT * i)::BIGINT AS weighted,
+              1::BIGINT AS n_sequences, any_value(n) <= 512 AS fits FROM numbered GROUP BY example_id""",
         "sft_examples": f"""{CHAT}, offsets AS (
               SELECT *, coalesce(sum(length(segment)) OVER (PARTITION BY conv_id ORDER BY i
                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS loss_start FROM segments)

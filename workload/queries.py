@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import template, text
-from colloquy.operators import answers, candidates, corpus, preferences, render, turns
+from colloquy.operators import answers, candidates, corpus, preferences, render, sequences, turns
 from colloquy.plans.shared import scratch_path
 from colloquy.sources import datasets, dimensions, messages
 from colloquy.sources.tables import read_table, read_turns
-from colloquy.streaming import sessions
+from colloquy.streaming import ordering, sessions
 from workload import inputs
 
 C = F.col
@@ -48,6 +48,26 @@ def json_dataset_scan(spark, sf_dir):
     )
 
 
+@query
+def json_array_scan(spark, sf_dir):
+    """The same records as elements of arrays, one array per file, read as many objects of few files."""
+    pairs = inputs.preference_candidates(spark, sf_dir)
+    pair_id = F.concat_ws("-", C("conv_id").cast("string"), C("turn").cast("string"))
+    record = F.to_json(F.struct(pair_id.alias("pair_id"), "prompt", "chosen", "rejected"))
+    odd = F.when(C("rejected").isNull(), F.lit('"no {record}"'))
+    elements = pairs.select(
+        F.floor(C("conv_id") / 1000).alias("file"), "conv_id", "turn", F.posexplode(F.array_compact(F.array(record, odd))).alias("n", "element")
+    )
+    along = Window.partitionBy("file").orderBy("conv_id", "turn", "n")
+    is_first, is_last = F.lag("n").over(along).isNull(), F.lead("n").over(along).isNull()
+    value = F.concat(F.when(is_first, "[").otherwise(", "), "element", F.when(is_last, "]").otherwise(""))
+    path = scratch_path(spark, "arrays")
+    elements.select("file", value.alias("value")).write.partitionBy("file").text(path)
+    return datasets.read_json_dataset(spark, f"{path}/*", multi_line=True).select(
+        "pair_id", "prompt", "chosen", "rejected", C("_corrupt").isNotNull().alias("is_bad")
+    )
+
+
 @query
 def test_cases(spark, sf_dir):
     setting = [F.try_element_at("params", F.lit(n)).alias(n) for n in ("max_length", "temperature")]
@@ -564,6 +584,27 @@ def stream_history_prompt(spark, sf_dir):
     return spark.read.parquet(f"{base}/out")
 
 
+@query
+def stream_late_turns(spark, sf_dir):
+    """Prompts with history of turns that arrive out of order, in several batches."""
+    sessions.use_rocksdb(spark)
+    base = scratch_path(spark, "late")
+    at = F.timestamp_seconds(F.lit(1_700_000_000) + C("turn") * 60)
+    marked = inputs.chat_marked(spark, sf_dir).withColumn("at", at)
+    pile = F.pmod(F.crc32(F.concat_ws(":", C("conv_id").cast("string"), C("turn").cast("string")).cast("binary")), F.lit(3))
+    for n in range(3):
+        marked.where(pile == n).coalesce(1).write.mode("append").parquet(f"{base}/turns")
+    # what tells that no older turn comes: a turn of no session, a year ahead; then one more, so that timers run
+    ahead = marked.agg(F.max("at").alias("last")).select(F.explode(F.array(F.lit(0), F.lit(1))).alias("turn"), "last")
+    for n in range(2):
+        far = ahead.where(C("turn") == n).select(F.lit(-1).cast("long").alias("conv_id"), C("turn").cast("long").alias("turn"), (C("last") + F.make_interval(years=F.lit(n + 1))).alias("at"))
+        spark.createDataFrame([], marked.schema).unionByName(far, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(f"{base}/turns")
+    stream = sessions.read_turn_stream(spark, f"{base}/turns", marked.schema, files_per_batch=1)
+    turns = ordering.in_turn_order(stream, "at", "1 day", first_turn=None).where("conv_id >= 0 AND NOT late").drop("at", "late")
+    sessions.write_batches(sessions.history_prompts(turns), f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 @query
 def stream_latest_response(spark, sf_dir):
     base = scratch_path(spark, "latest")
@@ -582,6 +623,22 @@ def pack_corpus(spark, sf_dir):
     return corpus.pack_corpus(documents, 4096, corpus.shards_for(documents, shard_chars=4_000_000))
 
 
+@query
+def pack_examples(spark, sf_dir):
+    """Turns as arrays of word ids, packed into sequences; per example what the sequences hold of it."""
+    id_of = lambda w: F.conv(F.substring(F.md5(w), 1, 4), 16, 10).cast("int")
+    turns = read_turns(spark, sf_dir)
+    examples = turns.select((C("conv_id") * 1000 + C("turn")).alias("example_id"), F.transform(F.split("content", " "), id_of).alias("ids"))
+    packed = sequences.pack_examples(examples, 512)
+    each = packed.select(
+        "shard", "bin", "examples", (F.size("ids") <= 512).alias("fits"), F.inline(F.arrays_zip("ids", "positions", "segments"))
+    ).withColumn("example_id", C("examples")[C("segments") - 1])
+    return each.groupBy("example_id").agg(
+        F.count(F.lit(1)).alias("n_ids"), F.sum(C("ids").cast("long") * (C("positions") + 1)).alias("weighted"),
+        F.countDistinct("shard", "bin").alias("n_sequences"), F.bool_and("fits").alias("fits"),
+    )
+
+
 @query
 def sft_examples(spark, sf_dir):
     return render.sft_examples(inputs.chat_marked(spark, sf_dir))
