@@ -562,6 +562,12 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               SELECT conv_id, turn, {two_turns("text")} AS prompt FROM conversations WHERE role = 'user')
             SELECT conv_id, turn, CASE WHEN prompt LIKE '%z%' THEN NULL ELSE {stub_answer("prompt")} END AS output,
               CASE WHEN prompt LIKE '%z%' THEN 'ValueError: no z please' END AS error FROM asked""",
+        "resume_generate": f"""WITH asked AS (
+              SELECT conv_id, turn, {two_turns("text")} AS prompt FROM conversations WHERE role = 'user')
+            SELECT conv_id, turn, CASE WHEN prompt LIKE '%z%' THEN NULL ELSE {stub_answer("prompt")} END AS output,
+              CASE WHEN prompt LIKE '%z%' THEN 'ValueError: no z please' END AS error,
+              ('0x' || substring(sha256('{{"prompt":"' || replace(replace(replace(prompt, chr(92), chr(92) || chr(92)), '"', chr(92) || '"'), chr(10), chr(92) || 'n') || '"}}'), 1, 8))::BIGINT % 5 < 2 AS at_first
+            FROM asked""",
         # streams
         "stream_take_until_exit": f"""WITH {EXITS}, spoken AS (
               SELECT * FROM exits WHERE NOT (role = 'user' AND trim(content, {BLANKS}) = '')),

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import template, text
-from colloquy.operators import answers, candidates, corpus, preferences, render, sequences, turns
+from colloquy.operators import answers, candidates, corpus, ledger, preferences, render, sequences, turns
 from colloquy.plans.shared import scratch_path
 from colloquy.sources import datasets, dimensions, messages
 from colloquy.sources.tables import read_table, read_turns
@@ -557,6 +557,27 @@ def batch_generate(spark, sf_dir):
     return answered.select("conv_id", "turn", "output", "error")
 
 
+@query
+def resume_generate(spark, sf_dir):
+    """A run that breaks off after two of five slices, and one that answers the rest."""
+    prompts, folder = user_prompts(spark, sf_dir), scratch_path(spark, "answers")
+
+    def break_off(number):
+        if number == 1:
+            raise InterruptedError
+
+    try:
+        ledger.answer_missing(prompts, stub_generator(), folder, slices=5, on_commit=break_off)
+    except InterruptedError:
+        pass
+    known = ledger.with_answers(prompts, folder).select("conv_id", "turn", C("slice").isNotNull().alias("at_first"))
+    before = scratch_path(spark, "known")
+    known.write.parquet(before)
+    ledger.answer_missing(prompts, stub_generator(), folder, slices=5)
+    whole = ledger.with_answers(prompts, folder).select("conv_id", "turn", "output", "error")
+    return whole.join(spark.read.parquet(before), ["conv_id", "turn"])
+
+
 # Streams
 
 
