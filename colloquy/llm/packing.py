@@ -4,7 +4,7 @@ Rows with equal texts are a group and stay together, unless a group is itself a
 large part of a shard; then it is cut into pieces. Pieces are packed, large ones
 first, each into the shard where the dot product of its sizes and the shard's
 residual capacities is highest among those it fits in; where no shard has room
-for all sizes, the bytes decide.
+for all sizes, the size that would go furthest beyond its part decides.
 
 Packing is sequential, so it is done twice over small inputs instead of once
 over all: the pieces of a block are packed into as many bundles as there are
@@ -33,9 +33,8 @@ def pack(sizes: np.ndarray, shards: int) -> np.ndarray:
 
     A shard's capacity in every size is its even part of the whole. An item goes
     where the dot product of its sizes and the residual capacities is highest, of
-    the shards where it fits; if there is none, of those where its first size
-    fits, else where most of the first size is left. Ties go to the shard of
-    lowest number.
+    the shards where it fits; if there is none, where it exceeds the capacity
+    least in the size that it exceeds most. Ties go to the shard of lowest number.
     """
     scaled = np.asarray(sizes, float) * shards
     totals = scaled.sum(axis=0)
@@ -48,9 +47,7 @@ def pack(sizes: np.ndarray, shards: int) -> np.ndarray:
         value = left @ item
         room = left + SLACK >= item
         fits = room.all(axis=1)
-        if not fits.any():
-            fits = room[:, 0]
-        best = int(np.argmax(np.where(fits, value, -np.inf) if fits.any() else left[:, 0]))
+        best = int(np.argmax(np.where(fits, value, -np.inf) if fits.any() else (left - item).min(axis=1)))
         left[best] -= item
         chosen[n] = best
     return chosen

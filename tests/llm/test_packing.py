@@ -44,7 +44,7 @@ def test_balance_and_groups_do_not_depend_on_partitions(spark, table):
         sums[r.shard] += r["size"]
     counts = Counter(r.shard for r in rows)
     assert max(sums.values()) < 1.02 * sum(sums.values()) / 8
-    assert max(counts.values()) < 1.1 * len(rows) / 8  # bytes decide where not all sizes fit
+    assert max(counts.values()) < 1.1 * len(rows) / 8
     again = placed(spark, table(some[::-1], parts=7), 8)
     assert {(r.doc_id, r.shard, r.slot) for r in rows} == {(r.doc_id, r.shard, r.slot) for r in again}
 

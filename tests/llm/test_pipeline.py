@@ -1,4 +1,5 @@
 import hashlib
+import re
 import zlib
 
 import public_tokenizers
@@ -8,7 +9,6 @@ import tiktoken
 import corpus_pipeline
 from colloquy.llm import bpe, quality, tiling
 from test_secrets import brute as base_secrets
-from test_simhash import plain_components, plain_print
 
 GOOD = "The {0} stood by the water, and {1} people walked past it on the {2} morning of that year; none of them looked up."
 
@@ -18,6 +18,23 @@ def prose(n):
     return GOOD.format(*words[:3]) + " " + " ".join(words) + "."
 
 
+def shingles(text):
+    """Runs of five words of a text with A-Z in lower case; the whole of a shorter one."""
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def alike_components(sets):
+    """By number, the first of those that chains of pairs of a similarity of 0.8 or more connect."""
+    head = list(range(len(sets)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if (not a and not b) or (a and b and len(a & b) >= 0.8 * len(a | b)):
+                x, y = sorted((head[i], head[j]))
+                head = [x if h == y else h for h in head]
+    return head
+
+
 @pytest.fixture(scope="module")
 def folder(spark, table, tmp_path_factory):
     at = str(tmp_path_factory.mktemp("tables"))
@@ -44,7 +61,7 @@ def test_result_as_brute_force(spark, folder):
     model = quality.fit(docs, spark.createDataFrame([r for r in labels if r.doc_id in learnt]))
     good = [r for r in rows if model.scores(quality.features(r[1])[None, :])[0] >= quality.KEEP]
     assert {k for k, _ in good if k is not None and 100 <= k < 130} == set() and {k for k, _ in good} >= set(range(60))
-    component = plain_components([plain_print(t) for _, t in good], 4)
+    component = alike_components([shingles(t) for _, t in good])
     groups = {}
     for row, c in zip(good, component):
         groups.setdefault(c, []).append(row)
