@@ -115,9 +115,83 @@ def with_instruction(text: Column, task: Column) -> Column:
 
 
 def boxed_answer(text: Column) -> Column:
-    """Content of the last ``\\boxed{...}`` (one level of braces inside); null if none."""
-    pattern = r"\\boxed\{((?:[^{}]++|\{[^{}]*+\})*+)\}"
-    return F.try_element_at(F.regexp_extract_all(text, F.lit(pattern), 1), F.lit(-1))
+    """Content of the last ``\\boxed{...}`` that is closed, with braces inside to any depth; null if none.
+
+    A fold over the braces keeps where each open one stands. A brace after a
+    backslash is text.
+    """
+    chunks = F.regexp_extract_all(text, F.lit(r"(?s)[^\\{}]*+(?:\\boxed\{|\\.|[{}])"), 0)  # each ends with a brace or an escape
+
+    def step(state: Column, chunk: Column) -> Column:
+        at, open_ = state["at"] + F.length(chunk), state["open"]
+        opens = chunk.endswith("{") & ~chunk.endswith("\\{")
+        closes = chunk.endswith("}") & ~chunk.endswith("\\}") & (F.size(open_) > 0)
+        last = F.try_element_at(open_, F.lit(-1))
+        boxed = closes & (last > 0)
+        return F.struct(
+            at.alias("at"),
+            F.when(opens, F.concat(open_, F.array(F.when(chunk.endswith("\\boxed{"), at).otherwise(0))))
+            .when(closes, F.slice(open_, F.lit(1), F.size(open_) - 1))
+            .otherwise(open_)
+            .alias("open"),
+            F.when(boxed, last).otherwise(state["begins"]).alias("begins"),
+            F.when(boxed, at - 1 - last).otherwise(state["size"]).alias("size"),
+        )
+
+    number = lambda n, name: F.lit(n).cast("int").alias(name)
+    start = F.struct(number(0, "at"), F.array().cast("array<int>").alias("open"), number(-1, "begins"), number(0, "size"))
+    found = F.aggregate(chunks, start, step, lambda s: F.when(s["begins"] >= 0, F.substring(text, s["begins"] + 1, s["size"])))
+    return F.when(text.contains("\\boxed{"), found)
+
+
+def _let(value: Column, body) -> Column:
+    """``body(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def _divisor(a: Column, b: Column) -> Column:
+    """Greatest common divisor of numbers of at most 18 digits."""
+    step = lambda s, _: F.when(s["b"] == 0, s).otherwise(F.struct(s["b"].alias("a"), F.try_mod(s["a"], s["b"]).alias("b")))
+    pair = F.struct(F.abs(a).alias("a"), F.abs(b).alias("b"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(90)), pair, step, lambda s: s["a"])
+
+
+def canonical_answer(answer: Column) -> Column:
+    """One text for equal numbers: whole numbers, decimals, percentages and fractions become ``p`` or ``p/q`` in lowest terms.
+
+    Numbers may have a sign, commas between thousands, and up to 17 digits;
+    fractions are ``a/b`` or ``\\frac{a}{b}``. Any other answer loses white
+    space, dollar signs and spacing commands only.
+    """
+    fraction = r"^([+-]?)(?:\\[dt]?frac\{([+-]?)(\d+)\}\{(\d+)\}|(\d+)/(\d+))$"
+    decimal = r"^([+-]?)(?=\.?\d)(\d*)(?:\.(\d*))?(%?)$"
+
+    def ungrouped(bare: Column) -> Column:
+        grouped = bare.rlike(r"^[+-]?\d{1,3}(,\d{3})+(\.\d*)?%?$")
+        return F.when(grouped, F.replace(bare, F.lit(","), F.lit(""))).otherwise(bare)
+
+    def parts(bare: Column) -> Column:
+        """Sign, digits above and below the line; null if the answer is no number."""
+        either = lambda pattern, *groups: F.concat(*[F.regexp_extract(bare, pattern, n) for n in groups])
+        places = F.length(either(decimal, 3)) + F.when(either(decimal, 4) == "%", 2).otherwise(0)
+        digits = lambda sign, above, below: F.struct(
+            sign.alias("sign"), F.ltrim(above, F.lit("0")).alias("above"), F.ltrim(below, F.lit("0")).alias("below")
+        )
+        return F.when(bare.rlike(fraction), digits(either(fraction, 1, 2), either(fraction, 3, 5), either(fraction, 4, 6))).when(
+            bare.rlike(decimal), digits(either(decimal, 1), either(decimal, 2, 3), F.concat(F.lit("1"), F.repeat(F.lit("0"), places)))
+        )
+
+    def written(p: Column) -> Column:
+        top, bottom = F.concat(F.lit("0"), p["above"]).try_cast("long"), p["below"].try_cast("long")
+        part = lambda number, by: F.call_function("div", number, by)
+        minus = F.when((F.replace(p["sign"], F.lit("+"), F.lit("")) == "-") & (top > 0), "-").otherwise("")
+        under = lambda n: F.when(n > 1, F.concat(F.lit("/"), n.cast("string"))).otherwise("")
+        short = (F.length(p["above"]) <= 17) & F.length(p["below"]).between(1, 18)
+        value = _let(_divisor(top, bottom), lambda by: F.concat(minus, part(top, by).cast("string"), under(part(bottom, by))))
+        return F.when(short, value)
+
+    stripped = F.regexp_replace(answer, r"(?U)[\s$]|\\[,!;:]|\\(?:left|right)(?![a-zA-Z])|\\(?=%)", "")
+    return _let(_let(stripped, ungrouped), lambda bare: F.coalesce(_let(parts(bare), written), bare))
 
 
 def choice_answer(text: Column) -> Column:

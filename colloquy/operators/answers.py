@@ -156,15 +156,21 @@ def cut_output(output: Column, room: Column) -> Column:
     return F.slice(output, F.lit(1), room)
 
 
-def answer_accuracy(answers: DataFrame) -> DataFrame:
-    """Share of right answers per task: boxed results for maths, letters for choices."""
+def answer_accuracy(answers: DataFrame, equivalent: bool = False) -> DataFrame:
+    """Share of right answers per task: boxed results for maths, letters for choices.
+
+    With ``equivalent``, equal numbers in different spellings are the same result.
+    """
     predicted = F.when(F.col("task") == "math", text.boxed_answer(F.col("output"))).when(
         F.col("task") == "choice", text.choice_answer(F.col("output"))
     )
-    right = F.coalesce(text.strip(predicted) == F.col("gold"), F.lit(False))
-    return answers.groupBy("task").agg(
+    same = text.strip(F.col("_predicted")) == F.col("gold")
+    if equivalent:
+        same |= text.canonical_answer(F.col("_predicted")) == text.canonical_answer(F.col("gold"))
+    right = F.coalesce(same, F.lit(False))
+    return answers.withColumn("_predicted", predicted).groupBy("task").agg(
         F.count(F.lit(1)).alias("answers"),
-        F.count(predicted).alias("parsed"),
+        F.count("_predicted").alias("parsed"),
         F.avg(right.cast("double")).alias("accuracy"),
     )
 
@@ -172,21 +178,24 @@ def answer_accuracy(answers: DataFrame) -> DataFrame:
 def latency_summary(runs: DataFrame) -> DataFrame:
     """Count, mean, maximum and exact percentiles of ``elapsed_s`` per ``config``.
 
-    Equal times are counted first. A percentile is the lowest time up to which
-    that share of the runs lies, by a running sum over the distinct times, which
-    are cut into blocks where a configuration has very many.
+    Equal times are counted first; all else comes from these counts. A percentile
+    is the lowest time up to which that share of the runs lies, by a running sum
+    over the distinct times, which are cut into blocks where a configuration has
+    very many. A run without a time is a run, and in no other figure.
     """
-    times = runs.where(F.col("elapsed_s").isNotNull()).groupBy("config", "elapsed_s").agg(F.count(F.lit(1)).alias("_n"))
+    times = runs.groupBy("config", "elapsed_s").agg(F.count(F.lit(1)).alias("_n"))
+    timed = F.when(F.col("elapsed_s").isNotNull(), F.col("_n")).otherwise(0)
     placed = OrderedGroups.of(times, ["config"], "elapsed_s").with_columns(
-        _upto=running_sum(F.col("_n"), inclusive=True), _all=total(F.sum, F.col("_n"))
+        _upto=running_sum(timed, inclusive=True), _all=total(F.sum, timed)
     )
 
     def percentile(share: float) -> Column:
         return F.min(F.when(F.col("_upto") >= F.col("_all") * share, F.col("elapsed_s")))
 
-    exact = placed.df.groupBy("config").agg(percentile(0.5).alias("p50_s"), percentile(0.95).alias("p95_s"))
-    plain = runs.groupBy("config").agg(
-        F.count(F.lit(1)).alias("runs"), F.avg("elapsed_s").alias("mean_s"), F.max("elapsed_s").alias("max_s")
+    return placed.df.groupBy("config").agg(
+        F.sum("_n").alias("runs"),
+        (F.sum(F.col("elapsed_s") * F.col("_n")) / F.max("_all")).alias("mean_s"),
+        F.max("elapsed_s").alias("max_s"),
+        percentile(0.5).alias("p50_s"),
+        percentile(0.95).alias("p95_s"),
     )
-    # one row per configuration on both sides
-    return plain.join(exact, "config", "left").select("config", "runs", "mean_s", "max_s", "p50_s", "p95_s")

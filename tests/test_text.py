@@ -111,3 +111,36 @@ def test_tool_calls_on_long_texts(spark):
     body = '{"name": "f", "arguments": {"a": "' + "x\n" * 50_000 + '"}}'
     value = f"a<tool_call>\n{body}\n</tool_call>\n<tool_call>\n{{}}\n</tool_call><tool_call>x</tool_call>"
     assert apply(spark, [value], text.tool_call_bodies) == [[body, "{}"]]
+
+
+def test_boxed_answers_at_any_depth(spark):
+    deep = lambda n: r"\sqrt{" * n + "x" + "}" * n
+    cases = {
+        r"so \boxed{" + deep(3) + "}.": deep(3),
+        r"\boxed{" + deep(2000) + "}": deep(2000),
+        r"\boxed{1} then \boxed{\frac{1}{\sqrt{2}}} end": r"\frac{1}{\sqrt{2}}",
+        r"\boxed{a \boxed{b} c}": r"a \boxed{b} c",
+        r"\boxed{open \boxed{3}": "3",
+        r"\boxed{\{1, 2\}}": r"\{1, 2\}",
+        r"\boxed{\{}": r"\{",
+        r"\boxed{7} and \boxed{never": "7",
+        r"} \boxed{8}": "8",
+        r"\\boxed{9}": None,
+        r"boxed{9} \box{2}": None,
+        "\\boxed{é𝒳{\n}}": "é𝒳{\n}",
+        "": None,
+    }
+    assert apply(spark, list(cases), text.boxed_answer) == list(cases.values())
+    assert apply(spark, [None], text.boxed_answer) == [None]
+
+
+def test_canonical_answers(spark):
+    cases = {
+        "1/2": "1/2", "0.5": "1/2", r"\frac{1}{2}": "1/2", r"$\dfrac{2}{4}$": "1/2", ".50": "1/2", "50%": "1/2", r"50\%": "1/2", "007/14": "1/2",
+        "-0.5": "-1/2", r"-\frac{1}{2}": "-1/2", r"\frac{-1}{2}": "-1/2", r"-\frac{-1}{2}": "1/2", "+3": "3", "3.0": "3", "3.": "3", "003": "3",
+        "1,234,567": "1234567", "1,234.50": "2469/2", "1,23": "1,23", "0": "0", "-0.0": "0", "0/7": "0", "7/0": "7/0", "12345678901234567": "12345678901234567",
+        "123456789012345678901": "123456789012345678901", "0.00000000000000001": "1/100000000000000000", " x + 1 ": "x+1", r"\left( 1,\, 2 \right)": "(1,2)",
+        "": "", ".": ".", "-": "-", "%": "%", "1e5": "1e5", "6/4": "3/2", "99999999999999999/99999999999999999": "1",
+    }
+    assert apply(spark, list(cases), text.canonical_answer) == list(cases.values())
+    assert apply(spark, [None], text.canonical_answer) == [None]

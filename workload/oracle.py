@@ -443,6 +443,14 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               WHEN 'math' THEN {text(TASK_INSTRUCTIONS["math"])} ELSE {text(TASK_INSTRUCTIONS["choice"])} END AS prompt
             FROM answers""",
         "extract_boxed": f"WITH {ANSWERS} SELECT item_id, boxed FROM parsed",
+        "extract_boxed_nested": r"""SELECT item_id,
+              repeat('\sqrt{', (item_id % 10)::INT) || item_id || repeat('}', (item_id % 10)::INT) AS boxed FROM benchmark""",
+        "answer_equivalence": """WITH f AS (
+              SELECT item_id, item_id % 7 + 1 AS p, list_extract([2, 4, 5, 8], (item_id % 4 + 1)::INT) AS q, (item_id // 4) % 4 AS kind FROM benchmark),
+            g AS (SELECT *, CASE WHEN kind = 3 THEN p + q ELSE p END AS t FROM f),
+            r AS (SELECT item_id, kind, t // gcd(t, q) AS a, q // gcd(t, q) AS b, p // gcd(p, q) AS c, q // gcd(p, q) AS d FROM g)
+            SELECT item_id, a || CASE WHEN b > 1 THEN '/' || b ELSE '' END AS canonical, c || CASE WHEN d > 1 THEN '/' || d ELSE '' END AS gold,
+              (SELECT round(avg((kind <> 3)::INT), 6) FROM r) AS accuracy FROM r""",
         "extract_choice": f"WITH {ANSWERS} SELECT item_id, letter AS choice FROM parsed",
         "control_token_scan": f"{CHAT}, {uses} SELECT token, uses, turns FROM uses",
         "extract_tool_calls": f"""{CHAT}, bodies AS (

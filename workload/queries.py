@@ -281,6 +281,38 @@ def extract_boxed(spark, sf_dir):
     )
 
 
+@query
+def extract_boxed_nested(spark, sf_dir):
+    """Results with up to nine levels of braces, after one that is never closed."""
+    items, depth = read_table(spark, sf_dir, "benchmark"), (C("item_id") % 10).cast("int")
+    result = F.concat(F.repeat(F.lit("\\sqrt{"), depth), C("item_id").cast("string"), F.repeat(F.lit("}"), depth))
+    output = F.concat(F.lit("\\boxed{never "), "text", F.lit(" \\boxed{0} so \\boxed{"), result, F.lit("} {end"))
+    return items.select("item_id", text.boxed_answer(output).alias("boxed"))
+
+
+@query
+def answer_equivalence(spark, sf_dir):
+    """The same results as fractions, unreduced fractions, decimals, and wrong ones."""
+    n = C("item_id")
+    top, bottom = n % 7 + 1, F.element_at(F.array(*map(F.lit, (2, 4, 5, 8))), (n % 4 + 1).cast("int"))
+    words = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+    kind = (n / 4).cast("long") % 4
+    decimal = (top.cast("decimal(10,3)") / bottom.cast("decimal(10,3)")).cast("decimal(10,4)")
+    spelt = (
+        F.when(kind == 0, words("\\frac{", top * 2, "}{", bottom * 2, "}"))
+        .when(kind == 1, words(top * 3, "/", bottom * 3))
+        .when(kind == 2, words(decimal))
+        .otherwise(words(top + bottom, "/", bottom))
+    )
+    items = read_table(spark, sf_dir, "benchmark").select(
+        "item_id", F.lit("math").alias("task"), words(C("text"), " \\boxed{", spelt, "}").alias("output"), words(top, "/", bottom).alias("gold")
+    )
+    accuracy = answers.answer_accuracy(items, equivalent=True).select(F.round("accuracy", 6).alias("accuracy"))
+    return items.select(
+        "item_id", text.canonical_answer(text.boxed_answer(C("output"))).alias("canonical"), text.canonical_answer(C("gold")).alias("gold")
+    ).join(F.broadcast(accuracy))  # one row
+
+
 @query
 def extract_choice(spark, sf_dir):
     return inputs.answers(spark, sf_dir).select(
