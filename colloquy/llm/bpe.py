@@ -1,10 +1,11 @@
 """Byte-level BPE: texts to token ids, and ids back to bytes.
 
 A text is split by the tokenizer's pattern. Of a block of texts the distinct
-words are taken, each is merged once by a fold of Spark's higher-order
-functions, and the texts are put together from their words' ids. No row is
-shuffled and nothing is kept between blocks, so memory is bounded by one Arrow
-batch, and a lost task is computed again from its own input.
+words are taken that the task has not met before, each is merged once by a fold
+of Spark's higher-order functions, and the texts are put together from their
+words' ids. No row is shuffled. A task keeps a bounded number of words from block
+to block, so memory is bounded, and a lost task is computed again from its own
+input.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ ID_BITS, PLACE_BITS = 20, 12
 MERGE_BIT = ID_BITS + PLACE_BITS
 NO_RANK = 1 << 29
 LONG_WORD = 1024  # bytes, below 2 ** PLACE_BITS; the fold's time grows with the square, so a heap merges longer words
-BLOCK_WORDS = 2_500_000  # whose distinct ones are merged together
+BLOCK_WORDS = 600_000  # whose distinct ones are merged together
+KNOWN_WORDS = 700_000  # that a task keeps the ids of
 WORDS_AT_ONCE = 500_000  # that are put together again
 LONG_TEXT = 1 << 20  # characters; longer texts are split one word at a time
 
@@ -205,20 +207,21 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
     )
     blocks = split.mapInArrow(
         packed(pattern, ranks),
-        f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>",
+        f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>, anew boolean",
     )
     ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
     back = let(table.pieces, lambda pieces: F.transform("ids", lambda i: F.transform(i, lambda n: F.get(pieces, n.cast("int")))))
-    worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids")).select("*", back.alias("pieces"))
+    worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids"), "anew").select("*", back.alias("pieces"))
     return worked.mapInArrow(unpacked, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
 
 
 def packed(pattern: str, ranks: dict[bytes, int]):
-    """Per block of texts one row: the keys, the number of words of each, the words by number, the distinct words.
+    """Per block of texts one row: the keys, the number of words of each, the words by number, the words that are new.
 
     Words that are pieces, and long ones, come last and with their ids; of the
-    others come the bytes, in the form of pieces. A block is an Arrow batch, or a
-    part of one with about ``BLOCK_WORDS`` words.
+    others come the bytes, in the form of pieces. Words are numbered on from
+    block to block, and anew where ``anew`` is set. A block is an Arrow batch, or
+    a part of one with about ``BLOCK_WORDS`` words.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,6 +230,7 @@ def packed(pattern: str, ranks: dict[bytes, int]):
         vocabulary, numbers = pa.array(list(ranks), pa.binary()), np.array(list(ranks.values()), np.int64)
         octet_ids = np.array([ranks.get(bytes([b]), 0) for b in range(256)], np.int64)
         pairs = np.array([ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)], np.int64)
+        known: dict[bytes, int] = {}  # words by number
 
         def counts_of(words: pa.Array, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
             if texts.null_count == len(texts):
@@ -236,15 +240,21 @@ def packed(pattern: str, ranks: dict[bytes, int]):
 
         def block(keys: pa.Array, counts: np.ndarray, flat: pa.Array) -> pa.RecordBatch:
             coded = flat.cast(pa.binary()).dictionary_encode()
-            distinct = coded.dictionary
+            listed = coded.dictionary.to_pylist()
+            anew = len(known) > KNOWN_WORDS
+            if anew:
+                known.clear()
+            place = np.fromiter((known.get(w, -1) for w in listed), np.int64, len(listed))
+            fresh = np.flatnonzero(place < 0)
+            distinct = coded.dictionary.take(pa.array(fresh))
             piece = pc.index_in(distinct, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
             is_long = pc.greater(pc.binary_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False).astype(bool)
-            known = (piece >= 0) | is_long
-            order = np.argsort(known, kind="stable")
-            place = np.empty(len(order), np.int32)
-            place[order] = np.arange(len(order), dtype=np.int32)
-            codes = place[coded.indices.to_numpy(zero_copy_only=False)]
-            folds = len(order) - int(known.sum())
+            ready = (piece >= 0) | is_long
+            order = np.argsort(ready, kind="stable")
+            place[fresh[order]] = np.arange(len(known), len(known) + len(order))
+            known.update((listed[n], int(place[n])) for n in fresh[order])
+            codes = place[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int32)
+            folds = len(order) - int(ready.sum())
             given = [
                 [int(numbers[piece[n]])] if piece[n] >= 0 else merged_long(distinct[int(n)].as_py(), ranks) for n in order[folds:]
             ]
@@ -258,8 +268,9 @@ def packed(pattern: str, ranks: dict[bytes, int]):
                     pa.BinaryArray.from_buffers(pa.binary(), 1, numbered),
                     one(octets),
                     one(pa.array(given, pa.list_(pa.int64()))),
+                    pa.array([anew]),
                 ],
-                ["keys", "counts", "codes", "words", "given"],
+                ["keys", "counts", "codes", "words", "given", "anew"],
             )
 
         for batch in batches:
@@ -291,13 +302,18 @@ def in_pieces(words: pa.Array, octet_ids: np.ndarray, pairs: np.ndarray) -> pa.A
 
 
 def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts of a packed row, as ids and as bytes."""
+    """The texts of a packed row, as ids and as bytes, with the words of the rows before it."""
     pa.set_memory_pool(pa.system_memory_pool())
+    ids, data = pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())
     for batch in batches:
         for row in range(batch.num_rows):
             keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
             codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
-            ids, data = batch.column("ids")[row].values, end_to_end(batch.column("pieces")[row].values)
+            new_ids, new_data = batch.column("ids")[row].values.cast(pa.list_(pa.int32())), end_to_end(batch.column("pieces")[row].values)
+            if batch.column("anew")[row].as_py():
+                ids, data = new_ids, new_data
+            else:
+                ids, data = pa.concat_arrays([ids, new_ids]), pa.concat_arrays([data, new_data])
             ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)])
             for first, last in portions(ends, WORDS_AT_ONCE):
                 own = pa.array(codes[ends[first] : ends[last]])
@@ -310,7 +326,7 @@ def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys.slice(first, last - first),
-                        pa.ListArray.from_arrays(pa.array(sizes[cuts], pa.int32()), tokens.flatten().cast(pa.int32())),
+                        pa.ListArray.from_arrays(pa.array(sizes[cuts], pa.int32()), tokens.flatten()),
                         pa.BinaryArray.from_buffers(pa.binary(), last - first, texts),
                     ],
                     ["key", "ids", "decoded"],

@@ -48,6 +48,7 @@ def test_many_texts_in_portions(spark, table, monkeypatch):
     pairs = [(i, f"document {i} about " + "words " * (i % 9)) for i in range(300)]
     monkeypatch.setattr(bpe, "WORDS_AT_ONCE", 40)
     monkeypatch.setattr(bpe, "BLOCK_WORDS", 50)
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 120)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "37")
     try:
         assert sorted(coded(table(pairs))) == sorted(expected(pairs))
