@@ -34,6 +34,10 @@ def chars(value: str) -> str:
 BLANKS = chars(WHITESPACE)
 
 
+#: 16-bit numbers from which a Poisson(1) draw is at least 1, 2, ...
+POISSON = (24110, 48219, 60274, 64292, 65297, 65498, 65531, 65536)
+
+
 def unit(tag: str, *keys: str) -> str:
     key = " || '|' || ".join([f"'{tag}'", *[f"CAST({k} AS VARCHAR)" for k in keys]])
     return f"((('0x' || substring(md5({key}), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296.0::DOUBLE)"
@@ -628,6 +632,22 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         "reward_pair_accuracy": f"""WITH {REWARDS} SELECT count(loss) AS pairs, round(avg(loss), 6) AS mean_loss,
               round(avg(correct::INT), 6) AS accuracy, count(*) FILTER (loss IS NULL) AS unpaired, 0::BIGINT AS repeated
             FROM scored""",
+        "reward_intervals": f"""WITH {REWARDS}, judged AS (
+              SELECT c.source, c.pair, {loss("c.reward - r.reward")} AS loss, (c.reward > r.reward)::INT::DOUBLE AS won
+              FROM rewards c JOIN rewards r ON c.source = r.source AND c.pair = r.pair AND c.quality = 1 AND r.quality = 0),
+            drawn AS (SELECT j.*, n, ('0x' || substring(md5('boot|0|' || (n // 6) || '|' || source || '|' || pair), 1 + 12 * ((n % 6) // 3), 12))::BIGINT AS h
+              FROM judged j, range(24) t(n)),
+            weighted AS (SELECT *, len(list_filter([{", ".join(map(str, POISSON))}], lambda s: ((h >> (16 * (n % 3))::INT) & 65535) >= s)) AS w FROM drawn),
+            means AS (SELECT source, n, sum(w * loss) / nullif(sum(w), 0) AS loss, sum(w * won) / nullif(sum(w), 0) AS won FROM weighted GROUP BY ALL),
+            ends AS (SELECT source, min(loss) AS ll, max(loss) AS lh, min(won) AS wl, max(won) AS wh FROM means GROUP BY source)
+            SELECT source, count(*) AS rows, round(avg(loss), 6) AS loss_mean, round(any_value(ll), 6) AS loss_low, round(any_value(lh), 6) AS loss_high,
+              round(avg(won), 6) AS right_mean, round(any_value(wl), 6) AS right_low, round(any_value(wh), 6) AS right_high
+            FROM judged JOIN ends USING (source) GROUP BY source""",
+        "reward_ranking": f"""WITH {REWARDS}, r AS (SELECT source, quality, round(reward, 1) AS reward FROM rewards),
+            sides AS (SELECT source, count(*) FILTER (quality = 1) AS positives, count(*) FILTER (quality = 0) AS negatives FROM r GROUP BY source),
+            won AS (SELECT a.source, avg(CASE WHEN a.reward > b.reward THEN 1.0 WHEN a.reward = b.reward THEN 0.5 ELSE 0 END) AS auc
+              FROM r a JOIN r b ON a.source = b.source AND a.quality = 1 AND b.quality = 0 GROUP BY a.source)
+            SELECT source, positives, negatives, round(auc, 6) AS auc FROM sides LEFT JOIN won USING (source)""",
         "kl_shaped_reward": f"""WITH tokens AS (
               SELECT doc_id, unnest(range(0, 16)) AS pos FROM documents WHERE doc_id % 23 <> 7),
             drift AS (SELECT doc_id, sum(-(0.1 + 3 * {unit("pi", "doc_id", "pos")})

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from colloquy.functions import template, text
-from colloquy.operators import answers, candidates, corpus, ledger, preferences, render, sequences, turns
+from colloquy.operators import answers, candidates, corpus, ledger, preferences, render, sequences, turns, uncertainty
 from colloquy.plans.shared import scratch_path
 from colloquy.sources import datasets, dimensions, messages
 from colloquy.sources.tables import read_table, read_turns
@@ -735,6 +735,21 @@ def reward_pair_accuracy(spark, sf_dir):
     return rounded(judged, "mean_loss", "accuracy")
 
 
+@query
+def reward_intervals(spark, sf_dir):
+    pairs = preferences.reward_pairs(inputs.reward_scores(spark, sf_dir), ["source", "pair"])
+    judged = pairs.select("source", "pair", "loss", C("correct").cast("double").alias("right"))
+    found = uncertainty.bootstrap_intervals(judged, ["source"], ["source", "pair"], ["loss", "right"], 24)
+    return rounded(found, *[f"{v}_{n}" for v in ("loss", "right") for n in ("mean", "low", "high")])
+
+
+@query
+def reward_ranking(spark, sf_dir):
+    """Rewards of one digit, so that many are equal."""
+    rewards = inputs.reward_scores(spark, sf_dir).withColumn("reward", F.round("reward", 1))
+    return rounded(uncertainty.ranking_quality(rewards, ["source"], "reward", C("side") == "chosen"), "auc")
+
+
 @query
 def kl_shaped_reward(spark, sf_dir):
     shaped = preferences.kl_shaped_reward(
