@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import re
 import string
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -17,6 +17,7 @@ from colloquy.functions.fixed import (
     TASK_INSTRUCTIONS,
     WHITESPACE,
 )
+from colloquy.functions.tokens import longest_of
 
 
 def strip(text: Column) -> Column:
@@ -61,19 +62,14 @@ def dispatch_prompt(kind: Column, text: Column, system: Column | str = DEFAULT_S
     return F.when(kind == "chat", chat_prompt(text, system)).otherwise(text)
 
 
-def _any_of(tokens: list[str]) -> str:
-    """One of the tokens. All begin with the same character: the search looks for that alone."""
-    return tokens[0][0] + "(?:" + "|".join(re.escape(t[1:]) for t in tokens) + ")"
+def strip_special_tokens(text: Column, tokens: Iterable[str] = SPECIAL_TOKENS) -> Column:
+    """Remove the special tokens; thinking, tool and fill-in markers stay. ``tokens`` may be a table of thousands."""
+    return F.regexp_replace(text, F.lit(longest_of(tokens)), F.lit(""))
 
 
-def strip_special_tokens(text: Column) -> Column:
-    """Remove the special tokens; thinking, tool and fill-in markers stay."""
-    return F.regexp_replace(text, F.lit(_any_of(SPECIAL_TOKENS)), F.lit(""))
-
-
-def control_tokens(text: Column) -> Column:
-    """All added tokens in a text, in order."""
-    return F.regexp_extract_all(text, F.lit(f"({_any_of(ADDED_TOKENS)})"), 1)
+def control_tokens(text: Column, tokens: Iterable[str] = ADDED_TOKENS) -> Column:
+    """All added tokens in a text, in order: at each place the longest."""
+    return F.regexp_extract_all(text, F.lit(f"({longest_of(tokens)})"), 1)
 
 
 def strip_echo(output: Column, prompt: Column) -> Column:

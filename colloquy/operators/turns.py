@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colloquy.functions import text
+from colloquy.functions.fixed import ADDED_TOKENS
 from colloquy.functions.template import is_query
 from colloquy.plans.ordered_groups import (
     OrderedGroups,
@@ -157,9 +160,9 @@ def preset_lookup(turns: DataFrame, presets: DataFrame, enable_thinking: bool =
     ).drop("_known")
 
 
-def control_token_scan(turns: DataFrame, column: str = "content") -> DataFrame:
+def control_token_scan(turns: DataFrame, column: str = "content", tokens: Iterable[str] = ADDED_TOKENS) -> DataFrame:
     """Uses of the added tokens in texts: ``(token, uses, turns)`` for those that occur."""
-    found = turns.select(text.control_tokens(F.col(column)).alias("_found"))
+    found = turns.select(text.control_tokens(F.col(column), tokens).alias("_found"))
     return (
         found.select(
             F.explode(
@@ -167,7 +170,7 @@ def control_token_scan(turns: DataFrame, column: str = "content") -> DataFrame:
                     F.array_distinct("_found"),
                     lambda t: F.struct(
                         t.alias("token"),
-                        F.size(F.filter("_found", lambda x: x == t)).alias("uses"),
+                        (F.size("_found") - F.size(F.array_remove("_found", t))).alias("uses"),
                     ),
                 )
             ).alias("_t")

@@ -113,6 +113,36 @@ def test_tool_calls_on_long_texts(spark):
     assert apply(spark, [value], text.tool_call_bodies) == [[body, "{}"]]
 
 
+def plain_longest(value, tokens):
+    out, at = [], 0
+    while at < len(value):
+        best = max((t for t in tokens if t and value.startswith(t, at)), key=len, default=None)
+        if best is not None:
+            out.append(best)
+        at += len(best or "x")
+    return out
+
+
+def test_longest_token_of_any_table(spark):
+    import random
+    import re
+
+    from colloquy.functions.tokens import longest_of
+
+    chance = random.Random(4)
+    for letters in ("ab", "<|>x\\]^-", "abcdefghijklmnop𝒳é你"):
+        tokens = {"".join(chance.choice(letters) for _ in range(chance.randint(0, 5))) for _ in range(60)}
+        values = ["".join(chance.choice(letters) for _ in range(50)) for _ in range(40)] + [""]
+        want = [plain_longest(v, tokens) for v in values]
+        assert [re.findall(longest_of(tokens), v) for v in values] == want
+        assert apply(spark, values, lambda c: text.control_tokens(c, tokens)) == want
+        gone = apply(spark, values, lambda c: text.strip_special_tokens(c, tokens))
+        assert gone == [re.sub(longest_of(tokens), "", v) for v in values]
+    assert apply(spark, ["abc"], lambda c: text.control_tokens(c, [])) == [[]]
+    long = "y" * 3000
+    assert apply(spark, [long + "z" + long[:-1]], lambda c: text.control_tokens(c, [long, "z"])) == [[long, "z"]]
+
+
 def test_boxed_answers_at_any_depth(spark):
     deep = lambda n: r"\sqrt{" * n + "x" + "}" * n
     cases = {

@@ -457,6 +457,13 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
               (SELECT round(avg((kind <> 3)::INT), 6) FROM r) AS accuracy FROM r""",
         "extract_choice": f"WITH {ANSWERS} SELECT item_id, letter AS choice FROM parsed",
         "control_token_scan": f"{CHAT}, {uses} SELECT token, uses, turns FROM uses",
+        "token_table_scan": """WITH held AS (
+              SELECT conv_id, turn, (conv_id * 7 + turn * 3) % 7000 AS n, true AS closed FROM conversations
+              UNION ALL SELECT conv_id, turn, (conv_id * 5 + turn) % 7000, false FROM conversations),
+            known AS (SELECT conv_id, turn, CASE WHEN n < 5000 THEN '<|extra_' || n || CASE WHEN closed THEN '|>' ELSE '' END
+                -- of a number beyond the table, its longest beginning that is in it
+                ELSE '<|extra_' || (n // 10) END AS token FROM held)
+            SELECT token, count(*) AS uses, count(DISTINCT (conv_id, turn)) AS turns FROM known GROUP BY token""",
         "extract_tool_calls": f"""{CHAT}, bodies AS (
               SELECT conv_id, turn, unnest(range(0, len(b))) AS call, unnest(b) AS body FROM (
                 SELECT conv_id, turn, regexp_extract_all(segment, '(?s)<tool_call>\\n(.*?)\\n</tool_call>', 1) AS b

@@ -325,6 +325,16 @@ def control_token_scan(spark, sf_dir):
     return turns.control_token_scan(inputs.rendered(spark, sf_dir), "prompt")
 
 
+@query
+def token_table_scan(spark, sf_dir):
+    """Uses of ten thousand tokens, some the beginning of others, in turns that hold two of them each."""
+    names = [f"<|extra_{n}|>" for n in range(5000)] + [f"<|extra_{n}" for n in range(5000)]
+    number = lambda a, b: ((C("conv_id") * a + C("turn") * b) % 7000).cast("string")
+    content = F.concat(F.lit("<|extra_"), number(7, 3), F.lit("|>"), "content", F.lit("<|extra_"), number(5, 1), F.lit("<|"))
+    marked = read_turns(spark, sf_dir).select("conv_id", "turn", content.alias("content"))
+    return turns.control_token_scan(marked, "content", names)
+
+
 @query
 def extract_tool_calls(spark, sf_dir):
     segments = render.render_segments(inputs.chat_marked(spark, sf_dir))
