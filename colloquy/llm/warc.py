@@ -85,11 +85,16 @@ def commit(spark: SparkSession, staged: DataFrame, folder: str) -> DataFrame:
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
     path = lambda name: jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
     files = path("").getFileSystem(conf)
+
+    def renamed(temporary: str, name: str) -> None:
+        if not files.rename(path(temporary), path(name)):
+            raise OSError(f"could not rename {temporary} to {name} in {folder}")
+
     for entry in staged.toLocalIterator():
         if not files.exists(path(entry.name)):
-            files.rename(path(entry.temporary), path(entry.name))
+            renamed(entry.temporary, entry.name)
     staged.drop("temporary").write.mode("overwrite").parquet(f"{folder}/_manifest.tmp")
-    files.rename(path("_manifest.tmp"), path("_manifest"))
+    renamed("_manifest.tmp", "_manifest")
     delete(spark, f"{folder}/_tmp")
     return manifest_of(spark, folder)
 

@@ -107,3 +107,12 @@ def test_nothing_is_seen_before_the_commit_and_broken_records_are_told(spark, pa
     path.write_bytes(gzip.compress(parts[0]) + gzip.compress(fields))
     with pytest.raises(Exception, match="block digest"):
         warc.read(spark, folder).collect()
+
+
+def test_a_rename_that_fails_is_told(spark, tmp_path):
+    staged = spark.createDataFrame([], warc.ENTRY)
+    fields = {f.name: None for f in staged.schema} | {"temporary": "_tmp/not there", "name": "shard-0.warc.gz"}
+    staged = spark.createDataFrame([tuple(fields.values())], staged.schema)
+    with pytest.raises(Exception, match="could not rename|not there"):
+        warc.commit(spark, staged, str(tmp_path / "archive"))
+    assert not os.path.exists(tmp_path / "archive" / "_manifest")
