@@ -16,7 +16,8 @@ hot_bytes such groups. A block aims at half of either, whatever the size of the
 group, so the tables of cut points and of block values have about twice as many
 entries. The cut points only decide which task does what, never the result.
 Both tables are written to the shared folder: every reader, and every retry,
-sees the same ones, and their size is known when they are joined.
+sees the same ones, and their size is known when they are joined. The driver sees
+one number: the largest count of blocks.
 
 The order key is one number or time column, unique within its group.
 """
@@ -28,7 +29,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
 
 from colloquy.plans.shared import scratch_path
 
@@ -38,9 +38,9 @@ HOT_BYTES_SETTING = "spark.colloquy.hotGroupBytes"
 HOT_BYTES_DEFAULT = 512 << 20
 
 _COARSE = 64  # cut points are searched 64 apart first, then 64 one by one
+MOST_BLOCKS = 10_000  # of a group; above MOST_BLOCKS * hot_rows / 2 rows its blocks grow, so that a plan holds few quantiles
 _BLOCK = "_block"
 _HOT = "_hot"
-_HOT_COLUMNS = [StructField("_rows", LongType()), StructField("_blocks", LongType())]
 
 
 @dataclass(frozen=True)
@@ -166,11 +166,8 @@ def _text_bytes(df: DataFrame) -> Column:
     return size
 
 
-def _hot_groups(df: DataFrame, keys: list[str]) -> list:
-    """The groups to cut, with their rows and number of blocks.
-
-    They are few by their size: see the bound above.
-    """
+def _hot_groups(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The groups to cut, with their rows and number of blocks."""
     most_rows, most_bytes = hot_threshold(df), hot_bytes_threshold(df)
     measured = df.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_rows"), F.sum(_text_bytes(df.drop(*keys))).alias("_bytes")
@@ -179,8 +176,7 @@ def _hot_groups(df: DataFrame, keys: list[str]) -> list:
         F.ceil(F.col("_rows") / max(most_rows // 2, 1)), F.ceil(F.col("_bytes") / max(most_bytes // 2, 1))
     )
     large = measured.where((F.col("_rows") > most_rows) | (F.col("_bytes") > most_bytes))
-    group = F.struct(*keys, "_rows", F.least(blocks, F.col("_rows")).cast("bigint").alias("_blocks"))
-    return large.agg(F.collect_list(group)).first()[0]
+    return large.select(*keys, "_rows", F.least(blocks, F.col("_rows"), F.lit(MOST_BLOCKS)).cast("bigint").alias("_blocks"))
 
 
 def settled(small: DataFrame, name: str) -> DataFrame:
@@ -243,18 +239,14 @@ class OrderedGroups:
         shared folder first, for rows that are dear to compute.
         """
         keys = list(keys)
-        found = _hot_groups(df, keys)
-        if not found:
+        most = _hot_groups(df, keys).agg(F.max("_blocks")).first()[0]
+        if most is None:
             return cls(df, keys, order, ordered=ordered)
         if store:
             df = settled(df, "rows")
-        kinds = {f.name: f.dataType for f in df.select(*keys).schema}
-        hot = df.sparkSession.createDataFrame(
-            found, StructType([*[StructField(k, kinds[k]) for k in keys], *_HOT_COLUMNS])
-        )
-        hot = settled(hot, "hot")
+        hot = settled(_hot_groups(df, keys), "hot")
         if ordered:
-            known, small = F.col("_cuts"), _cut_points(df, hot, keys, order, max(r["_blocks"] for r in found))
+            known, small = F.col("_cuts"), _cut_points(df, hot, keys, order, most)
             block = _block_between(known, F.col(order))
         else:
             known, small = F.col("_blocks"), hot.drop("_rows")

@@ -155,3 +155,15 @@ def test_groups_are_counted_in_one_job(spark):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert 1 <= len(jobs) <= 3  # the scan with its partial counts, and the stages that combine them
+
+
+def test_many_large_groups(spark):
+    """As many cut groups as a table of 10 ** 10 rows may have; their table stays off the driver."""
+    spark.conf.set(HOT_ROWS_SETTING, "3")
+    try:
+        df = spark.range(200_000).select((C("id") % 50_000).alias("k"), C("id").alias("o"))
+        placed = OrderedGroups.of(df, ["k"], "o").with_columns(n=position(), size=total_count())
+        wrong = placed.df.where((C("n") != F.floor(C("o") / 50_000)) | (C("size") != 4))
+        assert placed.cut and wrong.isEmpty() and placed.df.count() == 200_000
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
