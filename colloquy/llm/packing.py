@@ -25,6 +25,7 @@ SIZES = ("bytes", "tokens", "rows")
 FINE = 16  # a piece of a cut group is at most this part of a shard, in every size
 BLOCK_PIECES = 100_000
 SLACK = 1e-3  # by which a shard may exceed its even part while others have room
+FIRST_COUNTS = 5  # times that an excess of bytes weighs as much as one of tokens or rows
 SLOT_ROWS = 50_000
 
 
@@ -34,12 +35,14 @@ def pack(sizes: np.ndarray, shards: int) -> np.ndarray:
     A shard's capacity in every size is its even part of the whole. An item goes
     where the dot product of its sizes and the residual capacities is highest, of
     the shards where it fits; if there is none, where it exceeds the capacity
-    least in the size that it exceeds most. Ties go to the shard of lowest number.
+    least in the size that it exceeds most, the first size counting
+    ``FIRST_COUNTS`` times. Ties go to the shard of lowest number.
     """
     scaled = np.asarray(sizes, float) * shards
     totals = scaled.sum(axis=0)
     scaled = scaled / np.where(totals > 0, totals, 1) * shards
     left = np.ones((shards, scaled.shape[1]))
+    weights = np.array([FIRST_COUNTS] + [1] * (scaled.shape[1] - 1))
     chosen = np.empty(len(scaled), np.int32)
     order = np.lexsort((np.arange(len(scaled)), -scaled.sum(axis=1)))
     for n in order:
@@ -47,7 +50,8 @@ def pack(sizes: np.ndarray, shards: int) -> np.ndarray:
         value = left @ item
         room = left + SLACK >= item
         fits = room.all(axis=1)
-        best = int(np.argmax(np.where(fits, value, -np.inf) if fits.any() else (left - item).min(axis=1)))
+        over = np.minimum((left - item) * weights, 0).min(axis=1) + left[:, 0] * 1e-6
+        best = int(np.argmax(np.where(fits, value, -np.inf) if fits.any() else over))
         left[best] -= item
         chosen[n] = best
     return chosen
