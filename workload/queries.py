@@ -305,12 +305,13 @@ def answer_equivalence(spark, sf_dir):
         .otherwise(words(top + bottom, "/", bottom))
     )
     items = read_table(spark, sf_dir, "benchmark").select(
-        "item_id", F.lit("math").alias("task"), words(C("text"), " \\boxed{", spelt, "}").alias("output"), words(top, "/", bottom).alias("gold")
+        "item_id", F.when(n.isNotNull(), "math").alias("task"), words(C("text"), " \\boxed{", spelt, "}").alias("output"), words(top, "/", bottom).alias("gold")
     )
-    accuracy = answers.answer_accuracy(items, equivalent=True).select(F.round("accuracy", 6).alias("accuracy"))
-    return items.select(
-        "item_id", text.canonical_answer(text.boxed_answer(C("output"))).alias("canonical"), text.canonical_answer(C("gold")).alias("gold")
-    ).join(F.broadcast(accuracy))  # one row
+    accuracy = answers.answer_accuracy(items, equivalent=True).select("task", F.round("accuracy", 6).alias("accuracy"))
+    canonical = items.select(
+        "item_id", "task", text.canonical_answer(text.boxed_answer(C("output"))).alias("canonical"), text.canonical_answer(C("gold")).alias("gold")
+    )
+    return canonical.join(F.broadcast(accuracy), "task").drop("task")  # a row per task
 
 
 @query
