@@ -31,7 +31,14 @@ def read_turn_stream(
     pattern: str = "*.parquet",
     files_per_batch: int | None = None,
 ) -> DataFrame:
-    """Turns from the Parquet files that arrive in a folder."""
+    """Turns from the Parquet files that arrive in a folder.
+
+    ``folder`` may also be a single file, read as the folder that has just this file.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if files.exists(path) and files.getFileStatus(path).isFile():
+        folder, pattern = path.getParent().toString(), path.getName()
     reader = spark.readStream.schema(schema).option("pathGlobFilter", pattern)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

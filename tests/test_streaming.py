@@ -10,6 +10,7 @@ from colloquy.plans.shared import scratch_path
 from colloquy.sources.tables import read_turns
 from colloquy.streaming import sessions
 from workload import inputs
+from workload.queries import queries
 
 C = F.col
 ONCE = {"availableNow": True}
@@ -116,3 +117,11 @@ def test_latest_response(spark, every):
     expected = turns.groupBy("conv_id", "role").agg(F.max_by("content", "turn"), F.count("*"))
     assert rows(got) == rows(expected)
     assert len(os.listdir(f"{base}/out")) == (2 if every == 2 else 5)
+
+
+@pytest.mark.parametrize("name", ["stream_take_until_exit", "stream_history_prompt", "stream_latest_response"])
+def test_queries_read_a_table_that_is_a_folder_of_files(spark, name):
+    folder = scratch_path(spark, "tables")
+    spark.read.parquet(f"{SMALL}/conversations.parquet").repartition(3).write.parquet(f"{folder}/conversations.parquet")
+    run = queries()[name]
+    assert rows(run(spark, folder)) == rows(run(spark, SMALL)) != []

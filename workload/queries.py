@@ -641,8 +641,8 @@ def resume_generate(spark, sf_dir):
 
 
 def turn_stream(spark, sf_dir):
-    schema = spark.read.parquet(f"{sf_dir}/conversations.parquet").schema
-    stream = sessions.read_turn_stream(spark, sf_dir, schema, "conversations.parquet")
+    table = f"{sf_dir.rstrip('/')}/conversations.parquet"  # a file, or a folder of files
+    stream = sessions.read_turn_stream(spark, table, spark.read.parquet(table).schema)
     return stream.select("conv_id", "turn", "role", C("text").alias("content"))
 
 
