@@ -3,9 +3,11 @@
 A text is split by the tokenizer's pattern. Of a block of texts the distinct
 words are taken that the task has not met before, each is merged once by a fold
 of Spark's higher-order functions, and the texts are put together from their
-words' ids. No row is shuffled. A task keeps a bounded number of words from block
+words' ids. No text is shuffled. A task keeps a bounded number of words from block
 to block, so memory is bounded, and a lost task is computed again from its own
-input.
+input. Words that are frequent in a large table are folded once for all tasks,
+which get a bounded number of them with their ids. Which ones these are changes
+the time alone: all other words are folded where they are met.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 C = F.col
@@ -29,9 +32,12 @@ ID_BITS, PLACE_BITS = 20, 12
 MERGE_BIT = ID_BITS + PLACE_BITS
 NO_RANK = 1 << 29
 LONG_WORD = 1024  # bytes, below 2 ** PLACE_BITS; the fold's time grows with the square, so a heap merges longer words
-BLOCK_WORDS = 600_000  # whose distinct ones are merged together
-KNOWN_WORDS = 700_000  # that a task keeps the ids of
+BLOCK_WORDS = 300_000  # whose distinct ones are merged together
+KNOWN_WORDS = 300_000  # that a task keeps the ids of, beside the frequent ones
+FREQUENT_WORDS = 250_000  # that every task gets with their ids
+SAMPLE_BYTES = 32 << 20  # of texts in which the frequent words are counted; smaller tables do without
 WORDS_AT_ONCE = 500_000  # that are put together again
+BATCH_BYTES = 4 << 20  # that go to Python, and come to the second step, at once
 LONG_TEXT = 1 << 20  # characters; longer texts are split one word at a time
 
 
@@ -196,8 +202,6 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
     characters that the JVM's Unicode version does not know, or a very long one,
     is split word by word in Python, by the same pattern.
     """
-    table = RankMap(ranks)
-    kind = docs.schema[key].dataType.simpleString()
     content = F.coalesce(C(text), F.lit(""))
     aside = content.rlike(r"\p{Cn}") | (F.char_length(content) > LONG_TEXT)
     split = docs.select(
@@ -205,22 +209,58 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, key: str = "d
         F.when(~aside, split_words(content, pattern)).alias("words"),
         F.when(aside, content).alias("text"),
     )
+    small_batches(docs.sparkSession)
+    table = RankMap(ranks)
+    return coded(split, table, pattern, ranks, frequent(docs, table, pattern, ranks, key, text)).withColumnRenamed("key", key)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of an Arrow batch, for all queries of the session: by rows alone, one holds most of a task's words."""
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(setting).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(setting, str(BATCH_BYTES))
+
+
+def coded(split: DataFrame, table: RankMap, pattern: str, ranks: dict[bytes, int], known: Broadcast | None = None) -> DataFrame:
+    """``key, ids, decoded`` of rows ``key, words, text``, of which a row has words or a text that is not split yet."""
+    kind = split.schema["key"].dataType.simpleString()
     blocks = split.mapInArrow(
-        packed(pattern, ranks),
+        packed(pattern, ranks, known),
         f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>, anew boolean",
     )
     ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
     back = let(table.pieces, lambda pieces: F.transform("ids", lambda i: F.transform(i, lambda n: F.get(pieces, n.cast("int")))))
     worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids"), "anew").select("*", back.alias("pieces"))
-    return worked.mapInArrow(unpacked, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
+    return worked.mapInArrow(unpacked(known), f"key {kind}, ids array<int>, decoded binary")
 
 
-def packed(pattern: str, ranks: dict[bytes, int]):
+def frequent(docs: DataFrame, table: RankMap, pattern: str, ranks: dict[bytes, int], key: str, text: str) -> Broadcast | None:
+    """Words that occur most in a sample of the texts, with their ids and bytes; None for a small table.
+
+    Of the texts about ``SAMPLE_BYTES`` are split, so the driver sees at most
+    ``FREQUENT_WORDS`` words of up to ``LONG_WORD`` bytes at any size.
+    """
+    size = docs.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    if size <= SAMPLE_BYTES:
+        return None
+    share = F.lit(int(SAMPLE_BYTES / size * (1 << 30)))
+    sample = docs.where(F.pmod(F.xxhash64(key, text), F.lit(1 << 30)) < share).where(F.char_length(text) <= LONG_TEXT)
+    words = sample.select(F.explode(split_words(C(text), pattern)).alias("key")).where(F.octet_length("key") <= LONG_WORD)
+    most = words.groupBy("key").count().where("count > 1").orderBy(F.desc("count"), "key").limit(FREQUENT_WORDS)
+    spread = most.repartition(docs.sparkSession.sparkContext.defaultParallelism, "key")
+    rows = spread.select("key", F.array("key").alias("words"), F.lit(None).cast("string").alias("text"))
+    found = coded(rows, table, pattern, ranks).toArrow().combine_chunks()
+    columns = [found.column(c).combine_chunks() for c in ("key", "ids", "decoded")]
+    return docs.sparkSession.sparkContext.broadcast([c.chunk(0) if isinstance(c, pa.ChunkedArray) else c for c in columns])
+
+
+def packed(pattern: str, ranks: dict[bytes, int], frequent: Broadcast | None = None):
     """Per block of texts one row: the keys, the number of words of each, the words by number, the words that are new.
 
     Words that are pieces, and long ones, come last and with their ids; of the
-    others come the bytes, in the form of pieces. Words are numbered on from
-    block to block, and anew where ``anew`` is set. A block is an Arrow batch, or
+    others come the bytes, in the form of pieces. The frequent words have the
+    first numbers. Others are numbered on from block to block, and anew where
+    ``anew`` is set. A block is an Arrow batch, or
     a part of one with about ``BLOCK_WORDS`` words.
     """
 
@@ -230,7 +270,9 @@ def packed(pattern: str, ranks: dict[bytes, int]):
         vocabulary, numbers = pa.array(list(ranks), pa.binary()), np.array(list(ranks.values()), np.int64)
         octet_ids = np.array([ranks.get(bytes([b]), 0) for b in range(256)], np.int64)
         pairs = np.array([ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)], np.int64)
-        known: dict[bytes, int] = {}  # words by number
+        common = frequent.value[0].cast(pa.binary()).to_pylist() if frequent else []
+        common = {w: n for n, w in enumerate(common)}
+        known: dict[bytes, int] = {}  # other words by number
 
         def counts_of(words: pa.Array, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
             if texts.null_count == len(texts):
@@ -244,14 +286,15 @@ def packed(pattern: str, ranks: dict[bytes, int]):
             anew = len(known) > KNOWN_WORDS
             if anew:
                 known.clear()
-            place = np.fromiter((known.get(w, -1) for w in listed), np.int64, len(listed))
+            place = np.fromiter((common[w] if w in common else known.get(w, -1) for w in listed), np.int64, len(listed))
             fresh = np.flatnonzero(place < 0)
             distinct = coded.dictionary.take(pa.array(fresh))
             piece = pc.index_in(distinct, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
             is_long = pc.greater(pc.binary_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False).astype(bool)
             ready = (piece >= 0) | is_long
             order = np.argsort(ready, kind="stable")
-            place[fresh[order]] = np.arange(len(known), len(known) + len(order))
+            begin = len(common) + len(known)
+            place[fresh[order]] = np.arange(begin, begin + len(order))
             known.update((listed[n], int(place[n])) for n in fresh[order])
             codes = place[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int32)
             folds = len(order) - int(ready.sum())
@@ -301,36 +344,42 @@ def in_pieces(words: pa.Array, octet_ids: np.ndarray, pairs: np.ndarray) -> pa.A
     )
 
 
-def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The texts of a packed row, as ids and as bytes, with the words of the rows before it."""
-    pa.set_memory_pool(pa.system_memory_pool())
-    ids, data = pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())
-    for batch in batches:
-        for row in range(batch.num_rows):
-            keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
-            codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
-            new_ids, new_data = batch.column("ids")[row].values.cast(pa.list_(pa.int32())), end_to_end(batch.column("pieces")[row].values)
-            if batch.column("anew")[row].as_py():
-                ids, data = new_ids, new_data
-            else:
+def unpacked(frequent: Broadcast | None = None):
+    """The texts of a packed row, as ids and as bytes, with the frequent words and those of the rows before it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pa.set_memory_pool(pa.system_memory_pool())
+        ids, data = pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())
+        if frequent:
+            ids, data = frequent.value[1].cast(ids.type), frequent.value[2].cast(data.type)
+        common = len(ids)
+        for batch in batches:
+            for row in range(batch.num_rows):
+                keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
+                codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
+                new_ids, new_data = batch.column("ids")[row].values.cast(pa.list_(pa.int32())), end_to_end(batch.column("pieces")[row].values)
+                if batch.column("anew")[row].as_py():
+                    ids, data = ids[:common], data[:common]
                 ids, data = pa.concat_arrays([ids, new_ids]), pa.concat_arrays([data, new_data])
-            ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)])
-            for first, last in portions(ends, WORDS_AT_ONCE):
-                own = pa.array(codes[ends[first] : ends[last]])
-                cuts = ends[first : last + 1] - ends[first]
-                tokens, text = ids.take(own), data.take(own)
-                sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy(zero_copy_only=False), dtype=np.int64)])
-                widths = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False), dtype=np.int64)])
-                whole = b"".join(text.to_pylist()) if text.offset else text.buffers()[2]
-                texts = [None, pa.py_buffer(widths[cuts].astype(np.int32)), whole if isinstance(whole, pa.Buffer) else pa.py_buffer(whole or b"")]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        keys.slice(first, last - first),
-                        pa.ListArray.from_arrays(pa.array(sizes[cuts], pa.int32()), tokens.flatten()),
-                        pa.BinaryArray.from_buffers(pa.binary(), last - first, texts),
-                    ],
-                    ["key", "ids", "decoded"],
-                )
+                ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)])
+                for first, last in portions(ends, WORDS_AT_ONCE):
+                    own = pa.array(codes[ends[first] : ends[last]])
+                    cuts = ends[first : last + 1] - ends[first]
+                    tokens, text = ids.take(own), data.take(own)
+                    sizes = np.concatenate([[0], np.cumsum(pc.list_value_length(tokens).to_numpy(zero_copy_only=False), dtype=np.int64)])
+                    widths = np.concatenate([[0], np.cumsum(pc.binary_length(text).to_numpy(zero_copy_only=False), dtype=np.int64)])
+                    whole = b"".join(text.to_pylist()) if text.offset else text.buffers()[2]
+                    texts = [None, pa.py_buffer(widths[cuts].astype(np.int32)), whole if isinstance(whole, pa.Buffer) else pa.py_buffer(whole or b"")]
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            keys.slice(first, last - first),
+                            pa.ListArray.from_arrays(pa.array(sizes[cuts], pa.int32()), tokens.flatten()),
+                            pa.BinaryArray.from_buffers(pa.binary(), last - first, texts),
+                        ],
+                        ["key", "ids", "decoded"],
+                    )
+
+    return run
 
 
 def end_to_end(pieces: pa.ListArray) -> pa.Array:

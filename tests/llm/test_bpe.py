@@ -56,6 +56,20 @@ def test_many_texts_in_portions(spark, table, monkeypatch):
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
 
 
+def test_frequent_words_are_folded_once_for_all_tasks(spark, table, monkeypatch):
+    pairs = [(i, f"about zyzzyvas and quixotry {i % 40} wordsmithery " + "syzygies " * (i % 9)) for i in range(300)]
+    monkeypatch.setattr(bpe, "SAMPLE_BYTES", 1 << 12)
+    monkeypatch.setattr(bpe, "FREQUENT_WORDS", 12)
+    monkeypatch.setattr(bpe, "KNOWN_WORDS", 10)
+    monkeypatch.setattr(bpe, "BLOCK_WORDS", 50)
+    ranks = bpe.RankMap(RANKS)
+    known = bpe.frequent(table(pairs), ranks, public_tokenizers.PATTERN, RANKS, "doc_id", "text").value
+    assert len(known[0]) == 12 and " syzygies" in known[0].to_pylist()
+    for word, ids, decoded in zip(*(c.to_pylist() for c in known)):
+        assert ids == PLAIN.encode_ordinary(word) and decoded == word.encode()
+    assert sorted(coded(table(pairs))) == sorted(expected(pairs))
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.tiktoken"])
 def test_other_vocabulary(spark, table, name):
     ranks = bpe.read_ranks(public_tokenizers.path(name))
