@@ -3,8 +3,10 @@
 Turns may arrive in any order and in any batch. A session's turn leaves when all
 turns before it have left: at once if they are numbered without gaps, else when
 the watermark has passed its event time, as nothing older can then arrive. What
-has to wait is in a state keyed by turn, on RocksDB, and timers on event time wake
-it up, so a session that is silent is not read again.
+has to wait is in a list, on RocksDB, to which a batch appends; it is read when the
+turn that it waited for has come, or when the session's one timer on event time,
+that of its earliest waiting turn, wakes it up. So a batch asks the state a few
+times per session, not per turn, and a session that is silent is not read again.
 
 Operators that take a session's turns in order, such as those of ``sessions``,
 then give on a stream what they give on the whole table, however the turns were
@@ -18,7 +20,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-
 def in_turn_order(turns: DataFrame, event_time: str, delay: str, first_turn: int | None = 0) -> DataFrame:
     """The turns ``conv_id, turn, ...`` as they leave, with ``late``.
 
@@ -48,13 +49,14 @@ def in_turn_order(turns: DataFrame, event_time: str, delay: str, first_turn: int
     class Ordering(StatefulProcessor):
         def init(self, handle):
             self.handle = handle
-            self.waiting = handle.getMapState("waiting", "turn LONG", "ms LONG, us LONG, row STRING")
-            self.next = handle.getValueState("next", "turn LONG")
+            self.waiting = handle.getListState("waiting", "turn LONG, ms LONG, us LONG, row STRING")
+            # the turn to leave next, the least turn that waits, the time of the timer
+            self.place = handle.getValueState("place", "next LONG, least LONG, timer LONG")
 
         def handleInputRows(self, key, rows, timer_values):
             came, out = {}, []
-            place = self.next.get()
-            place = first_turn if place is None else place[0]
+            before = self.place.get()
+            place, least, timer = (first_turn, None, None) if before is None else before
             for chunk in rows:
                 for turn, ms, us, row in zip(*(chunk[c].tolist() for c in ("turn", "ms", "us", "row"))):
                     if turn != turn or turn is None or ms != ms or ms is None:
@@ -63,46 +65,63 @@ def in_turn_order(turns: DataFrame, event_time: str, delay: str, first_turn: int
                         out.append((int(turn), int(us), row, True))
                     else:
                         came[int(turn)] = (int(ms), int(us), row)
-            out += self.ready(came, place)
-            timers = set(self.handle.listTimers()) if came else set()
-            for turn, value in came.items():
-                self.waiting.updateValue((turn,), value)
-                if value[0] not in timers:
-                    self.handle.registerTimer(value[0])
-                    timers.add(value[0])
-            yield self.rows(key, out)
-
-        def ready(self, came, place):
-            """Take from ``came``, or from the state, what follows without a gap."""
-            out, start = [], place
-            while place is not None:
-                value = came.pop(place, None)
-                if value is None:
-                    value = self.waiting.getValue((place,)) if self.waiting.exists() else None
-                    if value is None:
-                        break
-                    self.waiting.removeKey((place,))
-                elif self.waiting.exists() and self.waiting.containsKey((place,)):
-                    self.waiting.removeKey((place,))
-                out.append((place, value[1], value[2], False))
+            if came:
+                place = self.ready(came, place, out)
+                if least is not None and place is not None and least <= place:
+                    held = {k: v for k, v in self.held().items() if k >= place} | came
+                    place = self.ready(held, place, out)
+                    least, timer = self.keep(held, timer)
+                elif came:
+                    self.waiting.appendList([(k, *v) for k, v in came.items()])
+                    least = min(came) if least is None else min(least, *came)
+                    timer = self.wake(timer, min(v[0] for v in came.values()))
+                self.place.update((place, least, timer))
+            if out:
+                yield self.rows(key, out)
+
+        def held(self):
+            """What waits; of a turn that came again, the later one."""
+            return {turn: value for turn, *value in map(tuple, self.waiting.get())}
+
+        def ready(self, turns, place, out):
+            """Take what follows without a gap; the turn to leave next."""
+            while place is not None and place in turns:
+                _, us, row = turns.pop(place)
+                out.append((place, us, row, False))
                 place += 1
-            if place != start:
-                self.next.update((place,))
-            return out
+            return place
+
+        def keep(self, turns, timer):
+            """Let these turns wait, and no others: the least of them, and the time of the timer."""
+            if not turns:
+                self.waiting.clear()
+                if timer is not None:
+                    self.handle.deleteTimer(timer)
+                return None, None
+            self.waiting.put([(k, *v) for k, v in turns.items()])
+            return min(turns), self.wake(timer, min(v[0] for v in turns.values()))
+
+        def wake(self, timer, ms):
+            if timer is not None and timer <= ms:
+                return timer
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(ms)
+            return ms
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):  # called by these names
             passed = timerValues.getCurrentWatermarkInMs()
-            held = sorted((k[0], tuple(v)) for k, v in self.waiting.iterator())
-            last = max((turn for turn, v in held if v[0] <= passed), default=None)
-            out = []
+            place, _, _ = self.place.get()
+            held, out = self.held(), []
+            last = max((turn for turn, v in held.items() if v[0] <= passed), default=None)
             if last is not None:
-                for turn, (_, us, row) in held:
-                    if turn <= last:
-                        out.append((turn, us, row, False))
-                        self.waiting.removeKey((turn,))
-                out += self.ready({}, last + 1)
-                self.next.update((out[-1][0] + 1,))
-            yield self.rows(key, out)
+                for turn in sorted(t for t in held if t <= last):
+                    _, us, row = held.pop(turn)
+                    out.append((turn, us, row, False))
+                place = self.ready(held, last + 1, out)
+            self.place.update((place, *self.keep(held, None)))  # the timer that woke it is gone
+            if out:
+                yield self.rows(key, out)
 
         def rows(self, key, out):
             import pandas as pd

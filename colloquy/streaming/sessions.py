@@ -259,7 +259,8 @@ def history_prompts(
                 for timer in list(self.handle.listTimers()):
                     self.handle.deleteTimer(timer)
                 self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + idle_ms)
-            yield pd.DataFrame(prompts, columns=["conv_id", "turn", "prompt"])
+            if prompts:
+                yield pd.DataFrame(prompts, columns=["conv_id", "turn", "prompt"])
 
         def prompt(self, said, asked):
             return "".join(

@@ -105,3 +105,16 @@ def test_late_repeated_and_odd_turns(spark):
         ],
         key=repr,
     )
+
+
+def test_query_of_late_turns_keeps_a_conversation_of_any_length(spark):
+    """Longer than a day of event time, in which a turn may come last."""
+    from workload.queries import queries
+
+    folder = scratch_path(spark, "long")
+    text = F.concat(F.lit("turn "), C("id").cast("string")).alias("text")
+    turns = spark.range(400).select(F.lit(1).cast("long").alias("conv_id"), C("id").alias("turn"), F.expr("IF(id % 2 = 0, 'user', 'assistant')").alias("role"), text)
+    turns.write.parquet(f"{folder}/conversations.parquet")
+    got, want = (queries()[n](spark, folder) for n in ("stream_late_turns", "stream_history_prompt"))
+    table = lambda df: sorted(map(tuple, df.select("conv_id", "turn", "prompt").collect()))
+    assert len(table(got)) == 200 and table(got) == table(want)

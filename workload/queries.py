@@ -672,15 +672,20 @@ def stream_late_turns(spark, sf_dir):
     at = F.timestamp_seconds(F.lit(1_700_000_000) + C("turn") * 60)
     marked = inputs.chat_marked(spark, sf_dir).withColumn("at", at)
     pile = F.pmod(F.crc32(F.concat_ws(":", C("conv_id").cast("string"), C("turn").cast("string")).cast("binary")), F.lit(3))
+    # any turn may come last, so the delay spans them all
+    first, last = marked.agg(F.unix_seconds(F.min("at")), F.unix_seconds(F.max("at"))).first()
+    span = (last or 0) - (first or 0) + 86_400
+    files = spark.sparkContext.defaultParallelism  # of a batch
     for n in range(3):
-        marked.where(pile == n).coalesce(1).write.mode("append").parquet(f"{base}/turns")
-    # what tells that no older turn comes: a turn of no session, a year ahead; then one more, so that timers run
-    ahead = marked.agg(F.max("at").alias("last")).select(F.explode(F.array(F.lit(0), F.lit(1))).alias("turn"), "last")
-    for n in range(2):
-        far = ahead.where(C("turn") == n).select(F.lit(-1).cast("long").alias("conv_id"), C("turn").cast("long").alias("turn"), (C("last") + F.make_interval(years=F.lit(n + 1))).alias("at"))
-        spark.createDataFrame([], marked.schema).unionByName(far, allowMissingColumns=True).coalesce(1).write.mode("append").parquet(f"{base}/turns")
-    stream = sessions.read_turn_stream(spark, f"{base}/turns", marked.schema, files_per_batch=1)
-    turns = ordering.in_turn_order(stream, "at", "1 day", first_turn=None).where("conv_id >= 0 AND NOT late").drop("at", "late")
+        marked.where(pile == n).repartition(files).write.mode("append").parquet(f"{base}/turns")
+    # what tells that no older turn comes: turns of no session, far ahead; then some more, so that timers run
+    none = spark.createDataFrame([], marked.schema)
+    for n in range(1, 3):
+        far = F.timestamp_seconds(F.lit((last or 0) + n * (span + 366 * 86_400))).alias("at")
+        ahead = spark.range(n * files, (n + 1) * files, 1, files).select(F.lit(-1).cast("long").alias("conv_id"), C("id").alias("turn"), far)
+        ahead.unionByName(none, allowMissingColumns=True).write.mode("append").parquet(f"{base}/turns")
+    stream = sessions.read_turn_stream(spark, f"{base}/turns", marked.schema, files_per_batch=files)
+    turns = ordering.in_turn_order(stream, "at", f"{span} seconds", first_turn=None).where("conv_id >= 0 AND NOT late").drop("at", "late")
     sessions.write_batches(sessions.history_prompts(turns), f"{base}/out", f"{base}/checkpoint", ONCE).awaitTermination()
     return spark.read.parquet(f"{base}/out")
 
