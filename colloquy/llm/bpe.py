@@ -14,7 +14,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,11 +47,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankMap:
-    """Ranks of all pieces as literal columns: by the ranks of the two parts a piece is merged from.
+    """Ranks of all pieces as columns of one row: by the ranks of the two parts a piece is merged from.
 
     Spark looks a key of a map up by going through the map, so the map is laid
     out as a table of slots, of which a pair can be in two. The XXH64 hash of one
-    64-bit number is a permutation, so equal hashes are equal pairs.
+    64-bit number is a permutation, so equal hashes are equal pairs. The row is
+    broadcast: as literals, its megabytes would stand in every description of a
+    plan that the driver keeps.
     """
 
     def __init__(self, ranks: dict[bytes, int]):
@@ -75,12 +76,19 @@ class RankMap:
                 at = two if at == one else one
             else:
                 raise ValueError("the pairs do not fit in the table")
-        self.keys = literal(slots, "array<bigint>")
-        self.values = literal([NO_RANK if s is None else pairs[s] for s in slots], "array<bigint>")
-        pieces: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
         for piece, rank in ranks.items():
-            pieces[rank] = base64.b64encode(piece).decode()
-        self.pieces = literal(pieces, "array<binary>")
+            pieces[rank] = piece
+        columns = {
+            "slot_pairs": pa.array(slots, pa.int64()),
+            "slot_ranks": pa.array([NO_RANK if s is None else pairs[s] for s in slots], pa.int64()),
+            "rank_pieces": pa.array(pieces, pa.binary()),
+        }
+        self.row = pa.table({name: pa.ListArray.from_arrays([0, len(values)], values) for name, values in columns.items()})
+
+    def beside(self, rows: DataFrame) -> DataFrame:
+        """The rows with the columns that ``bound`` and ``coded`` read."""
+        return rows.crossJoin(F.broadcast(rows.sparkSession.createDataFrame(self.row)))
 
     @staticmethod
     def hash(left: int, right: int) -> int:
@@ -93,7 +101,7 @@ class RankMap:
         return pair & mask, pair >> 32 & mask
 
     def bound(self, body) -> Column:
-        """``body(rank)``, where ``rank`` gives what two pieces merge to, or ``NO_RANK``; the table stands in the plan once."""
+        """``body(rank)``, where ``rank`` gives what two pieces merge to, or ``NO_RANK``."""
         mask = F.lit((1 << self.bits) - 1).cast("long")
 
         def within(keys: Column, values: Column) -> Column:
@@ -111,18 +119,13 @@ class RankMap:
 
             return body(rank)
 
-        return let(self.keys, lambda keys: let(self.values, lambda values: within(keys, values)))
+        return let(C("slot_pairs"), lambda keys: let(C("slot_ranks"), lambda values: within(keys, values)))
 
 
 def none() -> Column:
     return F.lit(NO_RANK).cast("long")
 
 
-def literal(values: list, kind: str) -> Column:
-    """A constant array; Spark folds it into one literal."""
-    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), kind)
-
-
 def let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
@@ -229,8 +232,9 @@ def coded(split: DataFrame, table: RankMap, pattern: str, ranks: dict[bytes, int
         f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>, anew boolean",
     )
     ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
-    back = let(table.pieces, lambda pieces: F.transform("ids", lambda i: F.transform(i, lambda n: F.get(pieces, n.cast("int")))))
-    worked = blocks.select("keys", "counts", "codes", F.concat(ids, "given").alias("ids"), "anew").select("*", back.alias("pieces"))
+    back = let(C("rank_pieces"), lambda pieces: F.transform("ids", lambda i: F.transform(i, lambda n: F.get(pieces, n.cast("int")))))
+    merged = table.beside(blocks).select("keys", "counts", "codes", F.concat(ids, "given").alias("ids"), "anew", "rank_pieces")
+    worked = merged.select("keys", "counts", "codes", "ids", "anew", back.alias("pieces"))
     return worked.mapInArrow(unpacked(known), f"key {kind}, ids array<int>, decoded binary")
 
 

@@ -89,3 +89,8 @@ def test_query_as_the_library(spark):
         assert r.n_tokens == len(ids)
         assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_tables_do_not_stand_in_the_plan(spark, table):
+    plan = bpe.encode(table([(1, "some words")]), RANKS, public_tokenizers.PATTERN)._jdf.queryExecution().toString()
+    assert len(plan) < 50_000  # the driver keeps several descriptions of every query
