@@ -55,12 +55,17 @@ def shingle_hashes(text: str | None, width: int) -> Iterator[list[int]]:
         yield [digest(joined[a:b], SEED) for a, b in zip(starts[at:till].tolist(), ends[at:till].tolist())]
 
 
+def octet_sums(hashes: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the 64 bits."""
+    octets = np.ascontiguousarray(hashes).view(np.uint8).reshape(-1, 8)
+    return np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+
+
 def simhash(text: str | None, width: int = 4) -> int:
     """The fingerprint, as a signed 64-bit number. No words: zero."""
     ones, count = np.zeros(64, np.int64), 0
     for hashes in shingle_hashes(text, width):
-        octets = np.array(hashes, np.uint64).view(np.uint8).reshape(-1, 8)
-        ones += np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        ones += octet_sums(np.array(hashes, np.uint64))
         count += len(hashes)
     return int(np.packbits(2 * ones > count, bitorder="little").view(np.int64)[0])
 
