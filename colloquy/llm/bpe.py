@@ -1,13 +1,13 @@
 """Byte-level BPE: texts to token ids, and ids back to bytes.
 
 A text is split by the tokenizer's pattern. Of a block of texts the distinct
-words are taken that the task has not met before, each is merged once by a fold
-of Spark's higher-order functions, and the texts are put together from their
-words' ids. No text is shuffled. A task keeps a bounded number of words from block
-to block, so memory is bounded, and a lost task is computed again from its own
-input. Words that are frequent in a large table are folded once for all tasks,
-which get a bounded number of them with their ids. Which ones these are changes
-the time alone: all other words are folded where they are met.
+words are taken, each is merged once by a fold of Spark's higher-order functions,
+and the texts are put together from their words' ids. A block has all it needs,
+with a bounded number of words, so memory is bounded. Blocks are shuffled between
+the two steps, words as numbers: in one stage each task would have two Python
+workers at once. Words that are frequent in a large table are folded once for all
+tasks, which get a bounded number of them with their ids. Which ones these are
+changes the time alone: all other words are folded where they are met.
 """
 
 from __future__ import annotations
@@ -31,8 +31,9 @@ ID_BITS, PLACE_BITS = 20, 12
 MERGE_BIT = ID_BITS + PLACE_BITS
 NO_RANK = 1 << 29
 LONG_WORD = 1024  # bytes, below 2 ** PLACE_BITS; the fold's time grows with the square, so a heap merges longer words
-BLOCK_WORDS = 300_000  # whose distinct ones are merged together
-KNOWN_WORDS = 300_000  # that a task keeps the ids of, beside the frequent ones
+BLOCK_WORDS = 4_000_000  # whose distinct ones are merged together
+KNOWN_WORDS = 200_000  # distinct ones of a block, beside the frequent ones
+READ_WORDS = 300_000  # that are numbered at once
 FREQUENT_WORDS = 250_000  # that every task gets with their ids
 SAMPLE_BYTES = 32 << 20  # of texts in which the frequent words are counted; smaller tables do without
 WORDS_AT_ONCE = 500_000  # that are put together again
@@ -76,13 +77,9 @@ class RankMap:
                 at = two if at == one else one
             else:
                 raise ValueError("the pairs do not fit in the table")
-        pieces: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
-        for piece, rank in ranks.items():
-            pieces[rank] = piece
         columns = {
             "slot_pairs": pa.array(slots, pa.int64()),
             "slot_ranks": pa.array([NO_RANK if s is None else pairs[s] for s in slots], pa.int64()),
-            "rank_pieces": pa.array(pieces, pa.binary()),
         }
         self.row = pa.table({name: pa.ListArray.from_arrays([0, len(values)], values) for name, values in columns.items()})
 
@@ -229,13 +226,12 @@ def coded(split: DataFrame, table: RankMap, pattern: str, ranks: dict[bytes, int
     kind = split.schema["key"].dataType.simpleString()
     blocks = split.mapInArrow(
         packed(pattern, ranks, known),
-        f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>, anew boolean",
+        f"keys array<{kind}>, counts array<int>, codes binary, words array<array<bigint>>, given array<array<bigint>>",
     )
     ids = table.bound(lambda rank: F.transform("words", lambda w: merged_ids(w, rank)))
-    back = let(C("rank_pieces"), lambda pieces: F.transform("ids", lambda i: F.transform(i, lambda n: F.get(pieces, n.cast("int")))))
-    merged = table.beside(blocks).select("keys", "counts", "codes", F.concat(ids, "given").alias("ids"), "anew", "rank_pieces")
-    worked = merged.select("keys", "counts", "codes", "ids", "anew", back.alias("pieces"))
-    return worked.mapInArrow(unpacked(known), f"key {kind}, ids array<int>, decoded binary")
+    merged = table.beside(blocks).select("keys", "counts", "codes", F.concat(ids, "given").cast("array<array<int>>").alias("ids"))
+    dealt = merged.withColumn("block", F.monotonically_increasing_id()).repartition("block").drop("block")  # ends the stage, and a task's first Python worker
+    return dealt.mapInArrow(unpacked(ranks, known), f"key {kind}, ids array<int>, decoded binary")
 
 
 def frequent(docs: DataFrame, table: RankMap, pattern: str, ranks: dict[bytes, int], key: str, text: str) -> Broadcast | None:
@@ -259,13 +255,12 @@ def frequent(docs: DataFrame, table: RankMap, pattern: str, ranks: dict[bytes, i
 
 
 def packed(pattern: str, ranks: dict[bytes, int], frequent: Broadcast | None = None):
-    """Per block of texts one row: the keys, the number of words of each, the words by number, the words that are new.
+    """Per block of texts one row: the keys, the number of words of each, the words by number, the words that are not frequent.
 
     Words that are pieces, and long ones, come last and with their ids; of the
     others come the bytes, in the form of pieces. The frequent words have the
-    first numbers. Others are numbered on from block to block, and anew where
-    ``anew`` is set. A block is an Arrow batch, or
-    a part of one with about ``BLOCK_WORDS`` words.
+    first numbers. A block ends at about ``BLOCK_WORDS`` words, or ``KNOWN_WORDS``
+    distinct ones that are not frequent.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -276,7 +271,8 @@ def packed(pattern: str, ranks: dict[bytes, int], frequent: Broadcast | None = N
         pairs = np.array([ranks.get(bytes([a, b]), NO_RANK) for a in range(256) for b in range(256)], np.int64)
         common = frequent.value[0].cast(pa.binary()).to_pylist() if frequent else []
         common = {w: n for n, w in enumerate(common)}
-        known: dict[bytes, int] = {}  # other words by number
+        known: dict[bytes, int] = {}  # other words of the block by number
+        held: list[tuple[pa.Array, np.ndarray, np.ndarray]] = []  # keys, counts and codes of the block so far
 
         def counts_of(words: pa.Array, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
             if texts.null_count == len(texts):
@@ -284,30 +280,35 @@ def packed(pattern: str, ranks: dict[bytes, int], frequent: Broadcast | None = N
             lists = [pa.array(find(t.as_py()) if t.is_valid else w.as_py(), pa.string()) for w, t in zip(words, texts)]
             return np.array([len(x) for x in lists], np.int32), pa.concat_arrays(lists)
 
-        def block(keys: pa.Array, counts: np.ndarray, flat: pa.Array) -> pa.RecordBatch:
+        def hold(keys: pa.Array, counts: np.ndarray, flat: pa.Array) -> None:
             coded = flat.cast(pa.binary()).dictionary_encode()
             listed = coded.dictionary.to_pylist()
-            anew = len(known) > KNOWN_WORDS
-            if anew:
-                known.clear()
-            place = np.fromiter((common[w] if w in common else known.get(w, -1) for w in listed), np.int64, len(listed))
-            fresh = np.flatnonzero(place < 0)
-            distinct = coded.dictionary.take(pa.array(fresh))
+            first = len(common)
+            place = [common[w] if w in common else known.setdefault(w, first + len(known)) for w in listed]
+            codes = np.array(place, np.int32)[coded.indices.to_numpy(zero_copy_only=False)]
+            held.append((keys, counts, codes.astype(np.int32)))
+
+        def block() -> pa.RecordBatch:
+            keys, counts = pa.concat_arrays([k for k, _, _ in held]), np.concatenate([c for _, c, _ in held])
+            codes = np.concatenate([c for _, _, c in held])
+            held.clear()
+            distinct = pa.array(list(known), pa.binary())
+            known.clear()
             piece = pc.index_in(distinct, value_set=vocabulary).fill_null(-1).to_numpy(zero_copy_only=False)
             is_long = pc.greater(pc.binary_length(distinct), LONG_WORD).to_numpy(zero_copy_only=False).astype(bool)
             ready = (piece >= 0) | is_long
             order = np.argsort(ready, kind="stable")
-            begin = len(common) + len(known)
-            place[fresh[order]] = np.arange(begin, begin + len(order))
-            known.update((listed[n], int(place[n])) for n in fresh[order])
-            codes = place[coded.indices.to_numpy(zero_copy_only=False)].astype(np.int32)
+            place = np.arange(len(common) + len(order), dtype=np.int32)
+            place[len(common) + order] = np.arange(len(common), len(place))
+            codes = place[codes]
             folds = len(order) - int(ready.sum())
             given = [
                 [int(numbers[piece[n]])] if piece[n] >= 0 else merged_long(distinct[int(n)].as_py(), ranks) for n in order[folds:]
             ]
             octets = in_pieces(distinct.take(pa.array(order[:folds])), octet_ids, pairs)
             one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-            numbered = [None, pa.py_buffer(np.array([0, codes.nbytes], np.int32)), pa.py_buffer(codes)]
+            planes = codes.view(np.uint8).reshape(-1, 4).T.copy()  # the high bytes are nearly all alike
+            numbered = [None, pa.py_buffer(np.array([0, planes.nbytes], np.int32)), pa.py_buffer(planes)]
             return pa.RecordBatch.from_arrays(
                 [
                     one(keys),
@@ -315,11 +316,11 @@ def packed(pattern: str, ranks: dict[bytes, int], frequent: Broadcast | None = N
                     pa.BinaryArray.from_buffers(pa.binary(), 1, numbered),
                     one(octets),
                     one(pa.array(given, pa.list_(pa.int64()))),
-                    pa.array([anew]),
                 ],
-                ["keys", "counts", "codes", "words", "given", "anew"],
+                ["keys", "counts", "codes", "words", "given"],
             )
 
+        words = 0
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -327,9 +328,14 @@ def packed(pattern: str, ranks: dict[bytes, int], frequent: Broadcast | None = N
             counts, flat = counts_of(batch.column("words"), batch.column("text"))
             del batch
             ends = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-            blocks = max(1, round(len(flat) / BLOCK_WORDS))
-            for first, last in portions(ends, -(-len(flat) // blocks) if len(flat) else 1):
-                yield block(keys.slice(first, last - first), counts[first:last], flat[int(ends[first]) : int(ends[last])])
+            for first, last in portions(ends, READ_WORDS):
+                hold(keys.slice(first, last - first), counts[first:last], flat[int(ends[first]) : int(ends[last])])
+                words += int(ends[last] - ends[first])
+                if words >= BLOCK_WORDS or len(known) >= KNOWN_WORDS:
+                    yield block()
+                    words = 0
+        if held:
+            yield block()
 
     return run
 
@@ -348,23 +354,26 @@ def in_pieces(words: pa.Array, octet_ids: np.ndarray, pairs: np.ndarray) -> pa.A
     )
 
 
-def unpacked(frequent: Broadcast | None = None):
-    """The texts of a packed row, as ids and as bytes, with the frequent words and those of the rows before it."""
+def unpacked(ranks: dict[bytes, int], frequent: Broadcast | None = None):
+    """The texts of a packed row, as ids and as bytes, with the frequent words and its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.set_memory_pool(pa.system_memory_pool())
+        by_rank: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for piece, rank in ranks.items():
+            by_rank[rank] = piece
+        pieces = pa.array(by_rank, pa.binary())
         ids, data = pa.array([], pa.list_(pa.int32())), pa.array([], pa.binary())
         if frequent:
             ids, data = frequent.value[1].cast(ids.type), frequent.value[2].cast(data.type)
-        common = len(ids)
+        common_ids, common_data = ids, data
         for batch in batches:
             for row in range(batch.num_rows):
                 keys, counts = batch.column("keys")[row].values, batch.column("counts")[row].values
-                codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.int32)
-                new_ids, new_data = batch.column("ids")[row].values.cast(pa.list_(pa.int32())), end_to_end(batch.column("pieces")[row].values)
-                if batch.column("anew")[row].as_py():
-                    ids, data = ids[:common], data[:common]
-                ids, data = pa.concat_arrays([ids, new_ids]), pa.concat_arrays([data, new_data])
+                codes = np.frombuffer(batch.column("codes")[row].as_buffer(), np.uint8).reshape(4, -1).T.copy().view(np.int32).reshape(-1)
+                new_ids = batch.column("ids")[row].values.cast(pa.list_(pa.int32()))
+                new_data = end_to_end(new_ids, pieces)
+                ids, data = pa.concat_arrays([common_ids, new_ids]), pa.concat_arrays([common_data, new_data])
                 ends = np.concatenate([[0], np.cumsum(counts.to_numpy(zero_copy_only=False), dtype=np.int64)])
                 for first, last in portions(ends, WORDS_AT_ONCE):
                     own = pa.array(codes[ends[first] : ends[last]])
@@ -386,15 +395,15 @@ def unpacked(frequent: Broadcast | None = None):
     return run
 
 
-def end_to_end(pieces: pa.ListArray) -> pa.Array:
-    """The pieces of each word as one value: they lie end to end already."""
-    single = pieces.values
+def end_to_end(ids: pa.ListArray, pieces: pa.Array) -> pa.Array:
+    """The bytes of each word: its ids' pieces, end to end."""
+    single = pieces.take(ids.flatten())
     if not len(single):
-        return pa.array([b""] * len(pieces), pa.binary())
+        return pa.array([b""] * len(ids), pa.binary())
     _, places, octets = single.buffers()
     ends = np.frombuffer(places, np.int32)[single.offset : single.offset + len(single) + 1]
-    words = ends[pieces.offsets.to_numpy(zero_copy_only=False)]
-    return pa.BinaryArray.from_buffers(pa.binary(), len(pieces), [None, pa.py_buffer(words), octets])
+    words = ends[ids.offsets.to_numpy(zero_copy_only=False) - ids.offsets[0].as_py()]
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ids), [None, pa.py_buffer(words), octets])
 
 
 def portions(ends: np.ndarray, words: int) -> Iterator[tuple[int, int]]:

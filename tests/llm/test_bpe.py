@@ -94,3 +94,8 @@ def test_query_as_the_library(spark):
 def test_tables_do_not_stand_in_the_plan(spark, table):
     plan = bpe.encode(table([(1, "some words")]), RANKS, public_tokenizers.PATTERN)._jdf.queryExecution().toString()
     assert len(plan) < 50_000  # the driver keeps several descriptions of every query
+
+
+def test_a_stage_has_one_python_worker_per_task(spark, table):
+    plan = bpe.encode(table([(1, "some words")]), RANKS, public_tokenizers.PATTERN)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "Exchange hashpartitioning" in plan.split("MapInArrow")[1]
